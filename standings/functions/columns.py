@@ -1,0 +1,41 @@
+"""Column helpers: exact sums, divisions that never fail, NULL-tolerant addition."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+MONEY = "decimal(18,2)"
+MONEY_TOTAL = "decimal(38,2)"
+
+# Digits kept after every division. Ranks are taken on the rounded value, so that two equal
+# ratios reached through different additions still tie.
+SCALE = 6
+
+
+def ratio(num: Column, den: Column, scale: int = SCALE) -> Column:
+    """``num / den`` as a rounded double; NULL when either side is NULL or ``den`` is 0."""
+    return F.round(F.try_divide(num.cast("double"), den.cast("double")), scale)
+
+
+def amount_total(value: Column) -> Column:
+    """Sum of money amounts. Decimal, so the order of addition cannot change it."""
+    return F.sum(value).cast(MONEY_TOTAL)
+
+
+def exact_total(value: Column, scale: int = SCALE) -> Column:
+    """Sum of already rounded doubles, added up as decimals to stay order-independent."""
+    return F.sum(value.cast(f"decimal(38,{scale})")).cast("double")
+
+
+def total_or_zero(columns) -> Column:
+    """Row-wise sum of columns with NULL read as 0."""
+    return reduce(add, [F.coalesce(F.col(c), F.lit(0)) for c in columns])
+
+
+def plus(columns) -> Column:
+    """Row-wise sum of columns, NULL as soon as one of them is NULL."""
+    return reduce(add, [F.col(c) for c in columns])
