@@ -8,14 +8,14 @@ leaves out branches without a supplier under the balance limit.
 
 from __future__ import annotations
 
-from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standings.functions import MONEY, month_of
+from standings.functions import MONEY
 from standings.operators.ledger import Line
-from standings.plans.report import LineBook, RankingInputs
+from standings.plans.report import LineBook
 
 BEGIN, END = 200101, 200105
 MONTHS = 5
@@ -59,8 +59,23 @@ LINES = LineBook(
 )
 
 
+# Columns of the given tables, so that opening one costs no job.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,84 +85,76 @@ def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _branch_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", "c_name", "n_name"
-    )
+    customer = table(spark, sf_dir, "customer")
+    return customer.join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
 
 
 def loan_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = (
+    month = "year(o_orderdate) * 100 + month(o_orderdate)"
+    return (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_branch_of_customer(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    )
-    month = month_of(F.col("o_orderdate"))
-    returned = F.col("l_returnflag") == "R"
-    return joined.select(
-        F.col("n_name").alias("branch_city"),
-        month.alias("kpi_month"),
-        F.when(returned & (F.col("l_linenumber") % 2 == 0), month)
-        .when(returned, month_of(F.col("l_shipdate")))
-        .alias("write_off_month"),
-        F.col("l_extendedprice").cast(MONEY).alias("outstanding_principal"),
-        F.col("l_extendedprice").cast(MONEY).alias("write_off_balance_principal"),
-        F.col("l_quantity").cast(MONEY).alias("psdn"),
-        F.when(F.col("l_linenumber") <= 5, F.col("l_linenumber")).alias("max_bucket"),
-        F.nullif(F.col("l_suppkey") % 8, F.lit(7)).alias("pos_type_key"),
+        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(_branch_of_customer(spark, sf_dir), F.expr("o_custkey = c_custkey"))
+        .selectExpr(
+            "n_name as branch_city",
+            f"{month} as kpi_month",
+            f"""case when l_returnflag = 'R' and l_linenumber % 2 = 0 then {month}
+                when l_returnflag = 'R' then year(l_shipdate) * 100 + month(l_shipdate)
+                end as write_off_month""",
+            f"cast(l_extendedprice as {MONEY}) as outstanding_principal",
+            f"cast(l_extendedprice as {MONEY}) as write_off_balance_principal",
+            f"cast(l_quantity as {MONEY}) as psdn",
+            "case when l_linenumber <= 5 then l_linenumber end as max_bucket",
+            "nullif(l_suppkey % 8, 7) as pos_type_key",
+        )
     )
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = (
+    costs = ", ".join(f"'{b}'" for b in _brands(1, 3, 8, 9))
+    return (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    )
-    line, brand = F.col("l_linenumber"), F.col("p_brand")
-    is_cost = brand.startswith("Brand#2") | brand.isin(*_brands(1, 3, 8, 9))
-    nation = F.lpad(F.col("s_nationkey").cast("string"), 2, "0")
-    return joined.select(
-        F.concat(
-            F.when(line == 7, "HOC").otherwise("DVS"),
-            F.lit("000000"),
-            F.when(line == 6, "00").otherwise(nation),
-        ).alias("analysis_code"),
-        F.concat(
-            F.when(brand == "Brand#25", "Z25").otherwise(brand), F.when(line == 1, " ").otherwise("")
-        ).alias("account_code"),
-        (F.col("l_extendedprice").cast(MONEY) * F.when(is_cost, -1).otherwise(1))
-        .cast(MONEY)
-        .alias("amount"),
-        F.col("l_shipdate").alias("transaction_date"),
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        .selectExpr(
+            """concat(if(l_linenumber = 7, 'HOC', 'DVS'), '000000',
+                if(l_linenumber = 6, '00', lpad(cast(s_nationkey as string), 2, '0')))
+                as analysis_code""",
+            """concat(if(p_brand = 'Brand#25', 'Z25', p_brand), if(l_linenumber = 1, ' ', ''))
+                as account_code""",
+            f"""cast(cast(l_extendedprice as {MONEY})
+                * if(startswith(p_brand, 'Brand#2') or p_brand in ({costs}), -1, 1) as {MONEY})
+                as amount""",
+            "l_shipdate as transaction_date",
+        )
     )
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only orders of the five months can fill a cell, so only those are read."""
-    placed = F.col("o_orderdate")
     orders = table(spark, sf_dir, "orders").where(
-        (placed >= F.lit(date(2001, 1, 1))) & (placed < F.lit(date(2001, 6, 1)))
+        "o_orderdate >= timestamp_ntz'2001-01-01' and o_orderdate < timestamp_ntz'2001-06-01'"
     )
-    name = F.col("n_name")
-    province = F.when(name == "NATION_3", "N3").when(name == "NATION_7", "N7").otherwise(name)
     cells = []
     for m in range(1, MONTHS + 1):
-        here = F.month(placed) == m
-        approved = here & (F.col("o_orderstatus") == "F")
+        here = f"month(o_orderdate) = {m}"
         cells += [
-            F.sum(F.when(here, F.col("o_totalprice").cast(MONEY))).alias(f"ltn_{m:02d}"),
-            F.sum(F.when(here, 1)).alias(f"psdn_{m:02d}"),
-            F.sum(F.when(here, 1)).alias(f"appin_{m:02d}"),
-            F.sum(F.when(approved, 1)).alias(f"approved_{m:02d}"),
+            F.expr(f"sum(case when {here} then cast(o_totalprice as {MONEY}) end) as ltn_{m:02d}"),
+            F.expr(f"sum(case when {here} then 1 end) as psdn_{m:02d}"),
+            F.expr(f"sum(case when {here} then 1 end) as appin_{m:02d}"),
+            F.expr(f"sum(case when {here} and o_orderstatus = 'F' then 1 end) as approved_{m:02d}"),
         ]
     return (
         _branch_of_customer(spark, sf_dir)
-        .join(orders, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(orders, F.expr("o_custkey = c_custkey"), "left")
         .groupBy("n_name", "c_name")
         .agg(*cells)
-        .withColumns({"month_key": F.lit(END), "province": province, "staff_code": F.col("c_name")})
+        .selectExpr(
+            "*",
+            f"{END} as month_key",
+            "case n_name when 'NATION_3' then 'N3' when 'NATION_7' then 'N7' else n_name end as province",
+            "c_name as staff_code",
+        )
         .drop("n_name", "c_name")
     )
 
@@ -170,13 +177,30 @@ def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> RankingInputs:
-    return RankingInputs(
-        sales=sales(spark, sf_dir),
-        loans=loan_tape(spark, sf_dir),
-        ledger=ledger(spark, sf_dir),
-        provinces=provinces(spark, sf_dir),
-        funding=funding(spark, sf_dir),
-        lines=LINES,
-        aliases=ALIASES,
-    )
+class GivenInputs:
+    """`RankingInputs` over the given tables, each input opened when it is first used."""
+
+    lines, aliases = LINES, ALIASES
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._given = spark, sf_dir
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return sales(*self._given)
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return loan_tape(*self._given)
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return ledger(*self._given)
+
+    @cached_property
+    def provinces(self) -> DataFrame:
+        return provinces(*self._given)
+
+    @cached_property
+    def funding(self) -> DataFrame:
+        return funding(*self._given)

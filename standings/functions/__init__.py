@@ -1,20 +1,22 @@
-from standings.functions.columns import (
+from standings.functions.months import (
+    first_day,
+    month_list,
+    month_of,
+    next_month,
+    year_start,
+)
+from standings.functions.sql import (
     MONEY,
     MONEY_TOTAL,
     SCALE,
     amount_total,
     exact_total,
     plus,
+    quoted,
     ratio,
+    rounded,
     total_or_zero,
 )
-from standings.functions.months import (
-    first_day,
-    month_list,
-    month_of,
-    next_month,
-    year_start,
-)
 
 __all__ = [
     "MONEY",
@@ -27,7 +29,9 @@ __all__ = [
     "month_of",
     "next_month",
     "plus",
+    "quoted",
     "ratio",
+    "rounded",
     "total_or_zero",
     "year_start",
 ]

@@ -12,7 +12,7 @@ from standings.operators.balances import (
 from standings.operators.ledger import (
     Line,
     account_totals,
-    company_rollup,
+    company_totals,
     gl_rollup,
     gl_rollup_long,
     line_map_frame,
@@ -42,7 +42,7 @@ __all__ = [
     "allocate_pool",
     "attach_metric",
     "bucketed_sums",
-    "company_rollup",
+    "company_totals",
     "composite_rank",
     "cumulative_by_period",
     "cumulative_by_period_window",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from standings.functions import SCALE, exact_total
+from standings.functions import exact_total, rounded
 
 KEEP_DIRECT = "keep_direct"
 ZERO_ALL = "zero_all"
@@ -31,29 +31,26 @@ def allocate_pool(
     """``direct + pool * driver / sum(driver)`` for every line of ``base``.
 
     ``lines`` names the driver column of each line. ``pool`` is a one-row struct with a field
-    per line, such as `pool_row` gives; it and the driver totals are scalar subqueries.
+    per line, such as `pool_row` gives. It and the driver totals are scalar subqueries, which
+    Spark runs once for all the allocations that share them.
 
     ``keep_direct`` adds nothing where the share is unknown. ``zero_all`` makes the whole line 0
     there, direct amount included. ``require_pool`` returns no rows at all without a pool.
     """
-    columns = list(dict.fromkeys(lines.values()))
-    totals = drivers.select(F.struct(*[exact_total(F.col(c)).alias(c) for c in columns])).scalar()
-    joined = base.join(drivers.select(on, *columns), on, "left").withColumns(
-        {"_pool": pool, "_total": totals}
-    )
+    columns = [c for c in drivers.columns if c != on]
+    totals = drivers.select(F.struct(*[F.expr(exact_total(c)).alias(c) for c in columns])).scalar()
+    joined = base.join(drivers, on, "left").withColumns({"_pool": pool, "_total": totals})
     if require_pool:
         joined = joined.where(F.col("_pool").isNotNull())
 
     def allocated(line, driver):
-        direct = F.col(line).cast("double")
-        share = F.try_divide(
-            F.col("_pool")[line].cast("double") * F.col(driver).cast("double"), F.col("_total")[driver]
-        )
+        direct = f"cast({line} as double)"
+        share = f"try_divide(cast(_pool.{line} as double) * cast({driver} as double), _total.{driver})"
         if null_policy == ZERO_ALL:
-            value = F.coalesce(F.coalesce(direct, F.lit(0.0)) + share, F.lit(0.0))
+            value = f"coalesce(coalesce({direct}, 0) + {share}, 0)"
         else:
-            value = direct + F.coalesce(share, F.lit(0.0))
-        return F.round(value, SCALE).alias(line)
+            value = f"{direct} + coalesce({share}, 0)"
+        return f"{rounded(value)} as {line}"
 
-    kept = [F.col(c) for c in base.columns if c not in lines]
-    return joined.select(*kept, *[allocated(line, driver) for line, driver in lines.items()])
+    kept = [c for c in base.columns if c not in lines]
+    return joined.selectExpr(*kept, *[allocated(line, driver) for line, driver in lines.items()])

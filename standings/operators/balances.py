@@ -14,12 +14,13 @@ EXCLUDED_CHANNELS = (4, 6)
 # Which debt groups each balance adds up. A loan without a group counts as
 # group 1, except in the 3-5 test, where it counts as none.
 DEBT_GROUPS = {
-    "balance_3_5": lambda bucket: bucket.isin(3, 4, 5),
-    "balance_1": lambda bucket: F.coalesce(bucket, F.lit(1)) == 1,
-    "balance_2": lambda bucket: F.coalesce(bucket, F.lit(1)) == 2,
-    "balance_2_5": lambda bucket: F.coalesce(bucket, F.lit(1)) != 1,
+    "balance_3_5": "max_bucket in (3, 4, 5)",
+    "balance_1": "coalesce(max_bucket, 1) = 1",
+    "balance_2": "coalesce(max_bucket, 1) = 2",
+    "balance_2_5": "coalesce(max_bucket, 1) <> 1",
 }
 BALANCES = ["balance", *DEBT_GROUPS]
+AMOUNTS = ["outstanding_principal", "write_off_balance_principal", "psdn"]
 
 
 def in_channel(excluded=EXCLUDED_CHANNELS) -> Column:
@@ -32,13 +33,12 @@ def written_off_now() -> Column:
     return F.coalesce(F.col("write_off_month") == F.col("kpi_month"), F.lit(False))
 
 
-def bucketed_sums(df: DataFrame, keys, value: str, buckets: dict[str, Column], total: str) -> DataFrame:
-    """Total of ``value`` per key and, beside it, its part in each bucket."""
-    parts = [
-        amount_total(F.when(test, F.col(value)).otherwise(0)).alias(name)
-        for name, test in buckets.items()
-    ]
-    return df.groupBy(*keys).agg(amount_total(F.col(value)).alias(total), *parts)
+def bucketed_sums(df: DataFrame, keys, value: str, buckets: dict[str, str], total: str) -> DataFrame:
+    """Total of ``value`` per key and, beside it, its part under each bucket's condition."""
+    parts = {name: f"case when {test} then {value} else 0 end" for name, test in buckets.items()}
+    return df.groupBy(*keys).agg(
+        *[F.expr(amount_total(v)).alias(name) for name, v in {total: value, **parts}.items()]
+    )
 
 
 def cumulative_by_period(
@@ -51,9 +51,9 @@ def cumulative_by_period(
     """
     if begin is not None:
         df = df.where(F.col(period) >= begin)
-    monthly = df.groupBy(*keys, period).agg(amount_total(F.col(value)).alias(out))
+    monthly = df.groupBy(*keys, period).agg(F.expr(amount_total(value)).alias(out))
     reached = monthly.join(F.broadcast(spine), F.col(period) <= F.col("month_key"))
-    return reached.groupBy("month_key", *keys).agg(amount_total(F.col(out)).alias(out))
+    return reached.groupBy("month_key", *keys).agg(F.expr(amount_total(out)).alias(out))
 
 
 def cumulative_by_period_window(
@@ -67,7 +67,7 @@ def cumulative_by_period_window(
         df = df.where(F.col(period) >= begin)
     at = F.greatest(F.col(period), F.lit(months[0])).alias("at")
     monthly = df.where(F.col(period) <= months[-1]).groupBy(*keys, at).agg(
-        amount_total(F.col(value)).alias("moved")
+        F.expr(amount_total(value)).alias("moved")
     )
     by_key = Window.partitionBy(*keys).orderBy("at")
     upto = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -86,17 +86,16 @@ def cumulative_by_period_window(
 
 def period_mean(df: DataFrame, keys, columns, prefix: str = "avg_") -> DataFrame:
     """Sum over the rows of a key by their number. A NULL adds nothing but still counts."""
-    rows = F.count(F.lit(1))
-    return df.groupBy(*keys).agg(*[ratio(F.sum(c), rows).alias(prefix + c) for c in columns])
+    means = [F.expr(ratio(f"sum({c})", "count(1)")).alias(prefix + c) for c in columns]
+    return df.groupBy(*keys).agg(*means)
 
 
 def adjusted_period_mean(
     base: DataFrame, adjustment: DataFrame, on, column: str, keys, columns, prefix: str = "avg_"
 ) -> DataFrame:
     """`period_mean` after adding ``column`` of the matching adjustment row to every measure."""
-    extra = F.coalesce(F.col(column), F.lit(0))
-    joined = base.join(adjustment, on, "left").select(
-        *keys, *[(F.col(c) + extra).alias(c) for c in columns]
+    joined = base.join(adjustment, on, "left").selectExpr(
+        *keys, *[f"{c} + coalesce({column}, 0) as {c}" for c in columns]
     )
     return period_mean(joined, keys, columns, prefix)
 
@@ -105,9 +104,9 @@ def adjusted_share(
     base: DataFrame, adjustment: DataFrame, on, column: str, num: str, den: str, out: str
 ) -> DataFrame:
     """``(num + x) * 100 / (den + x)`` with ``x`` taken from the matching adjustment row."""
-    extra = F.coalesce(F.col(column), F.lit(0))
-    share = ratio((F.col(num) + extra) * 100, F.col(den) + extra)
-    return base.join(adjustment, on, "left").select(*on, share.alias(out))
+    extra = f"coalesce({column}, 0)"
+    share = ratio(f"({num} + {extra}) * 100", f"({den} + {extra})")
+    return base.join(adjustment, on, "left").selectExpr(*on, f"{share} as {out}")
 
 
 def grouped_total(
@@ -117,7 +116,7 @@ def grouped_total(
     return (
         df.where(F.col(period).between(begin, end))
         .groupBy(*keys)
-        .agg(amount_total(F.col(value)).alias(out))
+        .agg(F.expr(amount_total(value)).alias(out))
     )
 
 
@@ -136,14 +135,10 @@ def loan_months(
         "max_bucket",
         in_channel(excluded).alias("in_channel"),
         (in_channel(excluded) & written_off_now()).alias("written_off"),
-        "outstanding_principal",
-        "write_off_balance_principal",
-        "psdn",
+        *AMOUNTS,
     ).where((F.col("kpi_month") >= begin) | F.col("written_off"))
     return kept.groupBy("branch_city", "kpi_month", "max_bucket", "in_channel", "written_off").agg(
-        amount_total(F.col("outstanding_principal")).alias("outstanding_principal"),
-        amount_total(F.col("write_off_balance_principal")).alias("write_off_balance_principal"),
-        amount_total(F.col("psdn")).alias("psdn"),
+        *[F.expr(amount_total(c)).alias(c) for c in AMOUNTS]
     )
 
 
@@ -154,12 +149,11 @@ def write_offs(months: DataFrame) -> DataFrame:
 
 def branch_balances(months: DataFrame, begin: int, end: int) -> DataFrame:
     """Closing balances per branch and month, whole and by debt group."""
-    bucket = F.col("max_bucket")
     scoped = months.where(F.col("in_channel") & F.col("kpi_month").between(begin, end))
     return bucketed_sums(
         scoped.withColumnRenamed("kpi_month", "month_key"),
         ["month_key", "branch_city"],
         "outstanding_principal",
-        {name: test(bucket) for name, test in DEBT_GROUPS.items()},
+        DEBT_GROUPS,
         total="balance",
     )

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standings.functions import amount_total, first_day, next_month, plus, ratio
+from standings.functions import amount_total, first_day, next_month, plus, quoted, ratio
 from standings.sources.schemas import LINE_MAP
 
 # Layout of the analysis code and the code of the head-office pool.
@@ -26,10 +24,11 @@ class Line:
     exact: tuple[str, ...] = ()
     prefixes: tuple[str, ...] = ()
 
-    def matches(self, account: Column) -> Column:
-        tests = [account.isin(*self.exact)] if self.exact else []
-        tests += [account.startswith(p) for p in self.prefixes]
-        return reduce(or_, tests)
+    def condition(self) -> str:
+        codes = ", ".join(map(quoted, self.exact))
+        tests = [f"account_code in ({codes})"] if codes else []
+        tests += [f"startswith(account_code, {quoted(p)})" for p in self.prefixes]
+        return "(" + " or ".join(tests) + ")"
 
 
 def account_totals(ledger: DataFrame, begin: int, end: int) -> DataFrame:
@@ -49,54 +48,55 @@ def account_totals(ledger: DataFrame, begin: int, end: int) -> DataFrame:
             "amount",
         )
         .groupBy("branch_code", "account_code")
-        .agg(amount_total(F.col("amount")).alias("amount"))
+        .agg(F.expr(amount_total("amount")).alias("amount"))
     )
 
 
-def _line_sums(lines, extra: Column | None = None) -> list[Column]:
-    account = F.col("account_code")
-    sums = []
-    for line in lines:
-        test = line.matches(account) if extra is None else line.matches(account) & extra
-        sums.append(amount_total(F.when(test, F.col("amount")).otherwise(0)).alias(line.name))
-    return sums
+def _line_sums(lines, extra: str = "true") -> list[Column]:
+    return [
+        F.expr(amount_total(f"case when {line.condition()} and {extra} then amount else 0 end")).alias(
+            line.name
+        )
+        for line in lines
+    ]
 
 
-def gl_rollup(totals: DataFrame, lines, pool: bool | None = None) -> DataFrame:
+def gl_rollup(
+    totals: DataFrame, lines, pool: bool | None = None, company_lines=(), exclude_prefix: str = "Z"
+) -> DataFrame:
     """One row per branch code with one column per line; an account may feed several lines.
 
     ``pool=False`` leaves the head-office code out, ``pool=True`` keeps only that one.
+    ``company_lines`` skip the ``exclude_prefix`` accounts and add a row without a code, which
+    holds what is posted outside the branch network.
     """
-    scoped = totals.where(F.col("branch_code").isNotNull())
+    code = F.col("branch_code")
+    scoped = totals if company_lines else totals.where(code.isNotNull())
     if pool is not None:
-        is_pool = F.col("branch_code") == POOL
-        scoped = scoped.where(is_pool if pool else ~is_pool)
-    return scoped.groupBy("branch_code").agg(*_line_sums(lines))
+        scoped = scoped.where(code == POOL if pool else code != POOL)
+    counted = f"not startswith(account_code, {quoted(exclude_prefix)})"
+    return scoped.groupBy("branch_code").agg(*_line_sums(lines), *_line_sums(company_lines, counted))
 
 
-def pool_row(rollup: DataFrame, lines) -> Column:
-    """The head-office row of a rollup as a struct, NULL when there is none."""
-    row = rollup.where(F.col("branch_code") == POOL)
-    return row.select(F.struct(*[F.col(line.name) for line in lines])).scalar()
+def company_totals(rollup: DataFrame, lines, network_lines=()) -> DataFrame:
+    """One row of line totals for the whole company; ``network_lines`` count branch codes only."""
+    in_network = {line.name: f"case when branch_code is not null then {line.name} end" for line in network_lines}
+    values = {line.name: line.name for line in lines} | in_network
+    return rollup.agg(*[F.expr(amount_total(v)).alias(name) for name, v in values.items()])
 
 
-def company_rollup(totals: DataFrame, lines, network_lines=(), exclude_prefix: str = "Z") -> DataFrame:
-    """One row of line totals for the whole company; ``network_lines`` count branch codes only."""
-    scoped = totals.where(~F.col("account_code").startswith(exclude_prefix))
-    in_network = F.col("branch_code").isNotNull()
-    return scoped.agg(*_line_sums(lines), *_line_sums(network_lines, in_network))
+def pool_row(rollup: DataFrame) -> Column:
+    """The head-office row of a rollup as a struct, NULL when there is none."""
+    return rollup.where(F.col("branch_code") == POOL).select(F.struct("*")).scalar()
 
 
 def proportional_cost(company: DataFrame, pools, num: str, den) -> DataFrame:
     """Each pool times ``num`` over the sum of the ``den`` columns, as the pool row."""
-    below = plus(den)
-    return company.select(
-        F.lit(POOL).alias("dd"),
-        *[
-            ratio(F.col(pool).cast("double") * F.col(num).cast("double"), below).alias(pool)
-            for pool in pools
-        ],
-    )
+    shares = [
+        ratio(f"cast({pool} as double) * cast({num} as double)", plus(den)) + f" as {pool}"
+        for pool in pools
+    ]
+    return company.selectExpr(f"{quoted(POOL)} as dd", *shares)
 
 
 def line_map_frame(spark: SparkSession, lines) -> DataFrame:
@@ -128,5 +128,5 @@ def gl_rollup_long(totals: DataFrame, line_map: DataFrame) -> DataFrame:
         totals.where(F.col("branch_code").isNotNull())
         .join(resolved, "account_code")
         .groupBy("branch_code", "line")
-        .agg(amount_total(F.col("amount")).alias("amount"))
+        .agg(F.expr(amount_total("amount")).alias("amount"))
     )

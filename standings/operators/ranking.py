@@ -60,16 +60,19 @@ def rank_metrics(
     df: DataFrame,
     specs: Sequence[RankSpec],
     partition: Sequence[str] = (),
+    rows: int | None = None,
     workspace=None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add one rank column per spec, ranking within ``partition``.
 
-    The largest group is counted first. Up to ``single_task_rows`` a plain window does it;
-    above, `rank_distributed` returns the same ranks without bringing a group into one task.
-    With a ``workspace`` the rows are staged once, so neither the count nor the ranks run the
-    plan behind ``df`` again.
+    Groups of up to ``single_task_rows`` rows are ranked by plain windows; above that,
+    `rank_distributed` returns the same ranks without bringing a group into one task. ``rows``
+    is an upper bound of the largest group where the caller knows one; otherwise it is counted.
+    With a ``workspace`` the rows are staged before they are read more than once.
     """
+    if rows is not None and rows <= single_task_rows:
+        return rank_windowed(df, specs, partition)
     if workspace is not None:
         df = workspace.keep(df, "ranked")
     if largest_group(df, partition) <= single_task_rows:
@@ -208,6 +211,7 @@ def composite_rank(
     df: DataFrame,
     rank_cols: dict[str, Sequence[str]],
     partition: Sequence[str] = (),
+    rows: int | None = None,
     workspace=None,
     single_task_rows: int = SINGLE_TASK_ROWS,
     nulls: str | None = None,
@@ -215,6 +219,6 @@ def composite_rank(
     """Rank the sums of other ranks, smallest first: ``rank_cols`` maps each output to its parts."""
     summed = df.withColumns({f"_{out}": rank_sum(cols) for out, cols in rank_cols.items()})
     specs = [RankSpec(f"_{out}", out, nulls=nulls) for out in rank_cols]
-    return rank_metrics(summed, specs, partition, workspace, single_task_rows).drop(
+    return rank_metrics(summed, specs, partition, rows, workspace, single_task_rows).drop(
         *[s.column for s in specs]
     )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +15,14 @@ def normalize_values(df: DataFrame, column: str, mapping: dict[str, str]) -> Dat
 
 def mean_of_present(df: DataFrame, columns, out: str) -> DataFrame:
     """Mean over the columns that are not NULL; NULL when all are."""
-    present = reduce(add, [F.col(c).isNotNull().cast("int") for c in columns])
-    return df.withColumn(out, ratio(total_or_zero(columns), present))
+    present = " + ".join(f"int({c} is not null)" for c in columns)
+    return df.withColumn(out, F.expr(ratio(total_or_zero(columns), present)))
 
 
 def ratio_of_sums(df: DataFrame, num, den, out: str, scale: int = 100, on_zero=0) -> DataFrame:
     """``scale * sum(num) / sum(den)`` over the columns of a row, ``on_zero`` without any ``den``."""
     below = total_or_zero(den)
-    share = ratio(F.lit(scale) * total_or_zero(num), below)
-    return df.withColumn(out, F.when(below == 0, F.lit(on_zero).cast("double")).otherwise(share))
+    share = ratio(f"{scale} * {total_or_zero(num)}", below)
+    return df.withColumn(
+        out, F.expr(f"case when {below} = 0 then cast({on_zero} as double) else {share} end")
+    )

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from standings.functions import SCALE, ratio
+from standings.functions import ratio, rounded
 
 
 def attach_metric(staff: DataFrame, metric: DataFrame, on) -> DataFrame:
@@ -22,24 +21,18 @@ def ratio_scorecard(branches: DataFrame, components) -> DataFrame:
     for frame, key in components:
         branches = branches.join(frame, key, "left")
 
-    def part(name):
-        return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-
-    parts = branches.select(
+    names = ("opex", "card", "fund", "other", "other_revenue", "provision", "heads")
+    parts = branches.selectExpr(
         "dd",
-        F.col("province").alias("branch_city"),
-        *[
-            part(name).alias(name)
-            for name in ("opex", "card", "fund", "other", "other_revenue", "provision", "heads")
-        ],
+        "province as branch_city",
+        *[f"coalesce(cast({name} as double), 0) as {name}" for name in names],
     )
-    profit = F.round(F.col("card") + F.col("opex") + F.col("provision"), SCALE)
-    income = F.round(F.col("card") + F.col("fund") + F.col("other"), SCALE)
-    return parts.select(
+    profit = rounded("card + opex + provision")
+    return parts.selectExpr(
         "dd",
         "branch_city",
-        ratio(F.col("opex") * -100, income).alias("cir"),
-        ratio(profit * 100, F.round(F.col("card") + F.col("other_revenue"), SCALE)).alias("margin"),
-        ratio(profit * -100, F.col("fund")).alias("return_on_funding"),
-        ratio(profit, F.col("heads")).alias("profit_per_head"),
+        ratio("opex * -100", rounded("card + fund + other")) + " as cir",
+        ratio(f"{profit} * 100", rounded("card + other_revenue")) + " as margin",
+        ratio(f"{profit} * -100", "fund") + " as return_on_funding",
+        ratio(profit, "heads") + " as profit_per_head",
     )

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from standings.functions import MONEY_TOTAL, SCALE, month_list, plus, year_start
+from standings.functions import month_list, plus, rounded, year_start
 from standings.operators.allocation import ZERO_ALL, allocate_pool, headcount_share
 from standings.operators.balances import (
     BALANCES,
@@ -27,7 +27,7 @@ from standings.operators.ledger import (
     POOL,
     Line,
     account_totals,
-    company_rollup,
+    company_totals,
     gl_rollup,
     pool_row,
     proportional_cost,
@@ -166,28 +166,29 @@ class RankingRun:
         options: Options | None = None,
         workspace: Workspace | None = None,
     ):
+        self.inputs = inputs
         self.options = options or Options()
         self.lines = inputs.lines
         self.workspace = workspace
-        collation = self.options.collation
-        sales = conform(inputs.sales, sales_schema(self.options.months), collation)
-        self.sales = normalize_values(sales, "province", inputs.aliases)
-        self.loans = conform(inputs.loans, LOAN_TAPE, collation)
-        self.ledger = conform(inputs.ledger, LEDGER)
-        self.provinces = conform(inputs.provinces, PROVINCES, collation)
-        self.funding = conform(inputs.funding, FUNDING, collation)
         if report_month is None:
             report_month = report_period(self.sales, "month_key").first()["end_month"]
         self.end = report_month
         self.begin = begin_month or year_start(report_month)
 
-    @property
-    def spark(self) -> SparkSession:
-        return self.sales.sparkSession
-
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return self.workspace.keep(df, name) if self.workspace else df
 
+    # Inputs ------------------------------------------------------------------------------
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        sheet = conform(self.inputs.sales, sales_schema(self.options.months), self.options.collation)
+        return normalize_values(sheet, "province", self.inputs.aliases)
+
+    @cached_property
+    def provinces(self) -> DataFrame:
+        return conform(self.inputs.provinces, PROVINCES, self.options.collation)
+
     # Sales sheet -------------------------------------------------------------------------
 
     @cached_property
@@ -217,11 +218,13 @@ class RankingRun:
     @cached_property
     def spine(self) -> DataFrame:
         """The months of the report year up to the report month."""
-        return month_spine(self.spark, self.spine_begin, self.end)
+        return month_spine(self.inputs.loans.sparkSession, self.spine_begin, self.end)
 
     @cached_property
     def loan_months(self) -> DataFrame:
-        months = loan_months(self.loans, self.begin, self.end, self.options.excluded_channels)
+        """The loan tape, read once."""
+        tape = conform(self.inputs.loans, LOAN_TAPE, self.options.collation)
+        months = loan_months(tape, self.begin, self.end, self.options.excluded_channels)
         return self._keep(months, "loan_months")
 
     @cached_property
@@ -263,6 +266,18 @@ class RankingRun:
         )
         return self._month(total)
 
+    @cached_property
+    def drivers(self) -> DataFrame:
+        """What the pools are spread by: one row per branch, from the three tables above."""
+        before = self.mean_balances_before_writeoff.selectExpr(
+            "branch_city", "avg_balance_2_5 as avg_balance_2_5_before_writeoff"
+        )
+        rows = self.mean_balances.drop("month_key").unionByName(before, allowMissingColumns=True)
+        rows = rows.unionByName(self.volume.drop("month_key"), allowMissingColumns=True)
+        names = [c for c in rows.columns if c != "branch_city"]
+        merged = rows.groupBy("branch_city").agg(*[F.max(c).alias(c) for c in names])
+        return self._keep(merged, "drivers")
+
     @cached_property
     def npl(self) -> DataFrame:
         """Non-performing share of the report month, write-offs added back."""
@@ -290,36 +305,49 @@ class RankingRun:
     # Ledger ------------------------------------------------------------------------------
 
     @cached_property
-    def account_totals(self) -> DataFrame:
-        return self._keep(account_totals(self.ledger, self.begin, self.end), "account_totals")
+    def ledger_lines(self) -> DataFrame:
+        """The ledger, read once: every line by branch code, the pool and the rest among them."""
+        ledger = conform(self.inputs.ledger, LEDGER)
+        totals = account_totals(ledger, self.begin, self.end)
+        lines = self.lines
+        company = lines.funding_costs + lines.funding_income + lines.card_income
+        return self._keep(gl_rollup(totals, lines.branch_lines, company_lines=company), "ledger_lines")
+
+    @cached_property
+    def pool(self) -> Column:
+        """The head-office amounts of all lines."""
+        names = [line.name for line in self.lines.branch_lines]
+        return pool_row(self.ledger_lines.select("branch_code", *names))
+
+    def _slice(self, lines) -> DataFrame:
+        by_code = self.ledger_lines.where(F.col("branch_code").isNotNull())
+        return by_code.select("branch_code", *[line.name for line in lines])
 
     @cached_property
     def opex_direct(self) -> DataFrame:
-        return gl_rollup(self.account_totals, self.lines.opex, pool=False)
+        return self._slice(self.lines.opex).where(F.col("branch_code") != POOL)
 
     @cached_property
     def opex_pool(self) -> DataFrame:
-        return gl_rollup(self.account_totals, self.lines.opex, pool=True)
+        return self._slice(self.lines.opex).where(F.col("branch_code") == POOL)
 
     @cached_property
     def card_direct(self) -> DataFrame:
-        return gl_rollup(self.account_totals, self.lines.card)
+        return self._slice(self.lines.card)
 
     @cached_property
     def other_direct(self) -> DataFrame:
-        return gl_rollup(self.account_totals, self.lines.other)
+        return self._slice(self.lines.other)
 
     @cached_property
     def provision_direct(self) -> DataFrame:
-        return gl_rollup(self.account_totals, self.lines.provision)
+        return self._slice(self.lines.provision)
 
     @cached_property
     def funding_pool(self) -> DataFrame:
         """Funding cost of the whole company, the card business's share of it."""
-        company = company_rollup(
-            self.account_totals,
-            self.lines.funding_costs + self.lines.funding_income,
-            self.lines.card_income,
+        company = company_totals(
+            self.ledger_lines, self.lines.funding_costs + self.lines.funding_income, self.lines.card_income
         )
         costs = [line.name for line in self.lines.funding_costs]
         return proportional_cost(company, costs, "card_income", ["total_income", "funding_revenue"])
@@ -334,7 +362,7 @@ class RankingRun:
         base = branches.join(self.opex_direct, F.col("dd") == F.col("branch_code"), "left")
         shared = allocate_pool(
             base.select("dd", "province", *names),
-            pool_row(self.opex_pool, self.lines.opex),
+            self.pool,
             self.headcount,
             "province",
             dict.fromkeys(names, "heads"),
@@ -345,7 +373,7 @@ class RankingRun:
             "dd",
             F.col("province").alias("branch_city"),
             *names,
-            F.round(plus(names), SCALE).alias("opex"),
+            F.expr(rounded(plus(names))).alias("opex"),
         )
 
     @cached_property
@@ -358,39 +386,32 @@ class RankingRun:
             "limit_fee": "avg_balance_1",
             "late_fee": "avg_balance_2_5",
         }
-        drivers = self.mean_balances.drop("month_key").join(
-            self.volume.drop("month_key"), "branch_city", "full"
-        )
-        return self._allocate(self.card_direct, self.lines.card, drivers, by_group)
+        return self._allocate(self.card_direct, by_group)
 
     @cached_property
     def other(self) -> DataFrame:
         """Commission, other net cost and business revenue per branch, by mean balance."""
         names = [line.name for line in self.lines.other]
-        return self._allocate(
-            self.other_direct, self.lines.other, self.mean_balances, dict.fromkeys(names, "avg_balance")
-        )
+        return self._allocate(self.other_direct, dict.fromkeys(names, "avg_balance"))
 
     @cached_property
     def provision(self) -> DataFrame:
         """Provision cost per branch, by mean balance of groups 2-5 before write-off."""
         return self._allocate(
             self.provision_direct,
-            self.lines.provision,
-            self.mean_balances_before_writeoff,
-            {"provision": "avg_balance_2_5"},
+            {"provision": "avg_balance_2_5_before_writeoff"},
             keep_pool_row=False,
         )
 
-    def _allocate(self, rollup, lines, drivers, by, keep_pool_row=True) -> DataFrame:
+    def _allocate(self, rollup, by, keep_pool_row=True) -> DataFrame:
         names = self.provinces.select(
             F.col("dd").alias("branch_code"), F.col("province").alias("branch_city")
         )
         base = rollup if keep_pool_row else rollup.where(F.col("branch_code") != POOL)
         return allocate_pool(
             base.join(names, "branch_code", "left"),
-            pool_row(rollup, lines),
-            drivers,
+            self.pool,
+            self.drivers,
             "branch_city",
             by,
             require_pool=self.options.require_pool,
@@ -403,35 +424,48 @@ class RankingRun:
         """The four financial ratios of every branch but the head office."""
 
         def by_province(df, **columns):
-            return df.select(
-                F.col("branch_city").alias("province"),
-                *[F.round(c, SCALE).alias(name) for name, c in columns.items()],
+            return df.selectExpr(
+                "branch_city as province", *[f"{rounded(v)} as {name}" for name, v in columns.items()]
             )
 
-        card = [line.name for line in self.lines.card]
-        other = [line.name for line in self.lines.other]
-        fund = plus(["cost_deposit_cert", "cost_market_1", "cost_market_2"]).cast(MONEY_TOTAL)
-        return ratio_scorecard(
+        card = plus([line.name for line in self.lines.card])
+        other = plus([line.name for line in self.lines.other])
+        fund = "cast(" + plus([f.name for f in FUNDING if f.name != "branch_city"]) + " as double)"
+        funding = conform(self.inputs.funding, FUNDING, self.options.collation)
+        scored = ratio_scorecard(
             self.provinces.where(F.col("dd") != POOL),
             [
                 (self.opex.select("dd", "opex"), "dd"),
-                (by_province(self.card, card=plus(card)), "province"),
-                (by_province(self.funding, fund=fund.cast("double")), "province"),
-                (
-                    by_province(self.other, other=plus(other), other_revenue=F.col("business_revenue")),
-                    "province",
-                ),
-                (by_province(self.provision, provision=F.col("provision")), "province"),
+                (by_province(self.card, card=card), "province"),
+                (by_province(funding, fund=fund), "province"),
+                (by_province(self.other, other=other, other_revenue="business_revenue"), "province"),
+                (by_province(self.provision, provision="provision"), "province"),
                 (self.headcount, "province"),
             ],
         )
+        return self._keep(scored, "ratios")
+
+    @cached_property
+    def branch_size(self) -> tuple[int, int]:
+        """Branches to rank and the most of them that share one name."""
+        named = self.ratios.groupBy("branch_city").agg(F.count(F.lit(1)).alias("rows"))
+        rows, shared = named.agg(F.sum("rows"), F.max("rows")).first()
+        return rows or 0, shared or 0
+
+    @cached_property
+    def staff_size(self) -> int | None:
+        """Upper bound of the staff in one month; unknown when earlier months are ranked too."""
+        if self.options.history is not None:
+            return None
+        return self.headcount.agg(F.sum("heads")).first()[0] or 0
 
     @cached_property
     def branch_ranks(self) -> DataFrame:
         """Branches with a cost-income ratio, ranked on the four ratios."""
         ranked = rank_metrics(
-            self._keep(self.ratios, "ratios").where(F.col("cir").isNotNull()),
+            self.ratios.where(F.col("cir").isNotNull()),
             branch_rank_specs(self.options.cir_offset),
+            rows=self.branch_size[0],
             single_task_rows=self.options.single_task_rows,
         )
         return ranked.select(
@@ -455,6 +489,7 @@ class RankingRun:
             rows,
             staff_rank_specs(self.options.nulls),
             ["month_key"],
+            self.staff_size,
             self.workspace,
             self.options.single_task_rows,
         )
@@ -464,6 +499,7 @@ class RankingRun:
         """The final report: staff and branch ranks side by side and the ranks of their sums."""
         branches = self.branch_ranks.withColumnRenamed("branch_city", "province")
         joined = self.staff_ranks.join(branches, "province", "left")
+        size = None if self.staff_size is None else self.staff_size * max(1, self.branch_size[1])
         ranked = composite_rank(
             joined,
             {
@@ -472,6 +508,7 @@ class RankingRun:
                 "rank_final": STAFF_RANKS + BRANCH_RANKS,
             },
             ["month_key"],
+            size,
             self.workspace,
             self.options.single_task_rows,
             self.options.nulls,
