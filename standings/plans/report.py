@@ -377,45 +377,48 @@ class RankingRun:
         )
 
     @cached_property
-    def card(self) -> DataFrame:
-        """Card revenue per branch: interest by balances, insurance by volume."""
-        by_group = {
+    def allocated(self) -> DataFrame:
+        """Card revenue, other cost and provisions per branch code, pools spread over branches.
+
+        Interest and late fees follow the balances they are earned on, insurance the volume,
+        other cost the whole balance, provisions the groups 2-5 before write-off.
+        """
+        spread_by = {
             "in_term_interest": "avg_balance_1",
             "overdue_interest": "avg_balance_2",
             "insurance_fee": "volume",
             "limit_fee": "avg_balance_1",
             "late_fee": "avg_balance_2_5",
+            **{line.name: "avg_balance" for line in self.lines.other},
+            "provision": "avg_balance_2_5_before_writeoff",
         }
-        return self._allocate(self.card_direct, by_group)
+        names = self.provinces.selectExpr("dd as branch_code", "province as branch_city")
+        direct = self._slice(self.lines.card + self.lines.other + self.lines.provision)
+        shared = allocate_pool(
+            direct.join(names, "branch_code", "left"),
+            self.pool,
+            self.drivers,
+            "branch_city",
+            spread_by,
+            require_pool=self.options.require_pool,
+        )
+        return self._keep(shared, "allocated")
+
+    @cached_property
+    def card(self) -> DataFrame:
+        """Card revenue per branch, the pool's own row included."""
+        return self.allocated.select("branch_city", *[line.name for line in self.lines.card])
 
     @cached_property
     def other(self) -> DataFrame:
-        """Commission, other net cost and business revenue per branch, by mean balance."""
-        names = [line.name for line in self.lines.other]
-        return self._allocate(self.other_direct, dict.fromkeys(names, "avg_balance"))
+        """Commission, other net cost and business revenue per branch, the pool's row included."""
+        return self.allocated.select("branch_city", *[line.name for line in self.lines.other])
 
     @cached_property
     def provision(self) -> DataFrame:
-        """Provision cost per branch, by mean balance of groups 2-5 before write-off."""
-        return self._allocate(
-            self.provision_direct,
-            {"provision": "avg_balance_2_5_before_writeoff"},
-            keep_pool_row=False,
-        )
-
-    def _allocate(self, rollup, by, keep_pool_row=True) -> DataFrame:
-        names = self.provinces.select(
-            F.col("dd").alias("branch_code"), F.col("province").alias("branch_city")
-        )
-        base = rollup if keep_pool_row else rollup.where(F.col("branch_code") != POOL)
-        return allocate_pool(
-            base.join(names, "branch_code", "left"),
-            self.pool,
-            self.drivers,
-            "branch_city",
-            by,
-            require_pool=self.options.require_pool,
-        ).drop("branch_code")
+        """Provision cost per branch, without the pool's row."""
+        branches = self.allocated.where(F.col("branch_code") != POOL)
+        return branches.select("branch_city", *[line.name for line in self.lines.provision])
 
     # Ratios and ranks --------------------------------------------------------------------
 
