@@ -37,6 +37,8 @@ LEDGER = _schema(
 )
 PROVINCES = _schema(dd=TEXT, province=TEXT)
 FUNDING = _schema(branch_city=TEXT, cost_deposit_cert=MONEY, cost_market_1=MONEY, cost_market_2=MONEY)
+# Columns that hold the name of a branch.
+NAMES = {"province", "branch_city"}
 LINE_MAP = _schema(line=TEXT, match_kind=TEXT, pattern=TEXT)
 
 
@@ -57,8 +59,8 @@ def sales_schema(months: int = 5) -> StructType:
 def conform(df: DataFrame, schema: StructType, collation: str | None = None) -> DataFrame:
     """Select the columns of ``schema`` by name and cast them; fail when one is missing.
 
-    ``collation`` (``"UNICODE_CI_AI"``, say) makes every string column compare that way in
-    the joins and groupings that follow. The default compares bytes.
+    ``collation`` (``"UNICODE_CI_AI"``, say) makes province and branch names compare that way
+    in the joins and groupings that follow. The default compares bytes.
     """
     present = {c.lower() for c in df.columns}
     missing = [f.name for f in schema if f.name.lower() not in present]
@@ -67,7 +69,7 @@ def conform(df: DataFrame, schema: StructType, collation: str | None = None) ->
     picked = []
     for field in schema:
         col = F.col(field.name).cast(field.dataType)
-        if collation and isinstance(field.dataType, StringType):
+        if collation and field.name in NAMES:
             col = F.collate(col, collation)
         picked.append(col.alias(field.name))
     return df.select(*picked)

@@ -38,6 +38,18 @@ def run_oracle(sql, sf_dir=SF_DIR):
     return names, result.fetchall()
 
 
+def check_plan(df):
+    """No crossed tables, and nothing but added-up rows in a single task."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        assert "CartesianProduct" not in line
+        if "BroadcastNestedLoopJoin" in line:
+            # The only nested loop is the month spine against monthly write-offs.
+            assert "month_key" in line and "kpi_month" in line
+        if "Exchange SinglePartition" in line:
+            assert "HashAggregate" in lines[i + 1]
+
+
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
@@ -46,6 +58,8 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, name, sf_dir):
     df = entry.queries()[name](spark, sf_dir)
+    if sf_dir == SF_DIR:
+        check_plan(df)
     names, rows = run_oracle(entry.oracle_sql()[name], sf_dir)
     assert sorted(df.columns) == sorted(names)
     ours = sorted_rows([tuple(r) for r in df.collect()], df.columns)
