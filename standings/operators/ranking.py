@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 # Largest group that is sorted within one task. Beyond it the ranks come from value buckets.
 SINGLE_TASK_ROWS = 500_000
 
-# Bounds on the number of value buckets; the shuffle partitions of the session decide between.
-MIN_BUCKETS, MAX_BUCKETS = 8, 512
+# Value buckets per shuffle partition, so that their sizes even out, and the bounds on both.
+BUCKETS_PER_PARTITION = 4
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 
 # Rows equal to a cut point are spread over this many tasks.
 SALTS = 64
@@ -109,7 +110,8 @@ def rank_distributed(
     only; the ranks are exact for any cuts.
     """
     if buckets is None:
-        wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        wanted = BUCKETS_PER_PARTITION * partitions
         buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
     cuts, groups = _cut_points(df, specs, partition, buckets)
     broadcast = groups * (2 * buckets + 1) <= BROADCAST_ROWS
@@ -127,7 +129,7 @@ def _cut_points(
 ) -> tuple[list[list], int]:
     """Distinct quantiles of every spec's value and the number of groups, in one pass."""
     shares = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 20 * buckets)
+    accuracy = 20 * buckets
     groups = F.approx_count_distinct(F.struct(*partition)) if partition else F.lit(1)
     *found, groups = df.agg(
         *[
@@ -139,28 +141,26 @@ def _cut_points(
     return [sorted(set(points or [])) for points in found], groups
 
 
-def _bucket(value: Column, points: list, first: int = 0) -> Column:
-    """Bucket number by binary search: even between cuts, odd on a cut."""
-    if not points:
-        return F.lit(2 * first)
-    mid = len(points) // 2
-    here = F.lit(points[mid])
-    return (
-        F.when(value < here, _bucket(value, points[:mid], first))
-        .when(value == here, F.lit(2 * (first + mid) + 1))
-        .otherwise(_bucket(value, points[mid + 1 :], first + mid + 1))
-    )
-
-
 def _place(df: DataFrame, spec: RankSpec, points: list) -> DataFrame:
-    """Add the compared value and the place of its bucket in rank order."""
+    """Add the compared value and the place of its bucket in rank order.
+
+    Buckets are numbered ``2k`` after ``k`` smaller cuts and ``2k + 1`` on the cut that follows
+    them. The cuts are a literal array, searched by halves, one column per step: that stays
+    compiled, and small, where a comparison per cut would outgrow what the JVM compiles.
+    """
+    df = df.withColumn("_value", spec.value()).withColumn("_below", F.lit(0))
+    cuts = F.lit(points) if points else F.array()
+    for step in (1 << n for n in reversed(range(len(points).bit_length()))):
+        higher = F.get(cuts, F.col("_below") + (step - 1)) < F.col("_value")
+        df = df.withColumn("_below", F.col("_below") + F.when(higher, step).otherwise(0))
+    on_cut = F.when(F.get(cuts, F.col("_below")) == F.col("_value"), 1).otherwise(0) if points else F.lit(0)
     last = 2 * len(points) + 1
-    bucket = _bucket(F.col("_value"), points)
+    bucket = F.col("_below") * 2 + on_cut
     place = F.lit(last) - bucket if spec.descending else bucket
     null_place = F.lit(-1 if spec.nulls_first else last + 1)
-    return df.withColumn("_value", spec.value()).withColumn(
+    return df.withColumn(
         "_place", F.when(F.col("_value").isNull(), null_place).otherwise(place)
-    )
+    ).drop("_below")
 
 
 def _within(partition: Sequence[str]):

@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -56,6 +57,11 @@ def test_all_null_and_empty(spark):
     assert both(spark, [], RankSpec("v", "r")) == []
 
 
+def test_decimal_values(spark):
+    values = [Decimal(v) for v in ("1.10", "0.30", "1.10", "-2.05")] + [None]
+    assert both(spark, values, RankSpec("v", "r"), "decimal(38,6)") == [4, 3, 4, 2, 1]
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_a_third_of_all_rows_on_one_value(spark, descending):
     rng = random.Random(7)
