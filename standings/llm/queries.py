@@ -6,7 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from standings.llm.common import table
+from standings.llm.langid import fold, identify
 from standings.llm.quality import judge_quality
+from standings.llm.simhash import near_duplicates
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the folds other than 2 and predicts every document."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = fold(F.col("doc_id")) % 4
+    found = identify(docs, docs.where(remainder != 2))
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        F.coalesce(fold(F.col("_row.doc_id")) % 4 == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "accepted",
+    )
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +47,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
 }
 
