@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standings.llm.common import table
+from standings.llm.common import Stage, table
+from standings.llm.idfiles import IdFileRules, read_ids, write_ids
 from standings.llm.langid import fold, identify
+from standings.llm.packing import PackingRules, pack
 from standings.llm.quality import judge_quality
 from standings.llm.simhash import near_duplicates
 
@@ -25,6 +27,19 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), PackingRules(tokenizer_path("word_bpe_49k.json")))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -32,6 +47,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the id files, reads them back, and describes each document from what it read."""
+    path = f"{Stage(spark).path}/ids"
+    write_ids(table(spark, sf_dir, "documents"), path, IdFileRules(tokenizer_path("byte_bpe_50k.json")))
+    return read_ids(spark, path).select(
+        "doc_id",
+        "start",
+        F.expr("cast(octet_length(ids) / 4 as bigint)").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -48,8 +75,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op9_token_id_output": op9_token_id_output,
 }
 
 ORACLE_SQL: dict[str, str] = {}
