@@ -10,6 +10,7 @@ from standings.llm.idfiles import IdFileRules, read_ids, write_ids
 from standings.llm.langid import fold, identify
 from standings.llm.packing import PackingRules, pack
 from standings.llm.quality import judge_quality
+from standings.llm.secrets import KINDS, find_secrets, listed_spans
 from standings.llm.simhash import near_duplicates
 
 
@@ -59,6 +60,20 @@ def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == KINDS.index(kind))).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in KINDS[:3]],
+        F.sha2(listed_spans(F.col("base")), 256).alias("base_sha256"),
+        listed_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -77,6 +92,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
     "op9_token_id_output": op9_token_id_output,
 }
