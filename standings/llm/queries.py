@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from standings.llm.common import Stage, table
 from standings.llm.idfiles import IdFileRules, read_ids, write_ids
+from standings.llm.imatch import IMatchRules, fingerprint, lexicon, likeness, next_ids, with_tails_replaced
 from standings.llm.langid import fold, identify
 from standings.llm.packing import PackingRules, pack
 from standings.llm.quality import judge_quality
@@ -48,6 +49,33 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, stage, rules = table(spark, sf_dir, "documents"), Stage(spark), IMatchRules()
+    bitmap = lexicon(docs, rules)
+    order = stage.keep(next_ids(docs, stage), "order")
+    own = stage.keep(
+        with_tails_replaced(docs, order).select(
+            "doc_id",
+            F.length("text").cast("bigint").alias("n_chars"),
+            F.sha2("edited", 256).alias("edited_sha256"),
+            fingerprint(F.col("text"), bitmap, rules).alias("fingerprint"),
+            fingerprint(F.col("edited"), bitmap, rules).alias("edited_fingerprint"),
+        ),
+        "prints",
+    )
+    first = own.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("fingerprint").alias("next_print"))
+    followed = order.join(first, "next_id").select(F.col("doc_id").alias("id"), "next_print")
+    return own.join(followed, F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+    )
+
+
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the id files, reads them back, and describes each document from what it read."""
     path = f"{Stage(spark).path}/ids"
@@ -94,6 +122,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_token_id_output": op9_token_id_output,
 }
 
