@@ -13,6 +13,15 @@ from standings.llm.packing import PackingRules, pack
 from standings.llm.quality import judge_quality
 from standings.llm.secrets import KINDS, find_secrets, listed_spans
 from standings.llm.simhash import near_duplicates
+from standings.llm.urls import UrlRule, judge_urls
+
+URL_RULES = [
+    UrlRule("allow", "org/"),
+    UrlRule("block", "example.org/es/"),
+    UrlRule("block", "example.org/en/1"),
+    UrlRule("allow", "com/fr/"),
+    UrlRule("block", "com/de/"),
+]
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +85,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("alias_of")
+
+
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the id files, reads them back, and describes each document from what it read."""
     path = f"{Stage(spark).path}/ids"
@@ -123,6 +136,7 @@ QUERIES = {
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_url_filters": op8_url_filters,
     "op9_token_id_output": op9_token_id_output,
 }
 
