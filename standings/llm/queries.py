@@ -14,6 +14,7 @@ from standings.llm.quality import judge_quality
 from standings.llm.secrets import KINDS, find_secrets, listed_spans
 from standings.llm.simhash import near_duplicates
 from standings.llm.urls import UrlRule, judge_urls
+from standings.llm.warc import read_warc, write_warc
 
 URL_RULES = [
     UrlRule("allow", "org/"),
@@ -58,6 +59,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives, reads them back, and describes each page from what it read."""
+    stage = Stage(spark)
+    path = f"{stage.path}/archives"
+    write_warc(table(spark, sf_dir, "pages"), path, stage=stage)
+    return read_warc(spark, path, payload=False, stage=stage).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, stage, rules = table(spark, sf_dir, "documents"), Stage(spark), IMatchRules()
     bitmap = lexicon(docs, rules)
@@ -135,6 +146,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_url_filters": op8_url_filters,
     "op9_token_id_output": op9_token_id_output,
