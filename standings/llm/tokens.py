@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Pieces that a Python worker remembers and characters handled at a time: bounds on memory only.
-REMEMBERED, CHARS_AT_ONCE = 600_000, 12_000_000
+# Pieces that a Python worker remembers, characters handled at a time, and pieces that the library
+# gets at a time, whose results are large objects: bounds on memory only.
+REMEMBERED, CHARS_AT_ONCE, LIBRARY_AT_ONCE = 500_000, 8_000_000, 20_000
 
 
 def worker_memo(name: str) -> dict:
@@ -47,8 +48,11 @@ class TextEncoder:
         self.spaces = spaces
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        out = []
+        for at in range(0, len(texts), LIBRARY_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + LIBRARY_AT_ONCE], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in found]
+        return out
 
     def _ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces that follow a space."""
@@ -71,7 +75,7 @@ class TextEncoder:
         parts = pc.split_pattern(pa.array(["" if u else t for t, u in zip(whole, uncut)], pa.large_string()), " ")
         flat = pc.list_flatten(parts).dictionary_encode()
         offsets = np.asarray(parts.offsets)
-        codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = flat.indices.to_numpy(zero_copy_only=False).copy()
         pieces = flat.dictionary.to_pylist()
         if self.spaces:
             # The first piece of a text has no space before it.
@@ -87,7 +91,8 @@ class TextEncoder:
         table = np.frombuffer(b"".join(ids), "<u4")
         many = size[codes]
         ends = np.concatenate(([0], np.cumsum(many)))
-        place = np.repeat(start[codes] - ends[:-1], many) + np.arange(ends[-1])
+        place = np.repeat((start[codes] - ends[:-1]).astype(np.int32), many)
+        place += np.arange(ends[-1], dtype=np.int32)
         out, starts = table[place], ends[offsets]
         if any(uncut):
             alone = iter(self._library([t for t, u in zip(whole, uncut) if u]))
