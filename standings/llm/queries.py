@@ -10,6 +10,7 @@ from standings.llm.idfiles import IdFileRules, read_ids, write_ids
 from standings.llm.imatch import IMatchRules, fingerprint, lexicon, likeness, next_ids, with_tails_replaced
 from standings.llm.langid import fold, identify
 from standings.llm.packing import PackingRules, pack
+from standings.llm.pieces import PieceModel, decode, encode
 from standings.llm.quality import judge_quality
 from standings.llm.secrets import KINDS, find_secrets, listed_spans
 from standings.llm.simhash import near_duplicates
@@ -140,6 +141,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every document and decodes it again."""
+    model = PieceModel.load(tokenizer_path("piece_bpe_32k.model"))
+    return decode(encode(table(spark, sf_dir, "documents"), model), model).select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) / 4 as bigint)").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.length("text").cast("bigint").alias("decoded_chars"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -150,6 +163,7 @@ QUERIES = {
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_url_filters": op8_url_filters,
     "op9_token_id_output": op9_token_id_output,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {}
