@@ -174,10 +174,11 @@ def next_ids(docs: DataFrame, stage: Stage) -> DataFrame:
 def with_tails_replaced(docs: DataFrame, order: DataFrame) -> DataFrame:
     """(doc_id, text, edited): the last quarter of each text replaced by the next document's beginning.
 
-    Only beginnings as long as they are needed are sent to the document before. Of rows that
-    repeat an id the smallest beginning is used; a row without an id gets nothing in return.
+    Texts are dealt out by id once, for both joins; only beginnings as long as they are needed are
+    sent to the document before. Of rows that repeat an id the smallest beginning is used; a row
+    without an id gets nothing in return.
     """
-    texts = docs.select("doc_id", "text")
+    texts = docs.where("doc_id is not null").select("doc_id", "text").repartition("doc_id")
     wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), "chars")
     heads = (
         texts.join(wanted, "doc_id")
@@ -188,6 +189,8 @@ def with_tails_replaced(docs: DataFrame, order: DataFrame) -> DataFrame:
     text, head = whole(F.col("text")), whole(F.col("head"))
     quarter = F.floor(F.length(text) / 4).cast("int")
     kept = F.substring(text, F.lit(1), F.length(text) - quarter)
-    return texts.join(heads, F.col("doc_id") == F.col("for_id"), "left").select(
+    without = docs.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("string").alias("head"))
+    followed = texts.join(heads, F.col("doc_id") == F.col("for_id"), "left").select("doc_id", "text", "head")
+    return followed.unionByName(without).select(
         "doc_id", text.alias("text"), F.concat(kept, F.substring(head, F.lit(1), quarter)).alias("edited")
     )
