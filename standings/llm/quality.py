@@ -51,16 +51,25 @@ def n_gram_slots(word_list: Column, bits: int) -> Column:
     )
 
 
-def repeated_window_words(w: Column, width: int = 3) -> Column:
+def repeated_window_words(word_list: Column, width: int = 3) -> Column:
     """Words in windows of ``width`` words that occur twice or more in the text, each word once.
 
     Without two equal hashes there are no two equal windows; only texts that have some compare
     the windows themselves.
     """
 
-    def windows(make):
-        return F.transform(
-            F.sequence(F.lit(0), F.size(w) - width), lambda i: make([F.get(w, i + k) for k in range(width)], i)
+    def of(w: Column) -> Column:
+        def windows(make):
+            return F.transform(
+                F.sequence(F.lit(0), F.size(w) - width), lambda i: make([F.get(w, i + k) for k in range(width)], i)
+            )
+
+        hashes = windows(lambda ws, i: F.xxhash64(*ws))
+        texts = windows(lambda ws, i: F.struct(F.concat_ws(" ", *ws).alias("w"), i.alias("i")))
+        some = let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
+        none = F.lit(0).cast("bigint")
+        return F.when(F.size(w) < width + 1, none).otherwise(
+            F.when(some, let(F.sort_array(texts), covered)).otherwise(none)
         )
 
     def covered(sorted_windows: Column) -> Column:
@@ -77,12 +86,7 @@ def repeated_window_words(w: Column, width: int = 3) -> Column:
             ),
         )["n"]
 
-    hashes = windows(lambda ws, i: F.xxhash64(*ws))
-    texts = windows(lambda ws, i: F.struct(F.concat_ws(" ", *ws).alias("w"), i.alias("i")))
-    some = let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
-    return F.when(F.size(w) < width + 1, F.lit(0).cast("bigint")).otherwise(
-        F.when(some, let(F.sort_array(texts), covered)).otherwise(F.lit(0).cast("bigint"))
-    )
+    return let(word_list, of)
 
 
 def base_counts(text: Column, w: Column) -> dict[str, Column]:
@@ -153,7 +157,8 @@ def judge_quality(
     weights are the one thing that passes the driver.
     """
     weights = listed([w for _, w in sorted(slot_weights(docs, labels, rules).collect())])
-    rows = packed(docs, text=whole(F.col("text"))).withColumn("w", words(F.col("text")))
+    # A generated column is computed once: a filter on the verdict cannot pull the words into itself.
+    rows = packed(docs, text=whole(F.col("text"))).select("_row", "text", F.explode(F.array(words(F.col("text")))).alias("w"))
     summed = F.aggregate(
         n_gram_slots(F.col("w"), rules.bits),
         F.lit(0).cast("bigint"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from standings.llm import oracles
 from standings.llm.common import Stage, table
 from standings.llm.idfiles import IdFileRules, read_ids, write_ids
 from standings.llm.imatch import IMatchRules, fingerprint, lexicon, likeness, next_ids, with_tails_replaced
@@ -166,4 +167,7 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_warc": oracles.WARC,
+    "op8_url_filters": oracles.url_filters([(r.verdict, r.rule) for r in URL_RULES]),
+}
