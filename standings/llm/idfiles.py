@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from standings.llm.tokens import TextEncoder, batches_of
+from standings.llm.tokens import TextEncoder, documents_of
 
 CHUNKS = (
     "shard int, chunk int, start bigint, n_ids bigint, doc_id array<bigint>, n_tokens array<bigint>, "
@@ -81,16 +81,13 @@ def _write_chunks(rules: IdFileRules):
             return pa.RecordBatch.from_pydict(row, schema=schema)
 
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for begin, end in batches_of(texts):
-                flat, starts = encoder.encode(texts[begin:end])
-                for i in range(end - begin):
-                    names.append(ids[begin + i])
-                    tokens.append(np.append(flat[starts[i] : starts[i + 1]], np.uint32(rules.end_id)))
-                    held += len(tokens[-1])
-                    if held >= rules.chunk:
-                        yield close()
-                        held = 0
+            for doc_id, ids in documents_of(batch, encoder):
+                names.append(doc_id)
+                tokens.append(np.append(ids, np.uint32(rules.end_id)))
+                held += len(tokens[-1])
+                if held >= rules.chunk:
+                    yield close()
+                    held = 0
         if tokens:
             yield close()
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from standings.llm.common import Stage, packed, unpacked
 
 # Rows, characters and n-grams handled at a time inside a task: bounds on memory only.
-ROWS_AT_ONCE, CHARS_AT_ONCE, GRAMS_HELD = 512, 1_000_000, 4_000_000
+ROWS_AT_ONCE, CHARS_AT_ONCE, GRAMS_HELD = 128, 300_000, 1_500_000
 # An odd factor permutes the 64-bit n-gram codes, so equal hashes are equal n-grams.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BETAS = [1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0]

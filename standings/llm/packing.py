@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from standings.llm.tokens import TextEncoder, batches_of
+from standings.llm.tokens import TextEncoder, documents_of
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -92,16 +92,13 @@ def _pack_partition(rules: PackingRules):
                 yield whole.slice(at, 2_000)
 
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for begin, end in batches_of(texts):
-                flat, starts = encoder.encode(texts[begin:end])
-                for i in range(end - begin):
-                    names.append(ids[begin + i])
-                    tokens.append(np.append(flat[starts[i] : starts[i + 1]], np.uint32(rules.end_id)).astype("<u4"))
-                    held += len(tokens[-1])
-                    if held >= rules.block_tokens:
-                        yield from block()
-                        held = 0
+            for doc_id, ids in documents_of(batch, encoder):
+                names.append(doc_id)
+                tokens.append(np.append(ids, np.uint32(rules.end_id)).astype("<u4"))
+                held += len(tokens[-1])
+                if held >= rules.block_tokens:
+                    yield from block()
+                    held = 0
         if tokens:
             yield from block()
 

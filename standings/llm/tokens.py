@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 import types
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 
 # Pieces that a Python worker remembers, characters handled at a time, and pieces that the library
 # gets at a time, whose results are large objects: bounds on memory only.
-REMEMBERED, CHARS_AT_ONCE, LIBRARY_AT_ONCE = 500_000, 8_000_000, 20_000
+REMEMBERED, CHARS_AT_ONCE, LIBRARY_AT_ONCE = 400_000, 4_000_000, 10_000
 
 
 def worker_memo(name: str) -> dict:
@@ -102,14 +103,13 @@ class TextEncoder:
         return out, starts
 
 
-def batches_of(texts: list[str | None]) -> list[tuple[int, int]]:
-    """Ranges of texts with about ``CHARS_AT_ONCE`` characters each, one text at least."""
-    ranges, begin, size = [], 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= CHARS_AT_ONCE:
-            ranges.append((begin, i + 1))
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        ranges.append((begin, len(texts)))
-    return ranges
+def documents_of(batch: pa.RecordBatch, encoder: TextEncoder) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(doc_id, ids) of the rows of ``batch`` (doc_id, text), about ``CHARS_AT_ONCE`` characters at a time."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy()
+    turn = np.cumsum(sizes) // CHARS_AT_ONCE
+    begins = np.flatnonzero(np.diff(turn, prepend=-1))
+    for begin, end in zip(begins, [*begins[1:], len(batch)]):
+        part = batch.slice(begin, end - begin)
+        flat, starts = encoder.encode(part.column("text").to_pylist())
+        for i, doc_id in enumerate(part.column("doc_id").to_pylist()):
+            yield doc_id, flat[starts[i] : starts[i + 1]]
