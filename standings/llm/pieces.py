@@ -15,6 +15,7 @@ dictionary goes out by word and comes back as ids; text is never shuffled.
 from __future__ import annotations
 
 import heapq
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,10 +32,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 # Longest word whose cuts fit the bitmap, words in a block, and rows given to Spark at a time.
 BITMAP_CHARS, BLOCK_WORDS, ROWS_AT_ONCE = 60, 4_000_000, 50_000
-BLOCKS = (
-    "block bigint, pos int, word string, doc_id array<bigint>, n_words array<bigint>, codes binary, "
-    "odd_pos array<int>, odd_ids array<binary>, n_plain bigint, check bigint"
-)
+BLOCKS = "block bigint, pos int, word string, payload binary"
 ENCODED = "doc_id bigint, ids binary"
 
 
@@ -113,42 +111,38 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     shuffle. The piece table is as small as the model's vocabulary and is broadcast.
     """
     table = F.broadcast(model.frame(words.sparkSession))
-    starts = words.select("key", "word", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
-    reach = F.expr(f"sequence(1, least({model.longest}, length(word) - s))")
+    starts = words.select("key", "word", F.explode(F.expr("sequence(0L, length(word) - 1)")).alias("s"))
+    reach = F.expr(f"sequence(1L, least({model.longest}, length(word) - s))")
     spans = starts.select("key", "word", "s", F.explode(reach).alias("size"))
+    # An edge is one number: rank, start and end (six bits each), id plus one, 0 for a lone character.
+    edge = F.expr(
+        "shiftleft(cast(coalesce(rank, 0) as bigint), 32) | shiftleft(s, 26) | shiftleft(s + size, 20) | (coalesce(id, -1) + 1)"
+    )
     edges = (
-        spans.join(table, F.substring("word", F.col("s") + 1, F.col("size")) == F.col("piece"), "left")
+        spans.join(table, F.expr("substring(word, cast(s + 1 as int), cast(size as int))") == F.col("piece"), "left")
         .where("id is not null or size = 1")
-        .select(
-            "key",
-            "word",
-            F.struct(
-                F.coalesce("rank", F.lit(0)).alias("rank"), "s", (F.col("s") + F.col("size")).alias("e"),
-                F.coalesce("id", F.lit(-1)).alias("id"),
-            ).alias("edge"),
-        )
+        .select("key", "word", edge.alias("edge"))
     )
     lattice = edges.groupBy("key", "word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    cuts = F.expr(
-        """aggregate(edges, shiftleft(1L, length(word) + 1) - 1, (open, x) ->
-             case when x.e - x.s > 1
-                   and (shiftright(open, x.s) & 1) = 1 and (shiftright(open, x.e) & 1) = 1
-                   and bit_count(shiftright(open, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 1
-                  then open & ~shiftleft(shiftleft(1L, x.e - x.s - 1) - 1, x.s + 1)
-                  else open end)"""
-    )
-    path = F.expr(
-        """sort_array(transform(
-             filter(edges, x -> (shiftright(open, x.s) & (shiftleft(1L, x.e - x.s + 1) - 1)) = shiftleft(1L, x.e - x.s) + 1),
-             x -> struct(x.s as s, x.id as id)))"""
-    )
-    ids = F.expr(
-        f"""flatten(transform(path, x -> case when x.id >= 0 then array(x.id) else
-              transform(sequence(1, octet_length(substring(word, x.s + 1, 1))),
-                        k -> {model.first_byte} + cast(conv(substring(hex(encode(substring(word, x.s + 1, 1), 'UTF-8')), 2 * k - 1, 2), 16, 10) as int))
-            end))"""
-    )
-    return lattice.withColumn("open", cuts).withColumn("path", path).select("word", ids.alias("ids"))
+    start, end = "cast(shiftright(x, 26) & 63 as int)", "cast(shiftright(x, 20) & 63 as int)"
+    inner = f"(shiftleft(1L, {end} - {start} - 1) - 1)"
+    # The cuts are bound as a lambda's variable: a column could be pulled into the inner lambdas.
+    open_cuts = f"""aggregate(edges, shiftleft(1L, length(word) + 1) - 1, (open, x) ->
+        case when {end} - {start} > 1
+              and (shiftright(open, {start}) & 1) = 1 and (shiftright(open, {end}) & 1) = 1
+              and bit_count(shiftright(open, {start} + 1) & {inner}) = 1
+             then open & ~shiftleft({inner}, {start} + 1)
+             else open end)"""
+    path = f"""transform(array({open_cuts}), open -> sort_array(transform(
+        filter(edges, x -> (shiftright(open, {start}) & (shiftleft(1L, {end} - {start} + 1) - 1))
+                           = shiftleft(1L, {end} - {start}) + 1),
+        x -> shiftleft(shiftright(x, 26) & 63, 20) | (x & 1048575))))[0]"""
+    letter = "substring(word, cast(shiftright(x, 20) as int) + 1, 1)"
+    spelled = f"""transform(sequence(1, octet_length({letter})), k -> {model.first_byte}
+        + cast(conv(substring(hex(encode({letter}, 'UTF-8')), 2 * k - 1, 2), 16, 10) as int))"""
+    ids = f"""flatten(transform({path}, x ->
+        case when x & 1048575 > 0 then array(cast((x & 1048575) - 1 as int)) else {spelled} end))"""
+    return lattice.select("word", F.expr(ids).alias("ids"))
 
 
 def is_odd(word: str) -> bool:
@@ -176,12 +170,7 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
     block = TaskContext.get().partitionId() << 20
     lead, none_between = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
     names, lists, held = [], [], 0
-    schema = pa.schema([
-        ("block", pa.int64()), ("pos", pa.int32()), ("word", pa.string()), ("doc_id", pa.list_(pa.int64())),
-        ("n_words", pa.list_(pa.int64())), ("codes", pa.binary()), ("odd_pos", pa.list_(pa.int32())),
-        ("odd_ids", pa.list_(pa.binary())), ("n_plain", pa.int64()), ("check", pa.int64()),
-    ])
-    head_only = schema.names[3:]
+    schema = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("word", pa.string()), ("payload", pa.binary())])
 
     def close():
         nonlocal block
@@ -193,25 +182,20 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
         wide = pc.or_(pc.greater(pc.utf8_length(words), BITMAP_CHARS), pc.starts_with(words, SPACE * 3))
         odd = np.flatnonzero(wide.to_numpy(zero_copy_only=False))
         plain = np.flatnonzero(~wide.to_numpy(zero_copy_only=False)).astype(np.int32)
-        odd_ids = [np.array(merge_word(w, pieces, first_byte), "<i4").tobytes() for w in words.take(odd).to_pylist()]
+        odd_ids = [np.array(merge_word(w, pieces, first_byte), "<u2").tobytes() for w in words.take(odd).to_pylist()]
         check = 0
         for at in range(0, len(plain), ROWS_AT_ONCE):
             own = words.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
-            check += sum(zlib.crc32(w.encode()) for w in own)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "block": [block], "pos": [-1], "word": [None], "doc_id": [names[:]], "n_words": [counts.tolist()],
-                "codes": [press.compress(planes)], "odd_pos": [odd.tolist()], "odd_ids": [odd_ids],
-                "n_plain": [len(plain)], "check": [check],
-            },
-            schema=schema,
-        )
+            check += sum(zlib.crc32(w.encode()) & 0xFFFF for w in own)
+        head = names[:], counts.astype(np.int64), planes, odd, odd_ids, len(plain), check
+        payload = press.compress(pickle.dumps(head))
+        yield pa.RecordBatch.from_pydict({"block": [block], "pos": [-1], "word": [None], "payload": [payload]}, schema=schema)
         for at in range(0, len(plain), ROWS_AT_ONCE):
             place = plain[at : at + ROWS_AT_ONCE]
             n = len(place)
-            columns = [pa.array(np.full(n, block)), pa.array(place), words.take(place).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(
-                columns + [pa.nulls(n, schema.field(c).type) for c in head_only], schema=schema
+                [pa.array(np.full(n, block)), pa.array(place), words.take(place).cast(pa.string()), pa.nulls(n, pa.binary())],
+                schema=schema,
             )
         block += 1
         names.clear()
@@ -244,50 +228,51 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of block and place: a block's codes, then the ids of its dictionary."""
+    """Rows in order of block and place: a block's codes, then the ids of its dictionary.
+
+    The last two bytes of a word's payload are of its checksum: the words must be those that the
+    codes stand for.
+    """
     expand = zstandard.ZstdDecompressor()
-    head, places, ids, check = None, [], [], 0
+    block, head, places, payloads = None, None, [], []
 
     def close():
-        place = np.concatenate([np.array(head["odd_pos"], np.int64), *places])
-        if len(ids) != head["n_plain"] or check != head["check"]:
-            raise ValueError(f"the words of block {head['block']} are not those that its codes stand for")
-        every = head["odd_ids"] + ids
-        order = np.argsort(place)
-        sizes = np.array([len(i) for i in every], np.int64)[order] // 4
-        table = np.frombuffer(b"".join([every[k] for k in order.tolist()]), "<i4")
+        names, counts, planes, odd, odd_ids, n_plain, check = pickle.loads(expand.decompress(head))
+        found = sum(int.from_bytes(p[-2:], "big") for p in payloads)
+        if len(payloads) != n_plain or found != check:
+            raise ValueError(f"the words of block {block} are not those that its codes stand for")
+        every = odd_ids + [p[:-2] for p in payloads]
+        order = np.argsort(np.concatenate([np.asarray(odd, np.int64), *places]))
+        sizes = np.array([len(i) for i in every], np.int64)[order] // 2
+        table = np.frombuffer(b"".join([every[k] for k in order.tolist()]), "<u2").astype("<u4")
         start = np.cumsum(sizes) - sizes
-        planes = np.frombuffer(expand.decompress(head["codes"]), np.uint8).reshape(4, -1)
-        codes = np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
-        ends = np.concatenate(([0], np.cumsum(np.array(head["n_words"], np.int64))))
-        for at in range(0, len(head["doc_id"]), 500):
-            stop = min(at + 500, len(head["doc_id"]))
+        codes = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        for at in range(0, len(names), 500):
+            stop = min(at + 500, len(names))
             own = codes[ends[at] : ends[stop]]
             many = sizes[own]
             until = np.concatenate(([0], np.cumsum(many)))
             out = table[np.repeat(start[own] - until[:-1], many) + np.arange(until[-1])]
             edge = until[ends[at : stop + 1] - ends[at]]
+            texts = [out[a:b].tobytes() for a, b in zip(edge, edge[1:])]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(head["doc_id"][at:stop], pa.int64()),
-                    pa.array([out[a:b].tobytes() for a, b in zip(edge, edge[1:])], pa.binary()),
-                ],
-                ["doc_id", "ids"],
+                [pa.array(names[at:stop], pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "ids"]
             )
 
     for batch in batches:
-        pos, checks = batch.column("pos").to_numpy(), batch.column("check").to_numpy()
+        pos = batch.column("pos").to_numpy()
         bounds = sorted({0, len(batch), *np.flatnonzero(pos == -1).tolist()})
         for a, b in zip(bounds, bounds[1:]):
             if pos[a] == -1:
-                if head:
+                if head is not None:
                     yield from close()
-                head, places, ids, check = batch.slice(a, 1).to_pylist()[0], [], [], 0
+                block, head = batch.column("block")[a].as_py(), batch.column("payload")[a].as_py()
+                places, payloads = [], []
                 a += 1
             places.append(pos[a:b].astype(np.int64))
-            ids += batch.column("ids").slice(a, b - a).to_pylist()
-            check += int(checks[a:b].sum())
-    if head:
+            payloads += batch.column("payload").slice(a, b - a).to_pylist()
+    if head is not None:
         yield from close()
 
 
@@ -303,22 +288,19 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     place = F.shiftleft("block", 24).bitwiseOR(F.col("pos").cast("bigint"))
     entries = blocks.where("pos >= 0 and word is not null").select("word", place.alias("place")).repartition("word")
     words = entries.groupBy("word").agg(F.min("place").alias("key"))
-    # Piece ids take two bytes here; the two that follow are zero.
-    low = "concat(lpad(hex(i & 255), 2, '0'), lpad(hex(shiftright(i, 8) & 255), 2, '0'), '0000')"
-    packed = F.expr(f"unhex(array_join(transform(ids, i -> {low}), ''))")
-    coded = encode_words(words, model).select(F.col("word").alias("w"), packed.alias("ids"))
+    low_high = "concat(lpad(hex(i & 255), 2, '0'), lpad(hex(shiftright(i, 8) & 255), 2, '0'))"
+    packed = F.expr(
+        f"unhex(concat(array_join(transform(ids, i -> {low_high}), ''), lpad(hex(crc32(word) & 65535), 4, '0')))"
+    )
+    coded = encode_words(words, model).select(F.col("word").alias("w"), packed.alias("payload"))
     back = entries.join(coded, F.col("word") == F.col("w")).select(
         F.shiftright("place", 24).alias("block"),
         F.col("place").bitwiseAND(F.lit((1 << 24) - 1).cast("bigint")).cast("int").alias("pos"),
-        "ids",
-        F.crc32(F.col("word").cast("binary")).alias("check"),
+        "payload",
     )
-    heads = blocks.where("pos = -1").drop("word")
+    heads = blocks.where("pos = -1").select("block", "pos", "payload")
     return (
-        heads.unionByName(back, allowMissingColumns=True)
-        .repartition("block")
-        .sortWithinPartitions("block", "pos")
-        .mapInArrow(_assemble, ENCODED)
+        heads.unionByName(back).repartition("block").sortWithinPartitions("block", "pos").mapInArrow(_assemble, ENCODED)
     )
 
 
