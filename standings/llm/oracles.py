@@ -81,8 +81,13 @@ reach as (
     union
     select r.a, case when e.a = r.b then e.b else e.a end from reach r join edges e on r.b in (e.a, e.b)
 ),
+named as (
+    select {_form("target")} form, {_host("target")} host, {_path("target")} path from judged where instr(target, '://') > 0
+),
 blocked as (
     select distinct reach.a from reach join ruled on ruled.form = reach.b where ruling = 'block'
+    union
+    select distinct reach.a from reach join named on named.form = reach.b where {_rule_case("verdict", rules)} = 'block'
 )
 select page_id, host, path, rule,
     coalesce(ruling, case when form in (select a from blocked) then 'block' end, 'allow') verdict

@@ -106,8 +106,8 @@ def judge_urls(
     """Every row of ``pages`` (url, html) as page_id, host, path, rule, verdict and alias_of.
 
     ``redirects`` (source, target) are urls, beside those that the pages themselves name. The
-    verdict is that of the longest fitting rule; else ``block`` if a url of the same component is
-    blocked by a rule, else ``allow``. Null urls and urls without ``://`` have empty host and path, no
+    verdict is that of the longest fitting rule; else ``block`` if a url of the same component, a
+    page's or one that is only linked to, is blocked by a rule, else ``allow``. Null urls and urls without ``://`` have empty host and path, no
     component, and are allowed. Repeated rows are judged alike. ``alias_of`` is the smallest
     canonical form of the component.
     """
@@ -121,18 +121,23 @@ def judge_urls(
         .withColumn("form", canonical_form(F.col("url"))),
         "judged",
     )
-    edges = judged.where("target is not null").select(F.col("form").alias("a"), canonical_form(F.col("target")).alias("b"))
+    links = judged.where("target is not null").select(F.col("url").alias("source"), "target")
     if redirects is not None:
-        edges = edges.unionByName(
-            redirects.select(canonical_form(F.col("source")).alias("a"), canonical_form(F.col("target")).alias("b"))
-        )
+        links = links.unionByName(redirects.select("source", "target"))
+    links = stage.keep(links, "links")
+    edges = links.select(canonical_form(F.col("source")).alias("a"), canonical_form(F.col("target")).alias("b"))
     components = connected_components(edges, stage)
     rooted = judged.join(components, F.col("form") == F.col("node"), "left").withColumn(
         "alias_of", F.coalesce("root", "form")
     )
+    # Addresses that pages and redirects name are judged too, whether or not they are pages.
+    named = links.select(F.explode(F.array("source", "target")).alias("url")).where("url is not null")
+    named = named.withColumn("fit", fitting_rule(host_of(F.col("url")), path_of(F.col("url")), rules))
+    named = named.where("fit.verdict = 'block'").select(canonical_form(F.col("url")).alias("form")).distinct()
     blocked = (
         rooted.where("fit.verdict = 'block' and alias_of is not null")
         .select(F.col("alias_of").alias("blocked"))
+        .unionByName(named.join(components, F.col("form") == F.col("node")).select(F.col("root").alias("blocked")))
         .distinct()
     )
     open_ = rooted.join(blocked, F.col("alias_of") == F.col("blocked"), "left")

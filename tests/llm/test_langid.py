@@ -1,0 +1,117 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from standings.llm.langid import (
+    LanguageModels,
+    LanguageRules,
+    SortedHashes,
+    char_table,
+    fold,
+    gram_blocks,
+    identify,
+    keep_identified,
+    streams,
+)
+
+
+def grams(text, order=4):
+    chars, starts = streams([text], char_table(), order)
+    return np.concatenate([c for c, _ in gram_blocks(chars, starts, order)] or [np.empty(0, np.uint64)])
+
+
+def models_of(texts, order=4):
+    frames = []
+    for lang, text in texts.items():
+        codes, n = np.unique(grams(text, order), return_counts=True)
+        frames.append(pd.DataFrame({"lang": lang, "code": codes.view(np.int64), "n": n}))
+    return LanguageModels(pd.concat(frames), order)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = fold(F.col("doc_id")) % 4 == 2
+    found = identify(docs.where(held), docs.where(~held))
+    row = found.agg(
+        F.avg((F.col("lang_pred") == F.col("_row.lang")).cast("double")).alias("right"),
+        F.avg(F.col("accepted").cast("double")).alias("accepted"),
+        F.min("score").alias("least"),
+        F.max("score").alias("most"),
+    ).first()
+    assert row.right > 0.99 and row.accepted > 0.995
+    assert 0 <= row.least and row.most <= 1
+
+
+def test_probabilities_add_up_to_one():
+    models = models_of({"a": "abracadabra abra cada bra", "b": "babbab abba baab"})
+    letters = sorted(set("abracd "))
+    for context in ("abr", "  a", "zzz", " ba"):
+        codes = np.array([int("".join(f"{ord(c):04x}" for c in context + x), 16) for x in [*letters, "￿"]], np.uint64)
+        sums = np.exp(models.score(codes).astype(float)).sum(axis=0)
+        assert sums == pytest.approx(np.ones(2), abs=1e-4)
+
+
+def test_scores_match_a_plain_recursion():
+    text, order = "the cat sat on the mat the end", 3
+    models = models_of({"en": text}, order)
+    tables = {}
+    codes = [tuple((int(c) >> 16 * k) & 0xFFFF for k in reversed(range(order))) for c in grams(text, order)]
+    tables[order] = pd.Series(codes).value_counts().to_dict()
+    for size in range(order - 1, 0, -1):
+        tables[size] = pd.Series([g[1:] for g in tables[size + 1]]).value_counts().to_dict()
+    letters = len(tables[1]) + 1
+
+    def p(gram):
+        if not gram:
+            return 1 / letters
+        table = tables[len(gram)]
+        ones, twos = (sum(n == k for n in table.values()) for k in (1, 2))
+        d = ones / (ones + 2 * twos) if ones and twos else 0.5
+        own = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
+        total = sum(own.values())
+        if not total:
+            return p(gram[1:])
+        return max(own.get(gram, 0) - d, 0) / total + d * len(own) / total * p(gram[1:])
+
+    probe = [*set(codes), (ord("q"), ord("a"), ord("t")), (ord("t"), ord("h"), ord("z"))]
+    found = models.score(np.array([int("".join(f"{c:04x}" for c in g), 16) for g in probe], np.uint64))[:, 0]
+    assert found == pytest.approx([np.log(p(g)) for g in probe], abs=1e-4)
+
+
+def test_sorted_hashes_find_what_is_there():
+    codes = np.unique(np.random.default_rng(1).integers(0, 1 << 62, 5000, dtype=np.uint64))
+    table = SortedHashes(codes[::2])
+    at = table.find(codes)
+    assert (at[1::2] == -1).all() and (codes[::2][table.order[at[::2]]] == codes[::2]).all()
+
+
+def test_blocks_do_not_change_sums(monkeypatch):
+    models, table = models_of({"a": "hello there world", "b": "bonjour le monde"}), char_table()
+    texts = ["hello world " * 50, "", "le monde", "12", None]
+    whole = models.cross_entropies(texts, table)
+    monkeypatch.setattr("standings.llm.langid.CHARS_AT_ONCE", 7)
+    parts = models.cross_entropies(texts, table)
+    assert whole[1] is whole[3] is whole[4] is None
+    for a, b in zip(whole, parts):
+        assert a == b or a == pytest.approx(b, abs=1e-6)
+
+
+def test_odd_rows(spark, odd_docs, no_docs, clashing_docs, documents):
+    rows = identify(odd_docs, documents).select("_row.text", "lang_pred", "score", "accepted").collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        letter = any(map(str.isalpha, r.text or ""))
+        assert (r.lang_pred == "und") == (not letter) and 0 <= r.score <= 1
+        assert letter or not r.accepted
+    assert identify(no_docs, documents).count() == 0
+    untaught = identify(odd_docs, no_docs).collect()
+    assert {(r.lang_pred, r.score, r.accepted) for r in untaught} == {("und", 0.0, False)}
+    assert keep_identified(clashing_docs, documents).columns == clashing_docs.columns
+
+
+def test_rejects_what_no_language_explains(spark, documents):
+    taught = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    strange = spark.createDataFrame([(1, "xqzk vjwx qqzx kkvj zxqw " * 40), (2, documents.first().text)], "doc_id bigint, text string")
+    kept = {r.doc_id for r in keep_identified(strange, taught, LanguageRules(calibration_share=8)).collect()}
+    assert kept == {2}

@@ -1,0 +1,44 @@
+import numpy as np
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from standings.llm.pieces import PieceModel, decode, encode, merge_word
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+ODD = [
+    "", None, " a", "a ", "  a", "a  b", "a   b", "a    b       c", " ", "  ", "     ", "a\n b", "\n", "a▁b", "▁",
+    "<s> x</s> <0x41>", "日本 語 é😀 x\0y" + "z" * 200 + " " + "ab" * 40, "x" * 61, "x" * 60, "x" * 59, "\0", "\0 \0",
+]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return PieceModel.load(PATH)
+
+
+def check(docs, model):
+    library = SentencePieceProcessor(model_file=PATH)
+    rows = docs.collect()
+    expected = sorted((str(r.doc_id), library.encode(r.text or ""), (r.text or "").replace("▁", " ")) for r in rows)
+    found = decode(encode(docs, model), model).collect()
+    assert sorted((str(r.doc_id), np.frombuffer(r.ids, "<i4").tolist(), r.text) for r in found) == expected
+
+
+def test_equals_the_library_and_round_trips(spark, model, documents, odd_docs, no_docs):
+    odd = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(ODD)], "doc_id bigint, text string")
+    check(documents.select("doc_id", "text").limit(60).unionByName(odd).unionByName(odd_docs.select("doc_id", "text")), model)
+    assert encode(no_docs, model).count() == 0
+
+
+def test_small_blocks_come_back_whole(spark, model, documents, monkeypatch):
+    monkeypatch.setattr("standings.llm.pieces.BLOCK_WORDS", 500)
+    check(documents.select("doc_id", "text").limit(12), model)
+
+
+def test_merges_alone(model):
+    library = SentencePieceProcessor(model_file=PATH)
+    pieces = {p: (rank, i) for i, rank, p in model.table}
+    for word in ("internationalization", "aaaaaaaaaaaaaaaaaaaaa", "Straßenbahn", "q😀q", "     x", "12345678901"):
+        assert merge_word("▁" + word.replace(" ", "▁"), pieces, model.first_byte) == library.encode(word)
