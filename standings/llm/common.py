@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,19 @@ def unpacked(df: DataFrame, *more: Column) -> DataFrame:
     return df.select("_row.*", *more)
 
 
+def tidy(batches: Iterable) -> Iterator:
+    """The batches of a task in a Python worker, freed memory handed back after each.
+
+    Workers live on and run other tasks beside the executor's own memory.
+    """
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 class Stage(Workspace):
     """Intermediate tables under the folder that the cluster shares, zstd-compressed."""
 

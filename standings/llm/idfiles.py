@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from standings.llm.common import tidy
 from standings.llm.tokens import TextEncoder, documents_of
 
 CHUNKS = (
@@ -80,7 +81,7 @@ def _write_chunks(rules: IdFileRules):
             tokens.clear()
             return pa.RecordBatch.from_pydict(row, schema=schema)
 
-        for batch in batches:
+        for batch in tidy(batches):
             for doc_id, ids in documents_of(batch, encoder):
                 names.append(doc_id)
                 tokens.append(np.append(ids, np.uint32(rules.end_id)))
@@ -101,7 +102,7 @@ def _write_chunks(rules: IdFileRules):
 
 def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     expand = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in tidy(batches):
         for i in range(len(batch)):
             row = batch.slice(i, 1).to_pylist()[0]
             ids = np.concatenate(

@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from standings.llm.common import Stage, packed, unpacked
+from standings.llm.common import Stage, packed, tidy, unpacked
 
 # Rows, characters and n-grams handled at a time inside a task: bounds on memory only.
 ROWS_AT_ONCE, CHARS_AT_ONCE, GRAMS_HELD = 128, 300_000, 1_500_000
@@ -92,7 +92,7 @@ def count_grams(order: int):
                 )
             held.clear()
 
-        for batch in batches:
+        for batch in tidy(batches):
             frame = batch.to_pandas()
             for lang, own in frame.groupby("lang", sort=False)["text"]:
                 for at in range(0, len(own), ROWS_AT_ONCE):
@@ -242,7 +242,7 @@ def entropies(docs: DataFrame, models: LanguageModels, text: str = "text") -> Co
     @F.pandas_udf("array<double>")
     def cross_entropy(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, models = char_table(), cloudpickle.loads(shared.value)
-        for batch in batches:
+        for batch in tidy(batches):
             out = []
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 out += models.cross_entropies(batch.iloc[at : at + ROWS_AT_ONCE].tolist(), table)

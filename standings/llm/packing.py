@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from standings.llm.common import tidy
 from standings.llm.tokens import TextEncoder, documents_of
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -91,7 +92,7 @@ def _pack_partition(rules: PackingRules):
             for at in range(0, len(whole), 2_000):
                 yield whole.slice(at, 2_000)
 
-        for batch in batches:
+        for batch in tidy(batches):
             for doc_id, ids in documents_of(batch, encoder):
                 names.append(doc_id)
                 tokens.append(np.append(ids, np.uint32(rules.end_id)).astype("<u4"))

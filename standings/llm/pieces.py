@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from standings.llm.common import tidy
+
 SPACE = "▁"
 # Longest word whose cuts fit the bitmap, words in a block, and rows given to Spark at a time.
 BITMAP_CHARS, BLOCK_WORDS, ROWS_AT_ONCE = 60, 4_000_000, 50_000
@@ -201,7 +203,7 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
         names.clear()
         lists.clear()
 
-    for batch in batches:
+    for batch in tidy(batches):
         for at in range(0, len(batch), 1_000):
             part = batch.slice(at, 1_000)
             text = pc.fill_null(part.column("text"), "").cast(pa.large_string())
@@ -260,7 +262,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(names[at:stop], pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "ids"]
             )
 
-    for batch in batches:
+    for batch in tidy(batches):
         pos = batch.column("pos").to_numpy()
         bounds = sorted({0, len(batch), *np.flatnonzero(pos == -1).tolist()})
         for a, b in zip(bounds, bounds[1:]):
@@ -309,7 +311,7 @@ def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     known = model.piece_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             texts = []
             for ids in batch.column("ids").to_pylist():
                 raw = b"".join([known[i] for i in np.frombuffer(ids, "<i4").tolist()])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from standings.llm.common import Stage, packed, unpacked, whole
+from standings.llm.common import Stage, packed, tidy, unpacked, whole
 from standings.llm.components import connected_components
 
 HASH_SEED = 42
@@ -64,7 +64,7 @@ def fingerprint_of(text: str | None, width: int = 4) -> int:
 def fingerprint(text: Column, width: int = 4) -> Column:
     @F.pandas_udf("bigint")
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
+        for batch in tidy(texts):
             yield pd.Series([fingerprint_of(t, width) for t in batch], dtype="int64")
 
     return simhash(text)
@@ -163,7 +163,7 @@ def _link_batches(radius: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by shard; a shard that goes on in the next batch waits for it."""
         held = None
-        for batch in batches:
+        for batch in tidy(batches):
             frame = batch.to_pandas()
             held = frame if held is None else pd.concat([held, frame], ignore_index=True)
             ids = held[["key", "lo", "hi"]].to_numpy()

@@ -7,6 +7,7 @@ and remembered by the worker, and the ids of all texts are then put together by
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 from array import array
@@ -41,6 +42,8 @@ class TextEncoder:
     def __init__(self, path: str, spaces: bool):
         from tokenizers import Tokenizer
 
+        # Tasks run side by side already; threads of the library would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         memo = worker_memo(path)
         if not memo:
             memo["tokenizer"], memo["known"] = Tokenizer.from_file(path), {}
