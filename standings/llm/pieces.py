@@ -36,6 +36,8 @@ SPACE = "▁"
 BITMAP_CHARS, BLOCK_WORDS, ROWS_AT_ONCE = 60, 4_000_000, 50_000
 BLOCKS = "block bigint, pos int, word string, payload binary"
 ENCODED = "doc_id bigint, ids binary"
+# A place is a block's number and, in its lowest 24 bits, a word's; the last one is that of the codes.
+LAST = (1 << 24) - 1
 
 
 @dataclass(frozen=True)
@@ -109,19 +111,21 @@ def merge_word(word: str, pieces: dict[str, tuple[int, int]], first_byte: int) -
 def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     """(word, ids) for the distinct rows of ``words`` (word, key), key a number of the word's own.
 
-    Words are not empty and not odd (`is_odd`). If rows are dealt out by word, grouping needs no
-    shuffle. The piece table is as small as the model's vocabulary and is broadcast.
+    ``word`` lacks the ``▁`` that it begins with, and is not odd (`is_odd`). If rows are dealt out by
+    word, grouping needs no shuffle. The piece table is as small as the model's vocabulary and is
+    broadcast.
     """
     table = F.broadcast(model.frame(words.sparkSession))
-    starts = words.select("key", "word", F.explode(F.expr("sequence(0L, length(word) - 1)")).alias("s"))
-    reach = F.expr(f"sequence(1L, least({model.longest}, length(word) - s))")
+    starts = words.select("key", "word", F.explode(F.expr("sequence(0L, length(word))")).alias("s"))
+    reach = F.expr(f"sequence(1L, least({model.longest}, length(word) + 1 - s))")
     spans = starts.select("key", "word", "s", F.explode(reach).alias("size"))
+    text = f"concat('{SPACE}', word)"
     # An edge is one number: rank, start and end (six bits each), id plus one, 0 for a lone character.
     edge = F.expr(
         "shiftleft(cast(coalesce(rank, 0) as bigint), 32) | shiftleft(s, 26) | shiftleft(s + size, 20) | (coalesce(id, -1) + 1)"
     )
     edges = (
-        spans.join(table, F.expr("substring(word, cast(s + 1 as int), cast(size as int))") == F.col("piece"), "left")
+        spans.join(table, F.expr(f"substring({text}, cast(s + 1 as int), cast(size as int))") == F.col("piece"), "left")
         .where("id is not null or size = 1")
         .select("key", "word", edge.alias("edge"))
     )
@@ -129,7 +133,7 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     start, end = "cast(shiftright(x, 26) & 63 as int)", "cast(shiftright(x, 20) & 63 as int)"
     inner = f"(shiftleft(1L, {end} - {start} - 1) - 1)"
     # The cuts are bound as a lambda's variable: a column could be pulled into the inner lambdas.
-    open_cuts = f"""aggregate(edges, shiftleft(1L, length(word) + 1) - 1, (open, x) ->
+    open_cuts = f"""aggregate(edges, shiftleft(1L, length(word) + 2) - 1, (open, x) ->
         case when {end} - {start} > 1
               and (shiftright(open, {start}) & 1) = 1 and (shiftright(open, {end}) & 1) = 1
               and bit_count(shiftright(open, {start} + 1) & {inner}) = 1
@@ -139,7 +143,7 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
         filter(edges, x -> (shiftright(open, {start}) & (shiftleft(1L, {end} - {start} + 1) - 1))
                            = shiftleft(1L, {end} - {start}) + 1),
         x -> shiftleft(shiftright(x, 26) & 63, 20) | (x & 1048575))))[0]"""
-    letter = "substring(word, cast(shiftright(x, 20) as int) + 1, 1)"
+    letter = f"substring({text}, cast(shiftright(x, 20) as int) + 1, 1)"
     spelled = f"""transform(sequence(1, octet_length({letter})), k -> {model.first_byte}
         + cast(conv(substring(hex(encode({letter}, 'UTF-8')), 2 * k - 1, 2), 16, 10) as int))"""
     ids = f"""flatten(transform({path}, x ->
@@ -188,7 +192,7 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
         check = 0
         for at in range(0, len(plain), ROWS_AT_ONCE):
             own = words.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
-            check += sum(zlib.crc32(w.encode()) & 0xFFFF for w in own)
+            check += sum(zlib.crc32(w[1:].encode()) & 0xFF for w in own)
         head = names[:], counts.astype(np.int64), planes, odd, odd_ids, len(plain), check
         payload = press.compress(pickle.dumps(head))
         yield pa.RecordBatch.from_pydict({"block": [block], "pos": [-1], "word": [None], "payload": [payload]}, schema=schema)
@@ -196,7 +200,10 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
             place = plain[at : at + ROWS_AT_ONCE]
             n = len(place)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), pa.array(place), words.take(place).cast(pa.string()), pa.nulls(n, pa.binary())],
+                [
+                    pa.array(np.full(n, block)), pa.array(place),
+                    pc.utf8_slice_codeunits(words.take(place), 1).cast(pa.string()), pa.nulls(n, pa.binary()),
+                ],
                 schema=schema,
             )
         block += 1
@@ -232,18 +239,18 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of block and place: a block's codes, then the ids of its dictionary.
 
-    The last two bytes of a word's payload are of its checksum: the words must be those that the
-    codes stand for.
+    The last byte of a word's payload is of its checksum: the words must be those that the codes
+    stand for.
     """
     expand = zstandard.ZstdDecompressor()
     block, head, places, payloads = None, None, [], []
 
     def close():
         names, counts, planes, odd, odd_ids, n_plain, check = pickle.loads(expand.decompress(head))
-        found = sum(int.from_bytes(p[-2:], "big") for p in payloads)
+        found = sum(p[-1] for p in payloads)
         if len(payloads) != n_plain or found != check:
             raise ValueError(f"the words of block {block} are not those that its codes stand for")
-        every = odd_ids + [p[:-2] for p in payloads]
+        every = odd_ids + [p[:-1] for p in payloads]
         order = np.argsort(np.concatenate([np.asarray(odd, np.int64), *places]))
         sizes = np.array([len(i) for i in every], np.int64)[order] // 2
         table = np.frombuffer(b"".join([every[k] for k in order.tolist()]), "<u2").astype("<u4")
@@ -263,13 +270,14 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
     for batch in tidy(batches):
-        pos = batch.column("pos").to_numpy()
+        pos = batch.column("place").to_numpy()
+        pos = np.where(pos & LAST == LAST, -1, pos & LAST)
         bounds = sorted({0, len(batch), *np.flatnonzero(pos == -1).tolist()})
         for a, b in zip(bounds, bounds[1:]):
             if pos[a] == -1:
                 if head is not None:
                     yield from close()
-                block, head = batch.column("block")[a].as_py(), batch.column("payload")[a].as_py()
+                block, head = batch.column("place")[a].as_py() >> 24, batch.column("payload")[a].as_py()
                 places, payloads = [], []
                 a += 1
             places.append(pos[a:b].astype(np.int64))
@@ -282,27 +290,30 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     """(doc_id, ids) for each row: the library's ids, as little-endian 32-bit numbers.
 
     Null and empty texts have none. Repeated rows are encoded alike. Other columns are not read.
-    Three shuffles: dictionary words by word, once for both the lattice and the way back; ids with
-    the blocks' codes by block. A frequent word is one row of each block's dictionary.
+    Two shuffles: dictionary words by word, once for both the lattice and the way back; ids with the
+    blocks' codes by block. A frequent word is one row of each block's dictionary.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = texts.mapInArrow(_make_blocks(model), BLOCKS)
     place = F.shiftleft("block", 24).bitwiseOR(F.col("pos").cast("bigint"))
-    entries = blocks.where("pos >= 0 and word is not null").select("word", place.alias("place")).repartition("word")
+    # A word's rows grow about twentyfold in the lattice, so it gets smaller partitions than others.
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = blocks.where("pos >= 0 and word is not null").select("word", place.alias("place")).repartition(parts, "word")
     words = entries.groupBy("word").agg(F.min("place").alias("key"))
     low_high = "concat(lpad(hex(i & 255), 2, '0'), lpad(hex(shiftright(i, 8) & 255), 2, '0'))"
     packed = F.expr(
-        f"unhex(concat(array_join(transform(ids, i -> {low_high}), ''), lpad(hex(crc32(word) & 65535), 4, '0')))"
+        f"unhex(concat(array_join(transform(ids, i -> {low_high}), ''), lpad(hex(crc32(word) & 255), 2, '0')))"
     )
     coded = encode_words(words, model).select(F.col("word").alias("w"), packed.alias("payload"))
-    back = entries.join(coded, F.col("word") == F.col("w")).select(
-        F.shiftright("place", 24).alias("block"),
-        F.col("place").bitwiseAND(F.lit((1 << 24) - 1).cast("bigint")).cast("int").alias("pos"),
-        "payload",
-    )
-    heads = blocks.where("pos = -1").select("block", "pos", "payload")
+    back = entries.join(coded, F.col("word") == F.col("w")).select("place", "payload")
+    heads = blocks.where("pos = -1").select(F.shiftleft("block", 24).bitwiseOR(F.lit(LAST)).alias("place"), "payload")
+    # The row with a block's codes comes first of its block.
+    first = F.when(F.col("place").bitwiseAND(F.lit(LAST)) == LAST, F.col("place") - LAST - 1).otherwise(F.col("place"))
     return (
-        heads.unionByName(back).repartition("block").sortWithinPartitions("block", "pos").mapInArrow(_assemble, ENCODED)
+        heads.unionByName(back)
+        .repartition(F.shiftright("place", 24))
+        .sortWithinPartitions(F.shiftright("place", 24), first)
+        .mapInArrow(_assemble, ENCODED)
     )
 
 
