@@ -2,8 +2,9 @@
 
 Report month 200105, begin month 200101. The loan tape has one row per order line, the ledger
 one posting per order line, the sales sheet one row per customer. See FIXTURES.md for the
-shapes; the funding table here comes from the suppliers, so that it grows with the data, and
-leaves out branches without a supplier under the balance limit.
+shapes; the funding table here comes from the suppliers, so that it grows with the data. At every
+size there are branches without funding, one without loans of its own channels (so without a
+non-performing share) and one whose revenue is negative (so its cost-income ratio is).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from standings.plans.report import LineBook
 
 BEGIN, END = 200101, 200105
 MONTHS = 5
+NO_LOANS, LOSS_MAKER, UNFUNDED_REGION = "NATION_13", 9, 4
 ALIASES = {"N3": "NATION_3", "N7": "NATION_7"}
 
 
@@ -102,10 +104,10 @@ def loan_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
                 when l_returnflag = 'R' then year(l_shipdate) * 100 + month(l_shipdate)
                 end as write_off_month""",
             f"cast(l_extendedprice as {MONEY}) as outstanding_principal",
-            f"cast(l_extendedprice as {MONEY}) as write_off_balance_principal",
+            f"cast(cast(l_extendedprice as {MONEY}) - cast(l_quantity as {MONEY}) as {MONEY}) as write_off_balance_principal",
             f"cast(l_quantity as {MONEY}) as psdn",
             "case when l_linenumber <= 5 then l_linenumber end as max_bucket",
-            "nullif(l_suppkey % 8, 7) as pos_type_key",
+            f"case when n_name = '{NO_LOANS}' then 4 else nullif(l_suppkey % 8, 7) end as pos_type_key",
         )
     )
 
@@ -123,7 +125,8 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             """concat(if(p_brand = 'Brand#25', 'Z25', p_brand), if(l_linenumber = 1, ' ', ''))
                 as account_code""",
             f"""cast(cast(l_extendedprice as {MONEY})
-                * if(startswith(p_brand, 'Brand#2') or p_brand in ({costs}), -1, 1) as {MONEY})
+                * if(startswith(p_brand, 'Brand#2') or p_brand in ({costs}), -1, 1)
+                * if(s_nationkey = {LOSS_MAKER} and not startswith(p_brand, 'Brand#2'), -1, 1) as {MONEY})
                 as amount""",
             "l_shipdate as transaction_date",
         )
@@ -140,7 +143,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         here = f"month(o_orderdate) = {m}"
         cells += [
             F.expr(f"sum(case when {here} then cast(o_totalprice as {MONEY}) end) as ltn_{m:02d}"),
-            F.expr(f"sum(case when {here} then 1 end) as psdn_{m:02d}"),
+            F.expr(f"sum(case when {here} then 1 + o_orderkey % 3 end) as psdn_{m:02d}"),
             F.expr(f"sum(case when {here} then 1 end) as appin_{m:02d}"),
             F.expr(f"sum(case when {here} and o_orderstatus = 'F' then 1 end) as approved_{m:02d}"),
         ]
@@ -159,18 +162,17 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FUNDING_LIMIT = 2000
-
-
 def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All suppliers, added up by branch; the branches of one region have no funding of their own."""
     balance = F.col("s_acctbal").cast(MONEY)
-    short = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") < float(FUNDING_LIMIT))
+    nations = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != UNFUNDED_REGION)
     count = F.count(F.lit(1))
     return (
-        short.join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "supplier")
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_name").alias("branch_city"))
         .agg(
-            F.sum(balance - FUNDING_LIMIT).cast(MONEY).alias("cost_deposit_cert"),
+            F.sum(balance - 10_000).cast(MONEY).alias("cost_deposit_cert"),
             (count * -500).cast(MONEY).alias("cost_market_1"),
             (count * -100).cast(MONEY).alias("cost_market_2"),
         )

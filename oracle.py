@@ -51,7 +51,7 @@ def _month_cells(m: int) -> str:
     here = f"year(o_orderdate)*100 + month(o_orderdate) = 20010{m}"
     return f"""
   sum(case when {here} then cast(o_totalprice as decimal(18,2)) end) as ltn_0{m},
-  sum(case when {here} then 1 end) as psdn_0{m},
+  sum(case when {here} then 1 + o_orderkey % 3 end) as psdn_0{m},
   sum(case when {here} then 1 end) as appin_0{m},
   sum(case when {here} and o_orderstatus = 'F' then 1 end) as approved_0{m}"""
 
@@ -88,10 +88,10 @@ CTES: dict[str, tuple[str, list[str]]] = {
   case when l_returnflag = 'R' and l_linenumber % 2 = 0 then year(o_orderdate)*100 + month(o_orderdate)
        when l_returnflag = 'R' then year(l_shipdate)*100 + month(l_shipdate) end as write_off_month,
   cast(l_extendedprice as decimal(18,2)) as outstanding_principal,
-  cast(l_extendedprice as decimal(18,2)) as write_off_balance_principal,
+  cast(l_extendedprice as decimal(18,2)) - cast(l_quantity as decimal(18,2)) as write_off_balance_principal,
   cast(l_quantity as decimal(18,2)) as psdn,
   case when l_linenumber <= 5 then l_linenumber end as max_bucket,
-  nullif(l_suppkey % 8, 7) as pos_type_key
+  case when n_name = 'NATION_13' then 4 else nullif(l_suppkey % 8, 7) end as pos_type_key
 from lineitem
 join orders on l_orderkey = o_orderkey
 join customer on o_custkey = c_custkey
@@ -106,7 +106,8 @@ join nation on c_nationkey = n_nationkey""",
     case when l_linenumber = 1 then ' ' else '' end) as account_code,
   cast(cast(l_extendedprice as decimal(18,2))
     * (case when p_brand like 'Brand#2%' or p_brand in ('Brand#1','Brand#3','Brand#8','Brand#9')
-       then -1 else 1 end) as decimal(18,2)) as amount,
+       then -1 else 1 end)
+    * (case when s_nationkey = 9 and p_brand not like 'Brand#2%' then -1 else 1 end) as decimal(18,2)) as amount,
   l_shipdate as transaction_date
 from lineitem
 join supplier on l_suppkey = s_suppkey
@@ -125,11 +126,11 @@ group by n_name, c_name""",
     ),
     "fx_funding": (
         """select n_name as branch_city,
-  cast(sum(cast(s_acctbal as decimal(18,2)) - 2000) as decimal(18,2)) as cost_deposit_cert,
+  cast(sum(cast(s_acctbal as decimal(18,2)) - 10000) as decimal(18,2)) as cost_deposit_cert,
   cast(count(*) * -500 as decimal(18,2)) as cost_market_1,
   cast(count(*) * -100 as decimal(18,2)) as cost_market_2
 from supplier join nation on s_nationkey = n_nationkey
-where s_acctbal < 2000
+where n_regionkey <> 4
 group by n_name""",
         [],
     ),
@@ -523,7 +524,9 @@ from staff_ranks""",
   rank() over (order by case when l_returnflag <> 'N' then l_discount end asc nulls first) as rank_discount
 from lineitem""",
         "partition_replace_roundtrip": chain(
-            ["balances"], "select * replace (cast(month_key as integer) as month_key) from balances"
+            ["balances"],
+            """select * replace (cast(month_key as integer) as month_key) from balances
+where month_key in (200101, 200104, 200105) or (month_key = 200102 and balance_3_5 > 0)""",
         ),
         "ranking_report": whole("report"),
     }

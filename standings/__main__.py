@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from standings.operators.allocation import KEEP_DIRECT, ZERO_ALL
 from standings.plans.publish import publish, read_inputs
 from standings.plans.report import Options, RankingRun
 from standings.sources import Workspace
@@ -14,22 +15,38 @@ from standings.sources import Workspace
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="standings", description=__doc__)
     parser.add_argument("source", help="folder of Parquet inputs, or a database with --catalog")
-    parser.add_argument("target", help="folder the result tables are loaded into")
-    parser.add_argument("--catalog", action="store_true")
+    parser.add_argument("target", help="folder the result tables are loaded into, or a database with --catalog-target")
+    parser.add_argument("--catalog", action="store_true", help="SOURCE is a database")
+    parser.add_argument("--catalog-target", action="store_true", help="TARGET is a database")
     parser.add_argument("--report-month", type=int, help="YYYYMM; the sheet's latest by default")
     parser.add_argument("--begin-month", type=int, help="YYYYMM; January of the report year by default")
     parser.add_argument("--months", type=int, default=5, help="month columns in the sales sheet")
+    parser.add_argument("--from-begin", action="store_true", help="write-offs from the begin month only")
+    parser.add_argument("--all-months-heads", action="store_true", help="headcount over every month of the sheet")
+    parser.add_argument("--no-pool-needed", action="store_true", help="allocate without a head-office row, pool 0")
+    parser.add_argument("--opex-null-policy", choices=[ZERO_ALL, KEEP_DIRECT], default=ZERO_ALL)
+    parser.add_argument("--nulls", choices=["first", "last"], help="place of missing metrics in ascending ranks")
+    parser.add_argument("--collation", help="compare names under this collation")
+    parser.add_argument("--history", help="earlier scorecards to rank beside the current one")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("standings").getOrCreate()
-    run = RankingRun(
-        read_inputs(spark, args.source, args.catalog),
-        args.report_month,
-        args.begin_month,
-        Options(months=args.months),
-        Workspace(spark),
+    history = None
+    if args.history:
+        history = spark.table(args.history) if args.catalog else spark.read.parquet(args.history)
+    options = Options(
+        months=args.months,
+        from_begin=args.from_begin,
+        all_months_heads=args.all_months_heads,
+        require_pool=not args.no_pool_needed,
+        opex_null_policy=args.opex_null_policy,
+        nulls=args.nulls,
+        collation=args.collation,
+        history=history,
     )
-    publish(run, args.target)
+    inputs = read_inputs(spark, args.source, args.catalog)
+    run = RankingRun(inputs, args.report_month, args.begin_month, options, Workspace(spark))
+    publish(run, args.target, args.catalog_target)
 
 
 if __name__ == "__main__":

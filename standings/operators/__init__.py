@@ -28,7 +28,7 @@ from standings.operators.ranking import (
     RankSpec,
     composite_rank,
     rank_distributed,
-    rank_metrics,
+    rank_windowed,
 )
 from standings.operators.rowwise import mean_of_present, normalize_values, ratio_of_sums
 from standings.operators.scoring import attach_metric, ratio_scorecard
@@ -59,7 +59,7 @@ __all__ = [
     "pool_row",
     "proportional_cost",
     "rank_distributed",
-    "rank_metrics",
+    "rank_windowed",
     "ratio_of_sums",
     "ratio_scorecard",
     "report_period",

@@ -31,19 +31,27 @@ class Line:
         return "(" + " or ".join(tests) + ")"
 
 
-def account_totals(ledger: DataFrame, begin: int, end: int) -> DataFrame:
+def account_totals(
+    ledger: DataFrame,
+    begin: int,
+    end: int,
+    scope: str = SCOPE,
+    code_start: int = CODE_START,
+    code_length: int = CODE_LENGTH,
+) -> DataFrame:
     """Postings of the period added up by branch code and account: the one ledger scan.
 
     The period is a half-open date range, which the file scan can use to skip data. The result
     has one row per branch and account, whatever the number of postings, and one decimal sum
-    per posting instead of one per line. ``branch_code`` is NULL outside the branch network.
+    per posting instead of one per line. ``branch_code`` is NULL outside the branch network, that
+    is for analysis codes that do not begin with ``scope``.
     """
     posted = F.col("transaction_date")
-    code = F.substring("analysis_code", CODE_START, CODE_LENGTH)
+    code = F.substring("analysis_code", code_start, code_length)
     return (
         ledger.where((posted >= F.lit(first_day(begin))) & (posted < F.lit(first_day(next_month(end)))))
         .select(
-            F.when(F.col("analysis_code").startswith(SCOPE), code).alias("branch_code"),
+            F.when(F.col("analysis_code").startswith(scope), code).alias("branch_code"),
             F.trim("account_code").alias("account_code"),
             "amount",
         )
@@ -62,7 +70,12 @@ def _line_sums(lines, extra: str = "true") -> list[Column]:
 
 
 def gl_rollup(
-    totals: DataFrame, lines, pool: bool | None = None, company_lines=(), exclude_prefix: str = "Z"
+    totals: DataFrame,
+    lines,
+    pool: bool | None = None,
+    company_lines=(),
+    exclude_prefix: str = "Z",
+    pool_code: str = POOL,
 ) -> DataFrame:
     """One row per branch code with one column per line; an account may feed several lines.
 
@@ -73,7 +86,7 @@ def gl_rollup(
     code = F.col("branch_code")
     scoped = totals if company_lines else totals.where(code.isNotNull())
     if pool is not None:
-        scoped = scoped.where(code == POOL if pool else code != POOL)
+        scoped = scoped.where(code == pool_code if pool else code != pool_code)
     counted = f"not startswith(account_code, {quoted(exclude_prefix)})"
     return scoped.groupBy("branch_code").agg(*_line_sums(lines), *_line_sums(company_lines, counted))
 
@@ -85,18 +98,18 @@ def company_totals(rollup: DataFrame, lines, network_lines=()) -> DataFrame:
     return rollup.agg(*[F.expr(amount_total(v)).alias(name) for name, v in values.items()])
 
 
-def pool_row(rollup: DataFrame) -> Column:
+def pool_row(rollup: DataFrame, pool_code: str = POOL) -> Column:
     """The head-office row of a rollup as a struct, NULL when there is none."""
-    return rollup.where(F.col("branch_code") == POOL).select(F.struct("*")).scalar()
+    return rollup.where(F.col("branch_code") == pool_code).select(F.struct("*")).scalar()
 
 
-def proportional_cost(company: DataFrame, pools, num: str, den) -> DataFrame:
+def proportional_cost(company: DataFrame, pools, num: str, den, pool_code: str = POOL) -> DataFrame:
     """Each pool times ``num`` over the sum of the ``den`` columns, as the pool row."""
     shares = [
         ratio(f"cast({pool} as double) * cast({num} as double)", plus(den)) + f" as {pool}"
         for pool in pools
     ]
-    return company.selectExpr(f"{quoted(POOL)} as dd", *shares)
+    return company.selectExpr(f"{quoted(pool_code)} as dd", *shares)
 
 
 def line_map_frame(spark: SparkSession, lines) -> DataFrame:
@@ -109,11 +122,10 @@ def line_map_frame(spark: SparkSession, lines) -> DataFrame:
 def gl_rollup_long(totals: DataFrame, line_map: DataFrame) -> DataFrame:
     """Rollup through a mapping table of any size: one row per branch code and line.
 
-    Each account offers its full code and all its prefixes as candidates, which makes prefix
-    matching an equi-join. Accounts are resolved to distinct lines first, so an account that
-    meets a line twice is still counted once.
+    ``totals`` has one row per branch and account and is read once. Each account offers its full
+    code and all its prefixes as candidates, which makes prefix matching an equi-join. An account
+    that meets a line twice is counted once.
     """
-    accounts = totals.select("account_code").distinct()
     length = F.greatest(F.length("account_code"), F.lit(1))
     prefixes = F.transform(
         F.sequence(F.lit(1), length),
@@ -122,11 +134,12 @@ def gl_rollup_long(totals: DataFrame, line_map: DataFrame) -> DataFrame:
         ),
     )
     whole = F.array(F.struct(F.lit("exact").alias("match_kind"), F.col("account_code").alias("pattern")))
-    candidates = accounts.select("account_code", F.inline(F.concat(whole, prefixes)))
-    resolved = candidates.join(line_map, ["match_kind", "pattern"]).select("account_code", "line").distinct()
-    return (
-        totals.where(F.col("branch_code").isNotNull())
-        .join(resolved, "account_code")
-        .groupBy("branch_code", "line")
-        .agg(F.expr(amount_total("amount")).alias("amount"))
+    candidates = totals.where(F.col("branch_code").isNotNull()).select(
+        "branch_code", "account_code", "amount", F.inline(F.concat(whole, prefixes))
+    )
+    met = (
+        candidates.join(line_map, ["match_kind", "pattern"])
+        .groupBy("branch_code", "line", "account_code")
+        .agg(F.max("amount").alias("amount"))
     )
+    return met.groupBy("branch_code", "line").agg(F.expr(amount_total("amount")).alias("amount"))

@@ -1,4 +1,4 @@
-"""Ranks: one task per group while the group is small, value buckets when it is not."""
+"""Ranks by value buckets, so that no task holds a whole group; plain windows where a caller asks."""
 
 from __future__ import annotations
 
@@ -9,20 +9,18 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# Largest group that is sorted within one task. Beyond it the ranks come from value buckets.
-SINGLE_TASK_ROWS = 500_000
+from standings.sources.staging import Workspace
 
-# Value buckets per shuffle partition, so that their sizes even out, and the bounds on both.
-BUCKETS_PER_PARTITION = 4
-MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+# Rows that a bucket should hold, and the bounds on the number of buckets. The number decides how
+# work is dealt out, never a rank.
+ROWS_PER_BUCKET = 100_000
+MIN_BUCKETS, MAX_BUCKETS = 16, 4096
 
-# Rows equal to a cut point are spread over this many tasks.
-SALTS = 64
-
-# The rows-before table is broadcast up to this many rows, three numbers each.
-BROADCAST_ROWS = 500_000
+# What values can be cut at quantiles.
+ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -57,39 +55,8 @@ class RankSpec:
         return value.asc_nulls_first() if self.nulls_first else value.asc_nulls_last()
 
 
-def rank_metrics(
-    df: DataFrame,
-    specs: Sequence[RankSpec],
-    partition: Sequence[str] = (),
-    rows: int | None = None,
-    workspace=None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Add one rank column per spec, ranking within ``partition``.
-
-    Groups of up to ``single_task_rows`` rows are ranked by plain windows; above that,
-    `rank_distributed` returns the same ranks without bringing a group into one task. ``rows``
-    is an upper bound of the largest group where the caller knows one; otherwise it is counted.
-    With a ``workspace`` the rows are staged before they are read more than once.
-    """
-    if rows is not None and rows <= single_task_rows:
-        return rank_windowed(df, specs, partition)
-    if workspace is not None:
-        df = workspace.keep(df, "ranked")
-    if largest_group(df, partition) <= single_task_rows:
-        return rank_windowed(df, specs, partition)
-    return rank_distributed(df, specs, partition)
-
-
-def largest_group(df: DataFrame, partition: Sequence[str] = ()) -> int:
-    if not partition:
-        return df.count()
-    sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("rows"))
-    return sizes.agg(F.max("rows")).first()[0] or 0
-
-
 def rank_windowed(df: DataFrame, specs: Sequence[RankSpec], partition: Sequence[str] = ()) -> DataFrame:
-    """Plain window ranks. A whole group is sorted in one task: for groups of a known size."""
+    """Plain window ranks of any key. A whole group is sorted in one task: for groups known to be small."""
     ranks = {
         s.out: F.rank().over(_within(partition).orderBy(s.order(s.value()))).cast("bigint")
         for s in specs
@@ -98,47 +65,59 @@ def rank_windowed(df: DataFrame, specs: Sequence[RankSpec], partition: Sequence[
 
 
 def rank_distributed(
-    df: DataFrame, specs: Sequence[RankSpec], partition: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame,
+    specs: Sequence[RankSpec],
+    partition: Sequence[str] = (),
+    workspace: Workspace | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The ranks of `rank_windowed` with no task holding more than a slice of a group.
 
     Approximate quantiles cut the values into buckets. Every cut point is a bucket of its own,
     so the rows between two neighbouring cuts are a bounded share of all rows however often a
     value repeats: a frequent value comes out as a cut. A rank is then the number of rows in
-    the buckets before, plus the rank inside the bucket. Rows equal to a cut all rank first
-    inside their bucket and need not meet, so a salt spreads them. The cuts steer the balance
-    only; the ranks are exact for any cuts.
+    the buckets before, plus the rank inside the bucket. Rows equal to a cut, and NULLs, all rank
+    first inside their bucket and need not meet, so salts spread them, as many as the bucket's rows
+    ask for. A column whose rows all lie on cuts needs no window at all. The cuts steer the
+    balance only; the ranks are exact for any cuts.
+
+    Numbers, dates and timestamps have quantiles. Other keys are refused, at every size.
+    ``df`` is read three times and once to be counted; it should be a stored table.
     """
+    values = df.select(*[s.value().alias(s.out) for s in specs]).schema
+    for field in values:
+        if not isinstance(field.dataType, ORDERED):
+            raise TypeError(
+                f"{field.name}: {field.dataType.simpleString()} has no quantiles; map it to a number "
+                "with RankSpec.key, or use rank_windowed"
+            )
+    workspace = workspace or Workspace(df.sparkSession)
     if buckets is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        wanted = BUCKETS_PER_PARTITION * partitions
-        buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
-    cuts, groups = _cut_points(df, specs, partition, buckets)
-    broadcast = groups * (2 * buckets + 1) <= BROADCAST_ROWS
+        buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, -(-df.count() // ROWS_PER_BUCKET)))
+    cuts = _cut_points(df, specs, buckets)
+    sizes = workspace.keep(_bucket_sizes(df, specs, cuts, partition), "bucket_sizes")
+    # The largest group's rows per place: a few numbers per bucket and column.
+    largest = sizes.groupBy("spec", "place", "level").agg(F.max("rows").alias("rows")).collect()
     ranked = df
-    for spec, points in zip(specs, cuts):
-        offsets = _offsets(df, spec, points, partition)
-        ranked = _rank_in_buckets(
-            ranked, spec, points, partition, df.columns, F.broadcast(offsets) if broadcast else offsets
-        )
+    for number, (spec, points) in enumerate(zip(specs, cuts)):
+        own = [r for r in largest if r["spec"] == number]
+        salts = [1] * (2 * len(points) + 4)
+        for r in own:
+            if r["level"]:
+                salts[r["place"] + 1] = -(-r["rows"] // ROWS_PER_BUCKET)
+        offsets = _offsets(sizes.where(F.col("spec") == number), partition, F.lit(salts))
+        mixed = not all(r["level"] for r in own)
+        ranked = _rank_in_buckets(ranked, spec, points, partition, df.columns, offsets, F.lit(salts), mixed)
     return ranked
 
 
-def _cut_points(
-    df: DataFrame, specs: Sequence[RankSpec], partition: Sequence[str], buckets: int
-) -> tuple[list[list], int]:
-    """Distinct quantiles of every spec's value and the number of groups, in one pass."""
+def _cut_points(df: DataFrame, specs: Sequence[RankSpec], buckets: int) -> list[list]:
+    """Distinct quantiles of every spec's value, in one pass."""
     shares = [i / buckets for i in range(1, buckets)]
-    accuracy = 20 * buckets
-    groups = F.approx_count_distinct(F.struct(*partition)) if partition else F.lit(1)
-    *found, groups = df.agg(
-        *[
-            F.percentile_approx(s.value(), shares, accuracy).alias(f"cuts_{i}")
-            for i, s in enumerate(specs)
-        ],
-        groups.alias("groups"),
+    found = df.agg(
+        *[F.percentile_approx(s.value(), shares, 20 * buckets).alias(f"cuts_{i}") for i, s in enumerate(specs)]
     ).first()
-    return [sorted(set(points or [])) for points in found], groups
+    return [sorted(set(points or [])) for points in found]
 
 
 def _place(df: DataFrame, spec: RankSpec, points: list) -> DataFrame:
@@ -167,15 +146,40 @@ def _within(partition: Sequence[str]):
     return Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
 
 
-def _offsets(df: DataFrame, spec: RankSpec, points: list, partition: Sequence[str]) -> DataFrame:
-    """Rows before each bucket: at most ``2 * len(points) + 2`` rows per group."""
-    sizes = _place(df, spec, points).groupBy(*partition, "_place").agg(F.count(F.lit(1)).alias("_rows"))
-    before = _within(partition).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(
+def _level(spec: RankSpec, value: str, place: str) -> Column:
+    """Whether all rows of a bucket rank alike: it is a cut point's own, or that of the NULLs."""
+    # Cut points have odd bucket numbers; counting down from an odd number makes them even.
+    on_cut = (F.col(place) % 2 == 1) if not spec.descending else (F.col(place) % 2 == 0)
+    return F.col(value).isNull() | on_cut
+
+
+def _bucket_sizes(df: DataFrame, specs: Sequence[RankSpec], cuts: list[list], partition: Sequence[str]) -> DataFrame:
+    """(partition, spec, place, level, rows) of all specs in one pass, added up map-side."""
+    placed, found = df.select(*dict.fromkeys([*partition, *[s.column for s in specs]])), []
+    for number, (spec, points) in enumerate(zip(specs, cuts)):
+        placed = _place(placed, spec, points)
+        level = _level(spec, "_value", "_place")
+        placed = placed.withColumn(f"_at_{number}", F.struct(F.lit(number).alias("spec"), F.col("_place").alias("place"), level.alias("level")))
+        found.append(f"_at_{number}")
+        placed = placed.drop("_value", "_place")
+    return (
+        placed.select(*partition, F.explode(F.array(*found)).alias("_at"))
+        .groupBy(*partition, "_at")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(*partition, "_at.*", "rows")
+    )
+
+
+def _offsets(sizes: DataFrame, partition: Sequence[str], salts: Column) -> DataFrame:
+    """Rows before each bucket, once for every salt: two buckets per cut, so few rows per group."""
+    before = _within(partition).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    every = F.sequence(F.lit(0), F.get(salts, F.col("_at") + 1) - 1)
+    summed = sizes.select(
         *[F.col(c).alias(f"_{c}") for c in partition],
-        F.col("_place").alias("_at"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+        F.col("place").alias("_at"),
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before"),
     )
+    return summed.withColumn("_at_salt", F.explode(every))
 
 
 def _rank_in_buckets(
@@ -185,17 +189,19 @@ def _rank_in_buckets(
     partition: Sequence[str],
     identity: Sequence[str],
     offsets: DataFrame,
+    salts: Column,
+    mixed: bool,
 ) -> DataFrame:
-    # Cut points have odd bucket numbers; counting down from an odd number makes them even.
-    on_cut = (F.col("_place") % 2 == 1) if not spec.descending else (F.col("_place") % 2 == 0)
-    equal_rows = F.col("_value").isNull() | on_cut
-    salt = F.when(equal_rows, F.pmod(F.xxhash64(*identity), F.lit(SALTS))).otherwise(F.lit(0))
-    inside = Window.partitionBy(*partition, "_place", "_salt").orderBy(spec.order(F.col("_value")))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition] + [F.col("_place") == F.col("_at")]
+    salt = F.pmod(F.xxhash64(*identity), F.get(salts, F.col("_place") + 1)).cast("int")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition]
+    same += [F.col("_place") == F.col("_at"), F.col("_salt") == F.col("_at_salt")]
+    placed = _place(df, spec, points).withColumn("_salt", salt)
+    inside = F.lit(1)
+    if mixed:
+        window = Window.partitionBy(*partition, "_place", "_salt").orderBy(spec.order(F.col("_value")))
+        inside = F.rank().over(window)
     return (
-        _place(df, spec, points)
-        .withColumn("_salt", salt)
-        .withColumn("_inside", F.rank().over(inside))
+        placed.withColumn("_inside", inside)
         .join(offsets, same, "left")
         .withColumn(spec.out, (F.col("_before") + F.col("_inside")).cast("bigint"))
         .select(*df.columns, spec.out)
@@ -211,14 +217,10 @@ def composite_rank(
     df: DataFrame,
     rank_cols: dict[str, Sequence[str]],
     partition: Sequence[str] = (),
-    rows: int | None = None,
-    workspace=None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    workspace: Workspace | None = None,
     nulls: str | None = None,
 ) -> DataFrame:
     """Rank the sums of other ranks, smallest first: ``rank_cols`` maps each output to its parts."""
     summed = df.withColumns({f"_{out}": rank_sum(cols) for out, cols in rank_cols.items()})
     specs = [RankSpec(f"_{out}", out, nulls=nulls) for out in rank_cols]
-    return rank_metrics(summed, specs, partition, rows, workspace, single_task_rows).drop(
-        *[s.column for s in specs]
-    )
+    return rank_distributed(summed, specs, partition, workspace).drop(*[s.column for s in specs])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from standings.plans.report import RankingInputs, RankingRun
 from standings.sources.schemas import FUNDING
-from standings.sources.sinks import replace_partitions, replace_table
+from standings.sources.sinks import delete_folder, replace_partitions, switch_folder
+from standings.sources.staging import Workspace
 
 # Tables that keep their history: a run replaces the months it computed.
 BY_MONTH = {"staff_averages": "averages", "staff_scorecard": "scorecard"}
@@ -32,18 +35,51 @@ WHOLE = {
 }
 
 
-def publish(run: RankingRun, target: str) -> None:
+def publish(run: RankingRun, target: str, catalog: bool = False) -> None:
     """Load the tables of ``run`` under ``target``; a second run of a month changes nothing.
 
-    The report is built before anything is written, so what it reads of earlier months, and
-    every failure before the last computation, leaves the published tables as they were.
+    ``target`` is a folder, or with ``catalog`` a database. Every table is computed and written to a
+    run folder first. Only then is each put in its place, a rename or, for the tables kept by
+    month and for a database, a copy. A failure before that leaves the published tables as they were;
+    one between two switches leaves each table whole, old or new, and a rerun completes them. The
+    months that the run stands for are emptied if it has no rows for them.
     """
-    tables = {name: getattr(run, attribute) for name, attribute in {**WHOLE, **BY_MONTH}.items()}
-    for name, df in tables.items():
-        load = replace_partitions if name in BY_MONTH else replace_table
-        load(df, f"{target}/{name}")
-    if run.workspace:
-        run.workspace.clear()
+    spark = run.inputs.sales.sparkSession
+    workspace = run.workspace or Workspace(spark)
+    try:
+        tables = {name: getattr(run, attribute) for name, attribute in {**WHOLE, **BY_MONTH}.items()}
+        staged = f"{target.rstrip('/')}/_run-{uuid.uuid4().hex}" if not catalog else workspace.path
+        try:
+            for name, df in tables.items():
+                df.write.parquet(f"{staged}/{name}")
+            for name, df in tables.items():
+                new = spark.read.schema(df.schema).parquet(f"{staged}/{name}")
+                if name in BY_MONTH:
+                    months = {run.end, *[r[0] for r in new.select("month_key").distinct().collect()]}
+                    if catalog:
+                        replace_months_of_table(new, f"{target}.{name}", months)
+                    else:
+                        replace_partitions(new, f"{target}/{name}", months=months)
+                elif catalog:
+                    new.write.mode("overwrite").saveAsTable(f"{target}.{name}")
+                else:
+                    switch_folder(spark, f"{staged}/{name}", f"{target}/{name}")
+        finally:
+            delete_folder(spark, staged)
+    finally:
+        workspace.clear()
+
+
+def replace_months_of_table(new: DataFrame, table: str, months: set[int]) -> None:
+    """The rows of ``months`` in a partitioned catalog table become those of ``new``."""
+    spark = new.sparkSession
+    if not spark.catalog.tableExists(table):
+        new.write.partitionBy("month_key").saveAsTable(table)
+        return
+    kept = [c for c in spark.table(table).columns]
+    for month in months:
+        spark.sql(f"alter table {table} drop if exists partition (month_key = {int(month)})")
+    new.select(*kept).write.mode("append").insertInto(table)
 
 
 def read_inputs(spark: SparkSession, source: str, catalog: bool = False, **more) -> RankingInputs:

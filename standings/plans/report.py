@@ -16,7 +16,6 @@ from standings.operators.balances import (
     adjusted_period_mean,
     adjusted_share,
     branch_balances,
-    cumulative_by_period,
     cumulative_by_period_window,
     grouped_total,
     loan_months,
@@ -33,12 +32,7 @@ from standings.operators.ledger import (
     proportional_cost,
 )
 from standings.operators.period import month_spine, report_period
-from standings.operators.ranking import (
-    SINGLE_TASK_ROWS,
-    RankSpec,
-    composite_rank,
-    rank_metrics,
-)
+from standings.operators.ranking import RankSpec, composite_rank, rank_distributed, rank_windowed
 from standings.operators.rowwise import mean_of_present, normalize_values, ratio_of_sums
 from standings.operators.scoring import attach_metric, ratio_scorecard
 from standings.plans import lines as real
@@ -53,10 +47,6 @@ from standings.sources.schemas import (
 )
 from standings.sources.staging import Workspace
 
-# Longest spine that goes through the range join; beyond it the running sum is cheaper.
-SPINE_JOIN_MONTHS = 24
-
-
 @dataclass(frozen=True)
 class LineBook:
     """The ledger lines of the report. The default holds the real account codes."""
@@ -112,7 +102,6 @@ class Options:
     excluded_channels: tuple[int, ...] = EXCLUDED_CHANNELS
     collation: str | None = None
     history: DataFrame | None = None
-    single_task_rows: int = SINGLE_TASK_ROWS
 
 
 # Output columns of the final report, in order.
@@ -154,8 +143,8 @@ def branch_rank_specs(cir_offset: float) -> list[RankSpec]:
 class RankingRun:
     """One month's run. Each attribute is one table; nothing runs before a table is used.
 
-    With a ``workspace``, what several tables read is staged: the loan tape and the ledger are
-    then read once, and everything after works on branch-sized tables and on the scorecard.
+    With a ``workspace``, the loan tape, the ledger and the staff averages are read once and their
+    sums staged; what follows works on branch-sized tables and on the scorecard.
     """
 
     def __init__(
@@ -198,16 +187,17 @@ class RankingRun:
         df = mean_of_present(self.sales, columns["ltn"], "ltn_avg")
         df = mean_of_present(df, columns["psdn"], "psdn_avg")
         df = ratio_of_sums(df, columns["approved"], columns["appin"], "approval_rate_avg")
-        return df.select(
+        means = df.select(
             "month_key", "province", "staff_code", "ltn_avg", "psdn_avg", "approval_rate_avg"
         )
+        return self._keep(means, "averages")
 
     @cached_property
     def headcount(self) -> DataFrame:
         staff = self.averages
         if not self.options.all_months_heads:
             staff = staff.where(F.col("month_key") == self.end)
-        return self._keep(headcount_share(staff, total=False), "headcount")
+        return headcount_share(staff, total=False)
 
     # Loan tape ---------------------------------------------------------------------------
 
@@ -231,10 +221,15 @@ class RankingRun:
     def writeoff(self) -> DataFrame:
         begin = self.begin if self.options.from_begin else None
         months = month_list(self.spine_begin, self.end)
-        args = (write_offs(self.loan_months), ["branch_city"], "kpi_month", "write_off_balance_principal")
-        if len(months) <= SPINE_JOIN_MONTHS:
-            return cumulative_by_period(*args, self.spine, "writeoff_to_date", begin)
-        return cumulative_by_period_window(*args, months, "writeoff_to_date", begin)
+        return cumulative_by_period_window(
+            write_offs(self.loan_months),
+            ["branch_city"],
+            "kpi_month",
+            "write_off_balance_principal",
+            months,
+            "writeoff_to_date",
+            begin,
+        )
 
     @cached_property
     def balances(self) -> DataFrame:
@@ -446,30 +441,16 @@ class RankingRun:
                 (self.headcount, "province"),
             ],
         )
-        return self._keep(scored, "ratios")
-
-    @cached_property
-    def branch_size(self) -> tuple[int, int]:
-        """Branches to rank and the most of them that share one name."""
-        named = self.ratios.groupBy("branch_city").agg(F.count(F.lit(1)).alias("rows"))
-        rows, shared = named.agg(F.sum("rows"), F.max("rows")).first()
-        return rows or 0, shared or 0
-
-    @cached_property
-    def staff_size(self) -> int | None:
-        """Upper bound of the staff in one month; unknown when earlier months are ranked too."""
-        if self.options.history is not None:
-            return None
-        return self.headcount.agg(F.sum("heads")).first()[0] or 0
+        return scored
 
     @cached_property
     def branch_ranks(self) -> DataFrame:
-        """Branches with a cost-income ratio, ranked on the four ratios."""
-        ranked = rank_metrics(
-            self.ratios.where(F.col("cir").isNotNull()),
-            branch_rank_specs(self.options.cir_offset),
-            rows=self.branch_size[0],
-            single_task_rows=self.options.single_task_rows,
+        """Branches with a cost-income ratio, ranked on the four ratios.
+
+        One window over all branches: there are as many as the company has, not as it has data.
+        """
+        ranked = rank_windowed(
+            self.ratios.where(F.col("cir").isNotNull()), branch_rank_specs(self.options.cir_offset)
         )
         return ranked.select(
             "branch_city",
@@ -488,13 +469,8 @@ class RankingRun:
         if self.options.history is not None:
             past = self.options.history.where(F.col("month_key") != self.end)
             rows = rows.unionByName(past.select(*rows.columns))
-        return rank_metrics(
-            rows,
-            staff_rank_specs(self.options.nulls),
-            ["month_key"],
-            self.staff_size,
-            self.workspace,
-            self.options.single_task_rows,
+        return rank_distributed(
+            self._keep(rows, "scored"), staff_rank_specs(self.options.nulls), ["month_key"], self.workspace
         )
 
     @cached_property
@@ -502,18 +478,15 @@ class RankingRun:
         """The final report: staff and branch ranks side by side and the ranks of their sums."""
         branches = self.branch_ranks.withColumnRenamed("branch_city", "province")
         joined = self.staff_ranks.join(branches, "province", "left")
-        size = None if self.staff_size is None else self.staff_size * max(1, self.branch_size[1])
         ranked = composite_rank(
-            joined,
+            self._keep(joined, "joined"),
             {
                 "rank_business": STAFF_RANKS,
                 "rank_financial": BRANCH_RANKS,
                 "rank_final": STAFF_RANKS + BRANCH_RANKS,
             },
             ["month_key"],
-            size,
             self.workspace,
-            self.options.single_task_rows,
             self.options.nulls,
         )
         return ranked.select(*REPORT)

@@ -60,7 +60,7 @@ def conform(df: DataFrame, schema: StructType, collation: str | None = None) ->
     """Select the columns of ``schema`` by name and cast them; fail when one is missing.
 
     ``collation`` (``"UNICODE_CI_AI"``, say) makes province and branch names compare that way
-    in the joins and groupings that follow. The default compares bytes.
+    in the joins and groupings that follow. The default compares bytes. Names are trimmed.
     """
     present = {c.lower() for c in df.columns}
     missing = [f.name for f in schema if f.name.lower() not in present]
@@ -69,7 +69,9 @@ def conform(df: DataFrame, schema: StructType, collation: str | None = None) ->
     picked = []
     for field in schema:
         col = F.col(field.name).cast(field.dataType)
-        if collation and field.name in NAMES:
-            col = F.collate(col, collation)
+        if field.name in NAMES:
+            col = F.trim(col)
+            if collation:
+                col = F.collate(col, collation)
         picked.append(col.alias(field.name))
     return df.select(*picked)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -10,12 +13,19 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, column: str = "month_key") -> None:
+def replace_partitions(
+    df: DataFrame, path: str, column: str = "month_key", months: Iterable[int] | None = None
+) -> None:
     """Replace the partitions present in ``df`` and leave every other one alone.
 
-    Running it twice leaves one copy. ``path`` must not be read by ``df`` itself. The rebalance
-    hint gathers each month into few files and still splits a month too large for one task.
+    ``months`` are the partitions that a load stands for: those without rows in ``df`` are
+    emptied, rows of others are not written. Running it twice leaves one copy. ``path`` must not be
+    read by ``df`` itself. The rebalance hint gathers each month into few files and still splits
+    a month too large for one task.
     """
+    months = None if months is None else sorted(set(months))
+    if months is not None:
+        df = df.where(F.col(column).isin(months))
     (
         df.hint("rebalance", column)
         .write.mode("overwrite")
@@ -23,3 +33,24 @@ def replace_partitions(df: DataFrame, path: str, column: str = "month_key") -> N
         .partitionBy(column)
         .parquet(path)
     )
+    if months:
+        filled = {r[0] for r in df.select(column).distinct().collect()}
+        for month in months:
+            if month not in filled:
+                delete_folder(df.sparkSession, f"{path}/{column}={month}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, in whatever file system it lies."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def switch_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(at(path).getParent())
+    files.delete(at(path), True)
+    if not files.rename(at(new), at(path)):
+        raise OSError(f"{new} could not be moved to {path}")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from standings.sources.sinks import delete_folder
+
 
 class Workspace:
     """A folder for staged tables, under the checkpoint folder the cluster shares.
@@ -27,13 +29,11 @@ class Workspace:
 
     def clear(self) -> None:
         """Delete the staged tables, once everything that reads them has been written."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        delete_folder(self.spark, self.path)
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; without one, a folder of this machine if Spark is local."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured

@@ -57,14 +57,33 @@ def test_postings_are_added_up_before_the_shuffle(stored):
 def test_distributed_rank_has_no_single_partition_over_rows(spark):
     df = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_quantity")
     text = plan(op.rank_distributed(df, [op.RankSpec("l_quantity", "r")]), "simple")
+    assert "Window" not in text.replace("WindowGroupLimit", "") or "_place" in text
+    priced = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_extendedprice")
+    text = plan(op.rank_distributed(priced, [op.RankSpec("l_extendedprice", "r")]), "simple")
     windows = re.findall(r"Window \[rank.*", text)
     assert windows and all("_place" in w and "_salt" in w for w in windows)
 
 
-def test_staged_tables_are_small_enough_to_broadcast_by_their_size(spark):
-    run = entry._run(spark, SF_DIR, staged=True)
-    text = plan(run.ratios.join(run.headcount, run.ratios["branch_city"] == run.headcount["province"]))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+def test_long_rollup_reads_the_ledger_once(spark, stored):
+    totals = op.account_totals(stored["gl"], fx.BEGIN, fx.END)
+    long = op.gl_rollup_long(totals, op.line_map_frame(spark, fx.LINES.branch_lines))
+    assert len(re.findall(r"\) Scan parquet", plan(long))) == 1
+
+
+def jobs_of(spark, query, sf_dir=SF_DIR):
+    group = f"jobs-{query.__name__}-{id(query)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.sparkContext.setJobGroup("none", "none")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("name, most", [("financial_ratios", 50), ("ranking_report", 100)])
+def test_jobs_stay_few(spark, name, most):
+    """AQE runs every exchange as a job of its own; what is read more than once is staged."""
+    assert jobs_of(spark, entry.QUERIES[name]) <= most
 
 
 def test_workspace_clears_its_own_folder_only(spark, tmp_path):

@@ -77,8 +77,8 @@ def test_rows_between_two_cuts_are_bounded(spark):
 
     df = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, 500, id % 1000) as v")
     spec, buckets = RankSpec("v", "r"), 16
-    (points,), groups = _cut_points(df, [spec], [], buckets)
-    assert groups == 1 and len(points) < buckets
+    (points,) = _cut_points(df, [spec], buckets)
+    assert len(points) < buckets
     between = _place(df, spec, points).where("_place % 2 = 0").groupBy("_place").count()
     assert between.agg(F.max("count")).first()[0] <= 30_000 / buckets * 1.05
 
@@ -104,14 +104,45 @@ def test_groups_are_ranked_separately(spark):
         assert ranks(windowed, out) == ranks(spread, out)
 
 
-def test_size_decides_and_both_ways_agree(spark):
-    df = frame(spark, [3, 1, 1, None, 2])
-    spec = RankSpec("v", "r")
-    small = op.rank_metrics(df, [spec], single_task_rows=5)
-    large = op.rank_metrics(df, [spec], single_task_rows=4)
-    assert ranks(small) == ranks(large) == [5, 2, 2, 1, 4]
-    plans = [d._jdf.queryExecution().toString() for d in (small, large)]
-    assert "_place" not in plans[0] and "_place" in plans[1]
+@pytest.mark.parametrize("values", [["b", "a", "c", "a"], ["9", "10", "100", "2"]])
+def test_text_is_refused_at_every_size_and_ranked_by_a_window(spark, values):
+    df = frame(spark, values, "string")
+    for rows in (df, df.limit(1), df.limit(0)):
+        with pytest.raises(TypeError, match="no quantiles"):
+            op.rank_distributed(rows, [RankSpec("v", "r")])
+    assert ranks(rank_windowed(df, [RankSpec("v", "r")])) == [1 + sum(x < v for x in values) for v in values]
+    mapped = RankSpec("v", "r", key=lambda v: F.ascii(v))
+    assert ranks(op.rank_distributed(df, [mapped])) == ranks(rank_windowed(df, [mapped]))
+
+
+def test_dates_and_nan(spark):
+    from datetime import date, datetime
+
+    assert both(spark, [date(2020, 5, 1), None, date(1999, 1, 1)], RankSpec("v", "r"), "date") == [3, 1, 2]
+    times = [datetime(2020, 5, 1, 3), datetime(2020, 5, 1, 2), None]
+    assert both(spark, times, RankSpec("v", "r", descending=True), "timestamp") == [1, 2, 3]
+    assert both(spark, [float("nan"), 1.0, -0.0, 0.0], RankSpec("v", "r"), "double") == [4, 3, 1, 1]
+
+
+def test_hot_values_are_salted_and_few_values_need_no_window(spark, monkeypatch):
+    monkeypatch.setattr("standings.operators.ranking.ROWS_PER_BUCKET", 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7, id % 5) as few", "if(id % 3 = 0, 7, id) as many")
+        specs = [RankSpec("few", "r"), RankSpec("many", "s", descending=True)]
+        spread = op.rank_distributed(df, specs)
+        text = spread._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Window [rank(_value") == 1 and "_salt" in text
+        joins = [x for x in text.split("\n") if "SortMergeJoin" in x]
+        assert joins and all("_place" in x and "_salt" in x for x in joins)
+        assert "SinglePartition" not in "".join(x for x in text.split("\n") if "id#" in x)
+        windowed = rank_windowed(df, specs)
+        for out in ("r", "s"):
+            assert ranks(spread, out) == ranks(windowed, out)
+        few = spread.groupBy("few").agg(F.countDistinct("r")).collect()
+        assert all(r[1] == 1 for r in few)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_composite_rank_of_missing_parts(spark):
