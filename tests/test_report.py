@@ -212,3 +212,42 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         shared_folder(Session())
+
+
+def test_a_failing_run_leaves_published_tables_as_they_were(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    publish(RankingRun(make(spark), workspace=Workspace(spark)), target)
+    before = {name: sorted(map(str, spark.read.parquet(f"{target}/{name}").collect())) for name in [*WHOLE, *BY_MONTH]}
+    run = RankingRun(make(spark, sales=[staff("North", "zz", 1)]), workspace=Workspace(spark))
+    broken = run.volume.withColumn("volume", F.raise_error(F.lit("broken")).cast("double"))
+    monkeypatch.setattr(run, "volume", broken)
+    with pytest.raises(Exception, match="broken"):
+        publish(run, target)
+    after = {name: sorted(map(str, spark.read.parquet(f"{target}/{name}").collect())) for name in [*WHOLE, *BY_MONTH]}
+    assert after == before
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_run")]
+    from pathlib import Path
+
+    assert not Path(run.workspace.path).exists()
+
+
+def test_tables_of_a_database(spark):
+    spark.sql("create database if not exists published")
+    try:
+        sales = [staff("North", "n1", 10), staff("North", "n1", 99, 202204)]
+        publish(RankingRun(make(spark, sales=sales), 202204, workspace=Workspace(spark)), "published", catalog=True)
+        for _ in range(2):
+            publish(RankingRun(make(spark, sales=sales), workspace=Workspace(spark)), "published", catalog=True)
+        assert spark.table("published.ranking_report").count() == 1
+        kept = spark.table("published.staff_scorecard").select("month_key").collect()
+        assert sorted(r[0] for r in kept) == [202204, 202205]
+        assert spark.table("published.staff_averages").count() == 2
+    finally:
+        spark.sql("drop database published cascade")
+
+
+def test_names_are_trimmed(spark):
+    sales = [staff(" North ", "n1", 10), staff("North", "n2", 20)]
+    run = RankingRun(make(spark, sales=sales), workspace=Workspace(spark))
+    rows = by(run.report, "staff_code")
+    assert rows["n1"]["cir"] is not None and rows["n1"]["cir"] == rows["n2"]["cir"]
