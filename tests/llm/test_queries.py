@@ -2,7 +2,6 @@
 
 import pytest
 
-from standings.llm import oracles  # noqa: F401
 from standings.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
