@@ -6,8 +6,9 @@ space. The n-grams of all training texts are counted in tasks and added up by Sp
 are then laid out as sorted arrays of n-gram hashes, one per order, with a log probability per
 language, and sent to the tasks.
 
-Their size is bounded: an n-gram stays if it makes up at least one ``max_entries``-th of its
-language's n-grams, so at most ``max_entries`` stay for each language and order.
+Counts of counts, context totals and continuation counts are taken by Spark over all n-grams, and
+all n-grams seen are in the model. Only where a language has over ``max_entries`` different n-grams
+of an order do the rarest go, after the fit; their mass is the lower order's.
 """
 
 from __future__ import annotations
@@ -137,8 +138,8 @@ class SortedHashes:
         return out
 
 
-def discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+def discount(once: int, twice: int) -> float:
+    """From the numbers of n-grams counted once and twice."""
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
@@ -146,18 +147,31 @@ class LanguageModels:
     """Log probabilities of all languages for the n-grams that any of them has seen."""
 
     def __init__(self, counts: pd.DataFrame, order: int):
-        self.order = order
-        self.languages = sorted(counts["lang"].unique())
+        """From the counts (lang, code, n) of all n-grams of the highest order."""
+        languages = sorted(counts["lang"].unique())
         per_order = {}
-        for lang in self.languages:
+        for lang in languages:
             own = counts[counts["lang"] == lang]
             codes, n = own["code"].to_numpy().view(np.uint64), own["n"].to_numpy()
             for size in range(order, 0, -1):
-                per_order.setdefault(size, []).append((codes, n))
+                _, of = np.unique(codes >> np.uint64(16), return_inverse=True)
+                d = discount(int((n == 1).sum()), int((n == 2).sum()))
+                per_order.setdefault(size, []).append((codes, n, np.bincount(of, weights=n)[of], d))
                 # The next lower order counts the different characters seen before it.
                 codes, n = np.unique(codes & self._mask(size - 1), return_counts=True) if size > 1 else (codes, n)
-        letters = len(np.unique(np.concatenate([c for c, _ in per_order[1]]))) + 1
-        self.unknown = -np.log(letters)
+        self._lay_out(languages, order, per_order, len(np.unique(np.concatenate([t[0] for t in per_order[1]]))))
+
+    @classmethod
+    def fitted(cls, languages: list, order: int, per_order: dict, letters: int) -> LanguageModels:
+        """From tables by order, one a language: codes, counts, their contexts' totals over all
+        n-grams, whether or not they are listed, and the discount."""
+        models = cls.__new__(cls)
+        models._lay_out(languages, order, per_order, letters)
+        return models
+
+    def _lay_out(self, languages: list, order: int, per_order: dict, letters: int) -> None:
+        self.languages, self.order = languages, order
+        self.unknown = -np.log(letters + 1)
         self.grams, self.log_p, self.contexts, self.log_rest = {}, {}, {}, {}
         for size in range(1, order + 1):
             self._fit(size, per_order[size])
@@ -168,22 +182,21 @@ class LanguageModels:
 
     def _fit(self, size: int, tables: list) -> None:
         wide = len(self.languages)
-        codes = np.unique(np.concatenate([c for c, _ in tables]))
+        codes = np.unique(np.concatenate([t[0] for t in tables]))
         context = codes >> np.uint64(16)
         contexts, of = np.unique(context, return_inverse=True)
         seen, rest = np.zeros((len(codes), wide)), np.zeros((len(contexts), wide))
-        for j, (own, n) in enumerate(tables):
+        for j, (own, n, totals, d) in enumerate(tables):
             at = np.searchsorted(codes, own)
-            total = np.bincount(of[at], weights=n, minlength=len(contexts))
+            total = np.zeros(len(contexts))
+            total[of[at]] = totals
+            listed = np.bincount(of[at], weights=n, minlength=len(contexts))
             kinds = np.bincount(of[at], minlength=len(contexts))
-            d = discount(n)
-            seen[at, j] = np.maximum(n - d, 0) / total[of[at]]
+            seen[at, j] = (n - d) / totals
             known = total > 0
-            rest[known, j] = np.log(d * kinds[known] / total[known])
-        if size == 1:
-            lower = np.full((len(codes), wide), self.unknown)
-        else:
-            lower = self.log_p[size - 1][self.grams[size - 1].find(codes & self._mask(size - 1))].astype(float)
+            # What is discounted, and all of the n-grams that are not listed.
+            rest[known, j] = np.log((d * kinds + total - listed)[known] / total[known])
+        lower = self.score(codes & self._mask(size - 1), size - 1).astype(float)
         p = np.log(seen + np.exp(rest[of] + lower))
         grams, places = SortedHashes(codes), SortedHashes(contexts)
         self.grams[size], self.log_p[size] = grams, p[grams.order].astype(np.float32)
@@ -229,11 +242,54 @@ def fold(doc_id: Column) -> Column:
 def train(docs: DataFrame, rules: LanguageRules, stage: Stage) -> LanguageModels | None:
     """Models of every language in ``docs`` (text, lang), from the n-grams of all its texts."""
     counts = docs.select("lang", "text").mapInArrow(count_grams(rules.order), "lang string, code bigint, n bigint")
-    counts = stage.keep(counts.groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
-    totals = counts.groupBy("lang").agg((F.sum("n") / rules.max_entries).alias("least"))
-    frequent = counts.join(totals, "lang").where("n >= least").select("lang", "code", "n")
-    found = frequent.orderBy("lang", "code").toPandas()
-    return LanguageModels(found, rules.order) if len(found) else None
+    grams = counts.groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    per_order, languages = {}, []
+    for size in range(rules.order, 0, -1):
+        grams = stage.keep(grams, f"grams-{size}")
+        sizes = {
+            r.lang: r
+            for r in grams.groupBy("lang")
+            .agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"), F.count("n").alias("kinds"))
+            .collect()
+        }
+        languages = sorted(sizes)
+        if not languages:
+            return None
+        context = F.shiftrightunsigned("code", 16).alias("context")
+        totals = grams.groupBy("lang", context).agg(F.sum("n").alias("total"))
+        large = [lang for lang, r in sizes.items() if r.kinds > rules.max_entries]
+        frequent = bounded(grams, large, rules.max_entries).select("lang", "code", "n", context)
+        found = frequent.join(totals, ["lang", "context"]).select("lang", "code", "n", "total").toPandas()
+        own = {lang: rows for lang, rows in found.groupby("lang", sort=False)}
+        per_order[size] = [
+            (
+                rows["code"].to_numpy(np.int64).view(np.uint64),
+                rows["n"].to_numpy(np.int64),
+                rows["total"].to_numpy(np.int64),
+                discount(sizes[lang].once, sizes[lang].twice),
+            )
+            for lang in languages
+            for rows in [own.get(lang, found.iloc[:0])]
+        ]
+        if size == 1:
+            letters = grams.select("code").distinct().count()
+        else:
+            # The next lower order counts the different characters seen before it.
+            lower = F.col("code").bitwiseAND(F.lit((1 << 16 * (size - 1)) - 1).cast("bigint"))
+            grams = grams.groupBy("lang", lower.alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    return LanguageModels.fitted(languages, rules.order, per_order, letters)
+
+
+def bounded(grams: DataFrame, large: list[str], entries: int) -> DataFrame:
+    """``grams``; of the languages in ``large`` the most frequent, ``entries`` at most, ties going together."""
+    if not large:
+        return grams
+    numbers = grams.where(F.col("lang").isin(large)).groupBy("lang", "n").count().toPandas()
+    stays = ~F.col("lang").isin(large)
+    for lang, own in numbers.sort_values("n", ascending=False).groupby("lang"):
+        fits = own[own["count"].cumsum() <= entries]
+        stays |= (F.col("lang") == lang) & (F.col("n") >= (int(fits["n"].min()) if len(fits) else int(own["n"].max()) + 1))
+    return grams.where(stays)
 
 
 def entropies(docs: DataFrame, models: LanguageModels, text: str = "text") -> Column:

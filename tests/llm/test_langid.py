@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from standings.llm.common import Stage
 from standings.llm.langid import (
     LanguageModels,
     LanguageRules,
@@ -13,6 +14,7 @@ from standings.llm.langid import (
     identify,
     keep_identified,
     streams,
+    train,
 )
 
 
@@ -115,3 +117,37 @@ def test_rejects_what_no_language_explains(spark, documents):
     strange = spark.createDataFrame([(1, "xqzk vjwx qqzx kkvj zxqw " * 40), (2, documents.first().text)], "doc_id bigint, text string")
     kept = {r.doc_id for r in keep_identified(strange, taught, LanguageRules(calibration_share=8)).collect()}
     assert kept == {2}
+
+
+def taught(spark, texts, times=1, **rules):
+    docs = spark.createDataFrame([(lang, text) for lang, text in texts.items()] * times, "lang string, text string")
+    return train(docs, LanguageRules(**rules), Stage(spark))
+
+
+def test_rare_grams_of_a_large_corpus_stay(spark):
+    texts = {"a": "common words " * 200_000 + "jazz quiz", "b": "babbab abba baab"}
+    codes, whole = np.unique(np.concatenate([grams(t) for t in texts.values()])), models_of(texts)
+    found = taught(spark, texts)
+    assert found.score(codes) == pytest.approx(whole.score(codes), abs=1e-5)
+    assert len(found.grams[4].hashes) == len(codes)
+
+
+def test_a_repeated_corpus_is_fitted_whole(spark):
+    texts = {"a": "abracadabra abra cada bra quiz " * 3 + "jazz", "b": "babbab abba baab"}
+    frames = []
+    for lang, text in texts.items():
+        codes, n = np.unique(grams(text), return_counts=True)
+        frames.append(pd.DataFrame({"lang": lang, "code": codes.view(np.int64), "n": 10 * n}))
+    # As many entries as there are different n-grams, but far fewer than characters.
+    found, whole = taught(spark, texts, 10, max_entries=64), LanguageModels(pd.concat(frames), 4)
+    probe = np.unique(np.concatenate([*map(grams, texts.values()), grams("jabba quit")]))
+    assert found.score(probe) == pytest.approx(whole.score(probe), abs=1e-5)
+
+
+def test_the_mass_of_bounded_grams_goes_to_the_lower_order(spark):
+    models = taught(spark, {"a": "abracadabra abra cada bra", "b": "babbab abba baab"}, max_entries=8)
+    assert max(len(models.grams[4].hashes), len(models.grams[3].hashes)) <= 16
+    for context in ("abr", "  a", "zzz", " ba"):
+        letters = [*sorted(set("abracd ")), "\uffff"]
+        codes = np.array([int("".join(f"{ord(c):04x}" for c in context + x), 16) for x in letters], np.uint64)
+        assert np.exp(models.score(codes).astype(float)).sum(axis=0) == pytest.approx(np.ones(2), abs=1e-4)
