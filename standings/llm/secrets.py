@@ -119,8 +119,9 @@ def linked_parts(parts: DataFrame, rules: SecretRules) -> DataFrame:
     """(_k1, _k2, linked): the weak parts of each document that complementary parts stand by.
 
     An identifier needs a secret, a secret needs an identifier or an endpoint, an endpoint needs
-    both. Parts are binned by ``reach``, so a part meets those of three bins of its own document:
-    at most as many as fit there.
+    both. Parts are binned by ``reach``. A weak part asks in every bin that it touches, up to that
+    of its end; another part answers from the bin before its start to that ``reach`` after its end.
+    So two parts within reach share a bin, wherever they lie.
     """
     role = F.expr("element_at(array('secret', 'identifier', 'secret', 'identifier', 'secret', 'endpoint'), kind + 1)")
     every = (
@@ -134,13 +135,13 @@ def linked_parts(parts: DataFrame, rules: SecretRules) -> DataFrame:
     others = every.select(
         "_k1", "_k2", F.col("s").alias("os"), F.col("e").alias("oe"), F.col("role").alias("other"), "bin"
     )
-    weak = every.where(F.col("kind") >= 3).withColumn("long", F.expr(f"(e - s) div {rules.reach}"))
+    weak = every.where(F.col("kind") >= 3).withColumn("last", F.expr(f"e div {rules.reach}"))
     near = (F.col("os") - F.col("e") <= rules.reach) & (F.col("s") - F.col("oe") <= rules.reach)
     # The later of two parts starts at most ``reach`` after the earlier one ends; each asks both ways.
     spread = others.withColumn("upto", F.expr(f"(oe + {rules.reach}) div {rules.reach}")).withColumn(
         "bin", F.explode(F.expr(f"sequence(greatest(0, bin - 1), upto)"))
     )
-    asked = weak.withColumn("bin", F.explode(F.expr("sequence(bin, bin + long)")))
+    asked = weak.withColumn("bin", F.explode(F.expr("sequence(bin, last)")))
     met = (
         asked.join(spread, ["_k1", "_k2", "bin"])
         .where(near & (F.col("role") != F.col("other")))

@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from standings.llm.secrets import KINDS, SecretRules, find_secrets, listed_spans, mask_secrets
+from standings.llm.secrets import KINDS, SecretRules, find_secrets, linked_parts, listed_spans, mask_secrets
 
 KEY = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token"))
 KEY += "|[aA][pP][iI]_?[kK][eE][yY]"
@@ -108,3 +108,24 @@ def test_masks(spark, odd_docs, no_docs, clashing_docs):
     assert spans_of(odd_docs).count() == odd_docs.count()
     spans = {r.doc_id: r.spans for r in spans_of(odd_docs).collect()}
     assert spans[9].startswith("assign:0:14,") and "identifier" in spans[9] and spans[0] == ""
+
+
+def test_parts_within_reach_meet_wherever_they_lie(spark):
+    """Every start offset, every distance, parts shorter and longer than a bin, either part first."""
+    rules = SecretRules()
+    reach = rules.reach
+    rows = (
+        spark.range(reach)
+        .selectExpr("id as _k1", f"explode(sequence(0, {reach + 1})) as far")
+        .selectExpr("*", f"explode(array(8, 11, 59, {reach}, {reach + 1})) as own")
+        .selectExpr("*", "explode(array(3, 4)) as first")
+        .selectExpr("_k1", "(far * 1000 + own) * 10 + first as _k2", "far", "int(_k1) as s", "int(own) as own", "first")
+        .selectExpr(
+            "_k1", "_k2", "far", "cast(array() as array<struct<s:int,kind:int,e:int>>) as base",
+            "array(struct(s, first as kind, s + own as e), "
+            "struct(s + own + far as s, 7 - first as kind, s + own + far + 8 as e)) as weak",
+        )
+    )
+    found = rows.join(linked_parts(rows.drop("far"), rules), ["_k1", "_k2"], "left")
+    wrong = found.where(f"coalesce(size(linked), 0) != if(far <= {reach}, 2, 0)")
+    assert wrong.count() == 0
