@@ -137,7 +137,9 @@ def link_shards(values: np.ndarray, shard: np.ndarray, inner: np.ndarray, asks:
     """For every row the smallest row that links within its shard connect it to.
 
     A row that is already connected to every node of its shard need not search. Where all nodes
-    search, the largest set need not: its links to others are found from the other end.
+    search, one set need not: its links to others are found from the other end. It is chosen once
+    for a shard, the largest after the first searches; later only rows that have joined it go, as
+    a link between two sets that both did not search would be seen from neither end.
     """
     label = np.arange(len(values))
     forest = Forest(values, shard, inner)
@@ -145,6 +147,8 @@ def link_shards(values: np.ndarray, shard: np.ndarray, inner: np.ndarray, asks:
     sizes_all = np.bincount(shard)
     queries = np.flatnonzero(asks & (sizes[shard] > 0) & (sizes_all[shard] > 1))
     symmetric = np.bincount(shard, weights=inner & asks) == sizes_all
+    # A row of the set that need not search, by shard; the label of that row names the set.
+    spared = np.full(len(sizes_all), -1)
     while len(queries):
         cost = np.cumsum(sizes[shard[queries]])
         take = max(1, int(np.searchsorted(cost, PAIR_CHUNK, "right")))
@@ -155,7 +159,9 @@ def link_shards(values: np.ndarray, shard: np.ndarray, inner: np.ndarray, asks:
             own = np.flatnonzero((shard == here) & inner)
             names, counts = np.unique(label[own], return_counts=True)
             if symmetric[here] or len(names) == 1:
-                queries = queries[(shard[queries] != here) | (label[queries] != names[counts.argmax()])]
+                if spared[here] < 0:
+                    spared[here] = names[counts.argmax()]
+                queries = queries[(shard[queries] != here) | (label[queries] != label[spared[here]])]
     return label
 
 

@@ -127,3 +127,18 @@ def test_odd_rows(spark, odd_docs, no_docs, clashing_docs):
     only_null = odd_docs.where(F.col("doc_id").isNull())
     assert {r.component_id for r in near_duplicates(only_null).collect()} == {None}
     assert keep_one_each(only_null).count() == 2
+
+
+def test_a_link_between_two_grown_sets_is_seen(monkeypatch):
+    """Set A is the largest first, then set B; one link of 4 bits joins an unsearched row of each."""
+    monkeypatch.setattr("standings.llm.simhash.PAIR_CHUNK", 1)
+    bits = lambda *at: sum(1 << b for b in at)
+    a = [0, bits(0), bits(0, 1, 2, 3)]
+    joined = a[2] ^ bits(20, 30, 40, 50)
+    core = joined ^ bits(4, 5, 6, 7)
+    b = [core, core ^ bits(8), core ^ bits(9), core ^ bits(10), joined]
+    others = np.random.default_rng(3).integers(0, 1 << 63, 100, dtype=np.uint64).tolist()
+    prints = a + b + others
+    every = np.ones(len(prints), bool)
+    label = link_shards(np.array(prints, np.uint64), np.zeros(len(prints), np.int64), every, every, 4)
+    assert label.tolist() == [0] * 8 + list(range(8, len(prints)))
