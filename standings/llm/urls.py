@@ -22,7 +22,11 @@ CANONICAL = [
     r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""",
     r"""(?is)<link\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)["']?[^>]*\brel\s*=\s*["']?canonical\b""",
 ]
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*\burl\s*=\s*["']?([^"'\s>]+)"""
+REFRESH = [
+    r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*\burl\s*=\s*["']?([^"'\s>]+)""",
+    r"""(?is)<meta\b[^>]*\burl\s*=\s*["']?([^"'\s>]+)[^>]*\bhttp-equiv\s*=\s*["']?refresh\b""",
+]
+AMPERSAND = r"(?i)&(?:amp|#0*38|#x0*26);"
 
 
 @dataclass(frozen=True)
@@ -73,20 +77,29 @@ def canonical_form(url: Column) -> Column:
     return F.when(F.instr(whole(url), "://") > 0, F.concat(host, path, tail))
 
 
-def linked_url(html: Column, url: Column) -> Column:
-    """The address that a page names as its canonical one or sends its readers to, else null."""
-    html = whole(html)
-    rel = html.ilike("%canonical%")
-    found = [F.when(rel, F.regexp_extract(html, pattern, 1)) for pattern in CANONICAL]
-    found.append(F.when(html.ilike("%http-equiv%"), F.regexp_extract(html, REFRESH, 1)))
-    target = F.coalesce(*[F.when(x != "", x) for x in found])
+def linked_urls(html: Column, url: Column) -> Column:
+    """All addresses that a page names as canonical ones or sends its readers to; empty where none."""
+    html, none = whole(html), F.expr("cast(array() as array<string>)")
+
+    def all_of(needed: Column, pattern: str) -> Column:
+        return F.when(needed, F.regexp_extract_all(html, F.lit(pattern), F.lit(1))).otherwise(none)
+
+    rel, equiv = html.ilike("%canonical%"), html.ilike("%http-equiv%")
+    found = F.concat(*[all_of(rel, p) for p in CANONICAL], *[all_of(equiv, p) for p in REFRESH])
     root = F.concat(F.regexp_extract(whole(url), r"(?s)^.*?://", 0), host_of(url))
-    return (
-        F.when(F.instr(target, "://") > 0, target)
-        .when(target.startswith("//"), F.concat(F.regexp_extract(whole(url), r"(?s)^.*?:", 0), target))
-        .when(target.startswith("/"), F.concat(root, target))
-        .when(target.isNotNull(), F.concat(root, F.regexp_extract(path_of(url), "^(?:.*/)?", 0), target))
-    )
+    scheme = F.regexp_extract(whole(url), r"(?s)^.*?:", 0)
+    folder = F.concat(root, F.regexp_extract(path_of(url), "^(?:.*/)?", 0))
+
+    def absolute(target: Column) -> Column:
+        return (
+            F.when(F.instr(target, "://") > 0, target)
+            .when(target.startswith("//"), F.concat(scheme, target))
+            .when(target.startswith("/"), F.concat(root, target))
+            .otherwise(F.concat(folder, target))
+        )
+
+    plain = F.transform(found, lambda x: F.regexp_replace(x, AMPERSAND, "&"))
+    return F.array_distinct(F.transform(plain, absolute))
 
 
 def fitting_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
@@ -105,7 +118,7 @@ def judge_urls(
 ) -> DataFrame:
     """Every row of ``pages`` (url, html) as page_id, host, path, rule, verdict and alias_of.
 
-    ``redirects`` (source, target) are urls, beside those that the pages themselves name. The
+    ``redirects`` (source, target) are urls, beside all those that the pages themselves name. The
     verdict is that of the longest fitting rule; else ``block`` if a url of the same component, a
     page's or one that is only linked to, is blocked by a rule, else ``allow``. Null urls and urls without ``://`` have empty host and path, no
     component, and are allowed. Repeated rows are judged alike. ``alias_of`` is the smallest
@@ -114,14 +127,14 @@ def judge_urls(
     stage = stage or Stage(pages.sparkSession)
     url, host, path = F.col("url").cast("string"), F.col("host"), F.col("path")
     judged = stage.keep(
-        pages.select("page_id", url.alias("url"), linked_url(F.col("html"), url).alias("target"))
+        pages.select("page_id", url.alias("url"), linked_urls(F.col("html"), url).alias("targets"))
         .withColumn("host", host_of(F.col("url")))
         .withColumn("path", path_of(F.col("url")))
         .withColumn("fit", fitting_rule(host, path, rules))
         .withColumn("form", canonical_form(F.col("url"))),
         "judged",
     )
-    links = judged.where("target is not null").select(F.col("url").alias("source"), "target")
+    links = judged.select(F.col("url").alias("source"), F.explode("targets").alias("target")).where("target is not null")
     if redirects is not None:
         links = links.unionByName(redirects.select("source", "target"))
     links = stage.keep(links, "links")

@@ -70,3 +70,18 @@ def test_forms(spark):
     urls = ["HTTP://WWW.X.net:80/A/?b=2&a=1&utm_x=3#t", "https://m.x.net/A?a=1&b=2", "x", None]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in frame.select(canonical_form(frame.u)).collect()] == ["x.net/A?a=1&b=2", "x.net/A?a=1&b=2", None, None]
+
+
+def test_every_link_of_a_page_is_an_edge(spark):
+    own = '<link rel="canonical" href="http://p.net/1">'
+    blocked = "http://example.org/es/1"
+    pages = [
+        (1, "http://p.net/1", own + f'<meta http-equiv="refresh" content="0; url={blocked}">'),
+        (2, "http://p.net/2", f"<link rel=canonical href=/2><link href='{blocked}' rel='canonical'>"),
+        (3, "http://p.net/3", f'<meta content="0;url={blocked}" http-equiv=refresh>'),
+        (4, "http://p.net/4", '<link rel="canonical" href="http://example.net/x?a=1&amp;b=2">'),
+        (5, "http://example.net/x?b=2&a=1", f'<link rel="canonical" href="{blocked}">'),
+        (6, "http://p.net/6", own.replace("/1", "/6")),
+    ]
+    rows = {r.page_id: r.verdict for r in judge_urls(spark.createDataFrame(pages, SCHEMA), URL_RULES).collect()}
+    assert rows == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
