@@ -23,6 +23,7 @@ class IMatchRules:
 
     The lexicon is cut into ``2 ** level`` random subsets and the first ``subsets`` are hashed.
     The level follows the number of terms, so that a subset holds about ``terms_each`` of them.
+    With ``cover`` the terms of all other subsets are hashed together as one more.
     """
 
     slot_bits: int = 18
@@ -30,6 +31,7 @@ class IMatchRules:
     most_idf: float = 12.0
     subsets: int = 16
     terms_each: int = 2
+    cover: bool = False
 
 
 def term_hashes(text: Column) -> Column:
@@ -62,7 +64,8 @@ def lexicon(texts: DataFrame, rules: IMatchRules) -> list[int]:
 def fingerprint(text: Column, bitmap: list[int], rules: IMatchRules) -> Column:
     """``level:hash,hash,...`` for the level that fits the terms and for the next finer one.
 
-    A subset without terms has an empty hash. A text without terms in the band uses all its
+    A subset without terms has an empty hash. With ``rules.cover`` the last hash of a level is that
+    of the terms in none of the others, so every term chosen is in the fingerprint. A text without terms in the band uses all its
     terms; a text without words has the fingerprint ``-``.
     """
     table = listed(bitmap)
@@ -75,6 +78,10 @@ def fingerprint(text: Column, bitmap: list[int], rules: IMatchRules) -> Column:
     def chosen(terms: Column) -> Column:
         return let(F.filter(terms, inside), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(terms))
 
+    def hashed(own: Column) -> Column:
+        short = F.lower(F.right(F.hex(F.xxhash64(own)), F.lit(8)))
+        return F.when(F.size(own) == 0, F.lit("")).otherwise(short)
+
     def at_level(terms: Column, level: Column) -> Column:
         # Other bits of the hash than those of the slot deal a term to its subset.
         dealt = F.filter(
@@ -90,12 +97,13 @@ def fingerprint(text: Column, bitmap: list[int], rules: IMatchRules) -> Column:
                 F.sequence(F.lit(0), F.lit(rules.subsets - 1)),
                 lambda i: let(
                     F.filter(d, lambda x: x["subset"] == i),
-                    lambda own: F.when(F.size(own) == 0, F.lit("")).otherwise(
-                        F.lower(F.right(F.hex(F.xxhash64(F.transform(own, lambda x: x["t"]))), F.lit(8)))
-                    ),
+                    lambda own: hashed(F.transform(own, lambda x: x["t"])),
                 ),
             ),
         )
+        if rules.cover:
+            rest = F.sort_array(F.filter(terms, lambda t: subset_of(t, level) >= rules.subsets))
+            hashes = F.concat(hashes, F.array(let(rest, hashed)))
         return F.concat(level.cast("string"), F.lit(":"), F.array_join(hashes, ","))
 
     def subset_of(t: Column, level: Column) -> Column:

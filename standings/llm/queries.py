@@ -72,7 +72,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, stage, rules = table(spark, sf_dir, "documents"), Stage(spark), IMatchRules()
+    docs, stage, rules = table(spark, sf_dir, "documents"), Stage(spark), IMatchRules(cover=True)
     bitmap = lexicon(docs, rules)
     order = stage.keep(next_ids(docs, stage), "order")
     own = stage.keep(

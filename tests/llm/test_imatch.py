@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from standings.llm.common import Stage
 from standings.llm.imatch import IMatchRules, fingerprint, lexicon, likeness, next_ids, with_tails_replaced
+from standings.llm.queries import op7_document_fingerprints
 
 
 def signed(value):
@@ -109,3 +110,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert with_tails_replaced(no_docs, next_ids(no_docs, Stage(spark))).count() == 0
     pairs = spark.createDataFrame([("-", "-"), ("-", "4:a"), ("4:a,,b|5:c,,", "4:a,,c|6:x,,"), ("4:,,", "4:,,b")], "a string, b string")
     assert [r[0] for r in pairs.select(likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 0.0, 0.5, 0.0]
+
+
+def test_every_term_of_the_band_is_in_the_fingerprint(spark, tmp_path):
+    """Texts of 300 terms that differ in one or two of them are alike, but not the same."""
+    rows = [(i, " ".join(f"x{w}" if w == 5 * i else f"w{w}" for w in range(300))) for i in range(60)]
+    # Enough other documents for the common terms to be in the band.
+    rows += [(i, "") for i in range(1000, 1600)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op7_document_fingerprints(spark, str(tmp_path)).where("doc_id < 59").select("near_next", "fingerprint").collect()
+    assert len({r.fingerprint for r in found}) == 59
+    assert all(0.5 < r.near_next < 1 for r in found)
