@@ -93,3 +93,14 @@ select page_id, host, path, rule,
     coalesce(ruling, case when form in (select a from blocked) then 'block' end, 'allow') verdict
 from ruled
 """
+
+
+EXACT_DEDUP = """
+select doc_id,
+       max(doc_id) over equals as keep_id,
+       count(*) over equals as group_size,
+       doc_id = max(doc_id) over equals as kept,
+       sha256(coalesce(text, '')) as text_sha256
+from documents
+window equals as (partition by coalesce(text, ''))
+"""

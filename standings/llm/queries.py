@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from standings.llm import oracles
 from standings.llm.common import Stage, table
+from standings.llm.exact import exact_duplicates
 from standings.llm.idfiles import IdFileRules, read_ids, write_ids
 from standings.llm.imatch import IMatchRules, fingerprint, lexicon, likeness, next_ids, with_tails_replaced
 from standings.llm.langid import fold, identify
@@ -154,6 +155,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents"), hash_all=True)
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        "keep_id",
+        "group_size",
+        "kept",
+        F.col("text_hash").alias("text_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -165,9 +177,11 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_token_id_output": op9_token_id_output,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op6_warc": oracles.WARC,
     "op8_url_filters": oracles.url_filters([(r.verdict, r.rule) for r in URL_RULES]),
+    "op11_exact_dedup": oracles.EXACT_DEDUP,
 }

@@ -16,10 +16,11 @@ CONTRACT = {
     "op8_url_filters": "page_id host path rule verdict",
     "op9_token_id_output": "doc_id start n_tokens ids_crc32",
     "op10_sentencepiece": "doc_id n_ids ids_crc32 decoded_chars decoded_sha256",
+    "op11_exact_dedup": "doc_id keep_id group_size kept text_sha256",
 }
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     assert set(QUERIES) == set(CONTRACT)
 
 
@@ -35,7 +36,7 @@ def test_columns_and_rows(spark, name):
         assert len(ids) == source.count()
 
 
-@pytest.mark.parametrize("name", ["op4_secret_scans", "op5_quality_rules", "op7_document_fingerprints", "op8_url_filters"])
+@pytest.mark.parametrize("name", ["op4_secret_scans", "op5_quality_rules", "op7_document_fingerprints", "op8_url_filters", "op11_exact_dedup"])
 def test_native_plans_have_no_python(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
