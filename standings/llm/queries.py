@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from standings.llm import oracles
-from standings.llm.common import Stage, table
+from standings.llm.common import Stage, let, table, words
 from standings.llm.exact import exact_duplicates
 from standings.llm.idfiles import IdFileRules, read_ids, write_ids
 from standings.llm.imatch import IMatchRules, fingerprint, lexicon, likeness, next_ids, with_tails_replaced
@@ -14,6 +14,7 @@ from standings.llm.langid import fold, identify
 from standings.llm.packing import PackingRules, pack
 from standings.llm.pieces import PieceModel, decode, encode
 from standings.llm.quality import judge_quality
+from standings.llm.runs import word_runs
 from standings.llm.secrets import KINDS, find_secrets, listed_spans
 from standings.llm.simhash import near_duplicates
 from standings.llm.urls import UrlRule, judge_urls
@@ -166,6 +167,46 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one document in ten, by the CRC of its id, repeats its words from some place on."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.expr("h div 10")
+
+    def repeated(word):
+        n = F.size(word)
+        first = F.pmod(seed, n).cast("int")
+        period = F.lit(1) + F.floor((n - first) / (3 + seed % 8))
+
+        def folded(bounds):
+            a, p = bounds["a"], bounds["p"]
+            tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(word, (a + (i - a) % p).cast("int")))
+            return F.concat_ws(" ", F.slice(word, 1, a), tail)
+
+        return F.when(n > 0, let(F.struct(first.alias("a"), period.alias("p")), folded))
+
+    chosen = F.col("h") % 10 == 0
+    edited = F.when(chosen, let(words(F.col("text")), repeated)).otherwise(F.col("text"))
+    return docs.withColumn("h", crc).select("doc_id", edited.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs(with_repeats(table(spark, sf_dir, "documents")))
+    longest = F.element_at(
+        F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("size"), r["start"].alias("start"), r["period"].alias("period")))), 1
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.when(F.size("runs") > 0, longest)).select(
+        F.col("_row.doc_id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.size")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.size div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -178,6 +219,7 @@ QUERIES = {
     "op9_token_id_output": op9_token_id_output,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_exact_dedup": op11_exact_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {

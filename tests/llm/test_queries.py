@@ -17,6 +17,7 @@ CONTRACT = {
     "op9_token_id_output": "doc_id start n_tokens ids_crc32",
     "op10_sentencepiece": "doc_id n_ids ids_crc32 decoded_chars decoded_sha256",
     "op11_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op13_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
