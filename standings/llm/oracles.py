@@ -104,3 +104,43 @@ select doc_id,
 from documents
 window equals as (partition by coalesce(text, ''))
 """
+
+COLLOCATIONS = f"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), {LETTERS}), '[.,;:!?\\x0A-\\x0D]')) as piece
+    from documents
+),
+words as (
+    select lang, list_filter(regexp_split_to_array(piece, '[ \\x09]+'), lambda x: x <> '') as w from pieces
+),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from words),
+grams as (
+    select lang, w[i : i + k - 1] as g from places, (values (1), (2), (3), (4)) sizes(k) where i + k - 1 <= len(w)
+),
+counts as (select lang, g, count(*) as f from grams group by lang, g having count(*) >= 30),
+cuts as (
+    select c.lang, c.g, c.f as a, k, l.f as l, r.f as r, cast(2000000 as hugeint) * c.f // (l.f + r.f) as score
+    from (select *, unnest(range(1, len(g))) as k from counts where len(g) > 1) c
+    join counts l on l.lang = c.lang and l.g = c.g[1 : k]
+    join counts r on r.lang = c.lang and r.g = c.g[k + 1 : len(c.g)]
+),
+best as (select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1),
+inner_phrases as (
+    select lang, g[i : i + k - 1] as g, max(f) as longest
+    from (select *, unnest(range(1, len(g) + 1)) as i from counts), (values (2), (3)) sizes(k)
+    where k < len(g) and i + k - 1 <= len(g)
+    group by all
+),
+kept as (
+    select b.* from best b left join inner_phrases p on p.lang = b.lang and p.g = b.g
+    where p.longest is null or 100 * cast(p.longest as hugeint) < 80 * cast(b.a as hugeint)
+),
+ranked as (
+    select lang, array_to_string(g, ' ') as phrase, a, l, r, cast(score as bigint) as score,
+        row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank
+    from kept
+)
+select ranked.lang, rank, phrase, a, l, r, n, score from ranked join totals on totals.lang = ranked.lang where rank <= 2000
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from standings.llm import oracles
+from standings.llm.collocations import PhraseRules, collocations
 from standings.llm.common import Stage, let, table, words
 from standings.llm.exact import exact_duplicates
 from standings.llm.idfiles import IdFileRules, read_ids, write_ids
@@ -167,6 +168,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), PhraseRules())
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text): one document in ten, by the CRC of its id, repeats its words from some place on."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -219,6 +224,7 @@ QUERIES = {
     "op9_token_id_output": op9_token_id_output,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -226,4 +232,5 @@ ORACLE_SQL = {
     "op6_warc": oracles.WARC,
     "op8_url_filters": oracles.url_filters([(r.verdict, r.rule) for r in URL_RULES]),
     "op11_exact_dedup": oracles.EXACT_DEDUP,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
