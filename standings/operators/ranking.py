@@ -1,4 +1,4 @@
-"""Ranks by value buckets, so that no task holds a whole group; plain windows where a caller asks."""
+"""Ranks of any number of columns from one histogram of values; plain windows where a caller asks."""
 
 from __future__ import annotations
 
@@ -9,18 +9,13 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from standings.sources.staging import Workspace
 
-# Rows that a bucket should hold, and the bounds on the number of buckets. The number decides how
-# work is dealt out, never a rank.
-ROWS_PER_BUCKET = 100_000
-MIN_BUCKETS, MAX_BUCKETS = 16, 4096
-
-# What values can be cut at quantiles.
-ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# A value is hot when it has more rows than both: so many, and this share of all. There are at most as
+# many hot values as the share says, so what is broadcast of them has a fixed bound.
+HOT_ROWS, HOT_SHARE = 100_000, 4096
 
 
 @dataclass(frozen=True)
@@ -64,148 +59,104 @@ def rank_windowed(df: DataFrame, specs: Sequence[RankSpec], partition: Sequence[
     return df.withColumns(ranks)
 
 
+def _within(partition: Sequence[str]):
+    return Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
+
+
 def rank_distributed(
     df: DataFrame,
     specs: Sequence[RankSpec],
     partition: Sequence[str] = (),
     workspace: Workspace | None = None,
-    buckets: int | None = None,
 ) -> DataFrame:
-    """The ranks of `rank_windowed` with no task holding more than a slice of a group.
-
-    Approximate quantiles cut the values into buckets. Every cut point is a bucket of its own,
-    so the rows between two neighbouring cuts are a bounded share of all rows however often a
-    value repeats: a frequent value comes out as a cut. A rank is then the number of rows in
-    the buckets before, plus the rank inside the bucket. Rows equal to a cut, and NULLs, all rank
-    first inside their bucket and need not meet, so salts spread them, as many as the bucket's rows
-    ask for. A column whose rows all lie on cuts needs no window at all. The cuts steer the
-    balance only; the ranks are exact for any cuts.
-
-    Numbers, dates and timestamps have quantiles. Other keys are refused, at every size.
-    ``df`` is read three times and once to be counted; it should be a stored table.
-    """
-    values = df.select(*[s.value().alias(s.out) for s in specs]).schema
-    for field in values:
-        if not isinstance(field.dataType, ORDERED):
-            raise TypeError(
-                f"{field.name}: {field.dataType.simpleString()} has no quantiles; map it to a number "
-                "with RankSpec.key, or use rank_windowed"
-            )
-    workspace = workspace or Workspace(df.sparkSession)
-    if buckets is None:
-        buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, -(-df.count() // ROWS_PER_BUCKET)))
-    cuts = _cut_points(df, specs, buckets)
-    sizes = workspace.keep(_bucket_sizes(df, specs, cuts, partition), "bucket_sizes")
-    # The largest group's rows per place: a few numbers per bucket and column.
-    largest = sizes.groupBy("spec", "place", "level").agg(F.max("rows").alias("rows")).collect()
-    ranked = df
-    for number, (spec, points) in enumerate(zip(specs, cuts)):
-        own = [r for r in largest if r["spec"] == number]
-        salts = [1] * (2 * len(points) + 4)
-        for r in own:
-            if r["level"]:
-                salts[r["place"] + 1] = -(-r["rows"] // ROWS_PER_BUCKET)
-        offsets = _offsets(sizes.where(F.col("spec") == number), partition, F.lit(salts))
-        mixed = not all(r["level"] for r in own)
-        ranked = _rank_in_buckets(ranked, spec, points, partition, df.columns, offsets, F.lit(salts), mixed)
-    return ranked
-
-
-def _cut_points(df: DataFrame, specs: Sequence[RankSpec], buckets: int) -> list[list]:
-    """Distinct quantiles of every spec's value, in one pass."""
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.agg(
-        *[F.percentile_approx(s.value(), shares, 20 * buckets).alias(f"cuts_{i}") for i, s in enumerate(specs)]
-    ).first()
-    return [sorted(set(points or [])) for points in found]
-
-
-def _place(df: DataFrame, spec: RankSpec, points: list) -> DataFrame:
-    """Add the compared value and the place of its bucket in rank order.
-
-    Buckets are numbered ``2k`` after ``k`` smaller cuts and ``2k + 1`` on the cut that follows
-    them. The cuts are a literal array, searched by halves, one column per step: that stays
-    compiled, and small, where a comparison per cut would outgrow what the JVM compiles.
-    """
-    df = df.withColumn("_value", spec.value()).withColumn("_below", F.lit(0))
-    cuts = F.lit(points) if points else F.array()
-    for step in (1 << n for n in reversed(range(len(points).bit_length()))):
-        higher = F.get(cuts, F.col("_below") + (step - 1)) < F.col("_value")
-        df = df.withColumn("_below", F.col("_below") + F.when(higher, step).otherwise(0))
-    on_cut = F.when(F.get(cuts, F.col("_below")) == F.col("_value"), 1).otherwise(0) if points else F.lit(0)
-    last = 2 * len(points) + 1
-    bucket = F.col("_below") * 2 + on_cut
-    place = F.lit(last) - bucket if spec.descending else bucket
-    null_place = F.lit(-1 if spec.nulls_first else last + 1)
-    return df.withColumn(
-        "_place", F.when(F.col("_value").isNull(), null_place).otherwise(place)
-    ).drop("_below")
-
+    """The ranks of `rank_windowed`, with two exchanges of rows whatever the number of columns.
 
-def _within(partition: Sequence[str]):
-    return Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
+    Every row gives one (group, column, value) for each column to rank. These are counted map-side into a
+    histogram, the histogram is cut into ranges of (group, column, value), and running sums within a range
+    on top of the ranges before it give each value's rank. Ranks go back to the rows by value, the first
+    exchange, and the columns of a row meet again, the second; the row itself travels with its first column.
+    Rows of a hot value get its rank from a broadcast of at most ``HOT_SHARE`` values and are then dealt
+    out by their own number, so no task gets all of them. No step needs a group, or a value, in one task.
 
-
-def _level(spec: RankSpec, value: str, place: str) -> Column:
-    """Whether all rows of a bucket rank alike: it is a cut point's own, or that of the NULLs."""
-    # Cut points have odd bucket numbers; counting down from an odd number makes them even.
-    on_cut = (F.col(place) % 2 == 1) if not spec.descending else (F.col(place) % 2 == 0)
-    return F.col(value).isNull() | on_cut
-
-
-def _bucket_sizes(df: DataFrame, specs: Sequence[RankSpec], cuts: list[list], partition: Sequence[str]) -> DataFrame:
-    """(partition, spec, place, level, rows) of all specs in one pass, added up map-side."""
-    placed, found = df.select(*dict.fromkeys([*partition, *[s.column for s in specs]])), []
-    for number, (spec, points) in enumerate(zip(specs, cuts)):
-        placed = _place(placed, spec, points)
-        level = _level(spec, "_value", "_place")
-        placed = placed.withColumn(f"_at_{number}", F.struct(F.lit(number).alias("spec"), F.col("_place").alias("place"), level.alias("level")))
-        found.append(f"_at_{number}")
-        placed = placed.drop("_value", "_place")
-    return (
-        placed.select(*partition, F.explode(F.array(*found)).alias("_at"))
-        .groupBy(*partition, "_at")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(*partition, "_at.*", "rows")
+    Any type that Spark can order and compare will do. ``df`` is read twice; it should be a stored table.
+    """
+    workspace = workspace or Workspace(df.sparkSession)
+    melted = _melted(df, specs, partition)
+    keys = [c for c in melted.columns if c not in ("_row", "_all")]
+    ranks = _ranks_of_values(melted, specs, keys, workspace)
+    rest = ranks.where("not _hot").select(*[F.col(c).alias(f"{c}_value") for c in keys], "_rank")
+    found = _asking(melted, ranks, keys).join(rest, _same(keys, "_value"), "left").select(
+        "_row", "_all", F.coalesce("_spec_hot", "_spec").alias("_column"), F.coalesce("_hot_rank", "_rank").alias("_rank")
     )
-
-
-def _offsets(sizes: DataFrame, partition: Sequence[str], salts: Column) -> DataFrame:
-    """Rows before each bucket, once for every salt: two buckets per cut, so few rows per group."""
-    before = _within(partition).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    every = F.sequence(F.lit(0), F.get(salts, F.col("_at") + 1) - 1)
-    summed = sizes.select(
-        *[F.col(c).alias(f"_{c}") for c in partition],
-        F.col("place").alias("_at"),
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before"),
+    each = [F.max(F.when(F.col("_column") == i, F.col("_rank"))).alias(s.out) for i, s in enumerate(specs)]
+    gathered = found.groupBy("_row").agg(F.first("_all", ignorenulls=True).alias("_all"), *each)
+    return gathered.select("_all.*", *[s.out for s in specs])
+
+
+def _melted(df: DataFrame, specs: Sequence[RankSpec], partition: Sequence[str]) -> DataFrame:
+    """(_row, _all, group, _spec, values): a row for each rank column; values of a type share a column."""
+    kinds = [f.dataType for f in df.select(*[s.value().alias(s.out) for s in specs]).schema]
+    types = list(dict.fromkeys(kinds))
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    cells = []
+    for number, (spec, kind) in enumerate(zip(specs, kinds)):
+        values = [(spec.value() if t == kind else F.lit(None).cast(t)).alias(f"_v{i}") for i, t in enumerate(types)]
+        carried = whole if number == 0 else F.lit(None).cast(df.schema)
+        cells.append(F.struct(F.lit(number).alias("_spec"), *values, carried.alias("_all")))
+    groups = [F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(partition)]
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), *groups, F.array(*cells).alias("_cells"))
+    return numbered.select("_row", *[f"_g{i}" for i in range(len(groups))], F.inline("_cells"))
+
+
+def _asking(melted: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """``melted`` with the ranks of hot values; rows that have theirs go by a column number of their own making."""
+    hot = ranks.where("_hot").select(*[F.col(c).alias(f"{c}_hot") for c in keys], F.col("_rank").alias("_hot_rank"))
+    spread = -1 - F.pmod(F.col("_row"), F.lit(HOT_SHARE)).cast("int")
+    known = melted.join(F.broadcast(hot), _same(keys, "_hot"), "left")
+    return known.withColumn("_spec", F.when(F.col("_hot_rank").isNull(), F.col("_spec")).otherwise(spread))
+
+
+def _same(keys: Sequence[str], suffix: str) -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(f"{c}{suffix}")) for c in keys]
+
+
+def _ranks_of_values(melted: DataFrame, specs: Sequence[RankSpec], keys: list[str], workspace: Workspace) -> DataFrame:
+    """(group, _spec, values, _rank, _hot) of every different value, as a staged table."""
+    counts = melted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    slices = workspace.keep(
+        counts.repartitionByRange(*keys).withColumn("_slice", F.spark_partition_id()), "value_counts"
     )
-    return summed.withColumn("_at_salt", F.explode(every))
-
-
-def _rank_in_buckets(
-    df: DataFrame,
-    spec: RankSpec,
-    points: list,
-    partition: Sequence[str],
-    identity: Sequence[str],
-    offsets: DataFrame,
-    salts: Column,
-    mixed: bool,
-) -> DataFrame:
-    salt = F.pmod(F.xxhash64(*identity), F.get(salts, F.col("_place") + 1)).cast("int")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition]
-    same += [F.col("_place") == F.col("_at"), F.col("_salt") == F.col("_at_salt")]
-    placed = _place(df, spec, points).withColumn("_salt", salt)
-    inside = F.lit(1)
-    if mixed:
-        window = Window.partitionBy(*partition, "_place", "_salt").orderBy(spec.order(F.col("_value")))
-        inside = F.rank().over(window)
-    return (
-        placed.withColumn("_inside", inside)
-        .join(offsets, same, "left")
-        .withColumn(spec.out, (F.col("_before") + F.col("_inside")).cast("bigint"))
-        .select(*df.columns, spec.out)
+    groups, values = [c for c in keys if not c.startswith("_v")], [c for c in keys if c.startswith("_v")]
+    missing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in values])
+    group = Window.partitionBy(*groups)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        slices.groupBy(*groups, "_slice")
+        .agg(F.sum("_rows").alias("_n"), F.sum(F.when(missing, F.col("_rows")).otherwise(0)).alias("_missing"))
+        .select(
+            *[F.col(c).alias(f"{c}_of") for c in groups],
+            F.col("_slice").alias("_slice_of"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_n").over(group).alias("_all"),
+            F.sum("_missing").over(group).alias("_nulls"),
+        )
+    )
+    inside = Window.partitionBy(*groups, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in values])
+    within = F.coalesce(F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = slices.withColumn("_within", within).join(
+        totals, [*_same(groups, "_of"), F.col("_slice") == F.col("_slice_of")]
     )
+    # Missing values come first in the histogram, wherever they rank.
+    smaller = F.col("_before") + F.col("_within") - F.col("_nulls")
+    greater = F.col("_all") - F.col("_nulls") - smaller - F.col("_rows")
+    descending = F.get(F.lit([s.descending for s in specs]), F.col("_spec"))
+    nulls_first = F.get(F.lit([s.nulls_first for s in specs]), F.col("_spec"))
+    better = F.when(descending, greater).otherwise(smaller) + F.when(nulls_first, F.col("_nulls")).otherwise(0)
+    of_missing = F.when(nulls_first, 0).otherwise(F.col("_all") - F.col("_nulls"))
+    rank = F.lit(1) + F.when(missing, of_missing).otherwise(better)
+    share = slices.agg(F.sum("_rows")).scalar() / HOT_SHARE
+    hot = (F.col("_rows") > HOT_ROWS) & (F.col("_rows") > share)
+    return workspace.keep(placed.select(*keys, rank.cast("bigint").alias("_rank"), hot.alias("_hot")), "value_ranks")
 
 
 def rank_sum(rank_cols: Sequence[str]) -> Column:
