@@ -7,9 +7,11 @@ import argparse
 from pyspark.sql import SparkSession
 
 from standings.operators.allocation import KEEP_DIRECT, ZERO_ALL
-from standings.plans.publish import publish, read_inputs
+from standings.plans.incremental import with_kept_sums
+from standings.plans.publish import publish, read_inputs, run_key
 from standings.plans.report import Options, RankingRun
-from standings.sources import Workspace
+from standings.sources import ResumableWorkspace, Workspace
+from standings.sources.snapshots import CatalogSnapshots, SnapshotSet
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -27,13 +29,22 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--opex-null-policy", choices=[ZERO_ALL, KEEP_DIRECT], default=ZERO_ALL)
     parser.add_argument("--nulls", choices=["first", "last"], help="place of missing metrics in ascending ranks")
     parser.add_argument("--collation", help="compare names under this collation")
-    parser.add_argument("--history", help="earlier scorecards to rank beside the current one")
+    parser.add_argument("--history", help="earlier scorecards to rank beside the current one: Parquet, a table, or a published folder")
+    parser.add_argument("--carry-writeoff", action="store_true", help="go on from the write-offs to date published at TARGET")
+    parser.add_argument("--state", help="folder of kept sums: only changed months of ledger and tape are read")
+    parser.add_argument("--resume", action="store_true", help="go on from what a failed run of the same inputs has staged")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("standings").getOrCreate()
-    history = None
-    if args.history:
-        history = spark.table(args.history) if args.catalog else spark.read.parquet(args.history)
+    history = state = None
+    if args.history and args.catalog:
+        history = spark.table(args.history)
+    elif args.history:
+        kept = SnapshotSet(spark, args.history)
+        history = kept.read("staff_scorecard") if kept.version() else spark.read.parquet(args.history)
+    if args.carry_writeoff:
+        earlier = (CatalogSnapshots if args.catalog_target else SnapshotSet)(spark, args.target)
+        state = earlier.read("writeoff_state") if earlier.version() else None
     options = Options(
         months=args.months,
         from_begin=args.from_begin,
@@ -43,9 +54,19 @@ def main(argv: list[str] | None = None) -> None:
         nulls=args.nulls,
         collation=args.collation,
         history=history,
+        writeoff_state=state,
     )
+    if args.catalog and (args.state or args.resume):
+        parser.error("--state and --resume know inputs by their files: SOURCE must be a folder")
     inputs = read_inputs(spark, args.source, args.catalog)
-    run = RankingRun(inputs, args.report_month, args.begin_month, options, Workspace(spark))
+    if args.state:
+        inputs = with_kept_sums(spark, inputs, args.source, args.state, options)
+    workspace = Workspace(spark)
+    if args.resume:
+        asked = [(k, v) for k, v in sorted(vars(args).items()) if k not in ("target", "catalog_target", "resume")]
+        seen = [SnapshotSet(spark, args.history).version() if args.history else 0, earlier.version() if args.carry_writeoff else 0]
+        workspace = ResumableWorkspace(spark, run_key(spark, args.source, asked, seen))
+    run = RankingRun(inputs, args.report_month, args.begin_month, options, workspace)
     publish(run, args.target, args.catalog_target)
 
 

@@ -3,14 +3,18 @@ from standings.operators.balances import (
     adjusted_period_mean,
     adjusted_share,
     bucketed_sums,
+    carried_write_offs,
     cumulative_by_period,
     cumulative_by_period_window,
     grouped_total,
     loan_months,
+    loan_sums,
+    merged_months,
     period_mean,
 )
 from standings.operators.ledger import (
     Line,
+    account_months,
     account_totals,
     company_totals,
     gl_rollup,
@@ -36,12 +40,14 @@ from standings.operators.scoring import attach_metric, ratio_scorecard
 __all__ = [
     "Line",
     "RankSpec",
+    "account_months",
     "account_totals",
     "adjusted_period_mean",
     "adjusted_share",
     "allocate_pool",
     "attach_metric",
     "bucketed_sums",
+    "carried_write_offs",
     "company_totals",
     "composite_rank",
     "cumulative_by_period",
@@ -52,6 +58,8 @@ __all__ = [
     "headcount_share",
     "line_map_frame",
     "loan_months",
+    "loan_sums",
+    "merged_months",
     "mean_of_present",
     "month_spine",
     "normalize_values",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -121,27 +123,59 @@ def grouped_total(
 
 
 def loan_months(
-    tape: DataFrame, begin: int, end: int, excluded=EXCLUDED_CHANNELS
+    tape: DataFrame, begin: int, end: int, excluded=EXCLUDED_CHANNELS, after: int | None = None
 ) -> DataFrame:
     """The tape in one pass, added up to the finest grain the loan measures need.
 
     One row per branch, month, debt group and channel/write-off flag, so a handful per branch
     and month; the conditions on group, channel and write-off are then applied to those rows
-    instead of to every loan. Months before ``begin`` matter to write-offs only.
+    instead of to every loan. Months before ``begin`` matter to write-offs only, and those up to
+    ``after`` not at all: their write-offs are known (`carried_write_offs`).
     """
-    kept = tape.where(F.col("kpi_month") <= end).select(
+    tape = tape.where(F.col("kpi_month") <= end)
+    if after is not None:
+        tape = tape.where(F.col("kpi_month") > after)
+    return needed_months(loan_sums(tape, excluded), begin, end)
+
+
+def loan_sums(tape: DataFrame, excluded=EXCLUDED_CHANNELS, keys: Sequence[str] = ()) -> DataFrame:
+    """Every loan added up to the grain of `loan_months`; ``keys`` are further columns to keep apart."""
+    rows = tape.select(
+        *keys,
         "branch_city",
         "kpi_month",
         "max_bucket",
         in_channel(excluded).alias("in_channel"),
         (in_channel(excluded) & written_off_now()).alias("written_off"),
         *AMOUNTS,
-    ).where((F.col("kpi_month") >= begin) | F.col("written_off"))
-    return kept.groupBy("branch_city", "kpi_month", "max_bucket", "in_channel", "written_off").agg(
+    )
+    return _added_up(rows, keys)
+
+
+def needed_months(sums: DataFrame, begin: int, end: int) -> DataFrame:
+    """What a report needs of `loan_sums`: its own months, and of earlier ones the write-offs."""
+    return sums.where((F.col("kpi_month") <= end) & ((F.col("kpi_month") >= begin) | F.col("written_off")))
+
+
+def merged_months(parts: DataFrame, begin: int, end: int) -> DataFrame:
+    """`loan_months` from rows of `loan_sums` of any number of parts of the tape."""
+    return _added_up(needed_months(parts, begin, end), ())
+
+
+def _added_up(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys, "branch_city", "kpi_month", "max_bucket", "in_channel", "written_off").agg(
         *[F.expr(amount_total(c)).alias(c) for c in AMOUNTS]
     )
 
 
+def carried_write_offs(new: DataFrame, state: DataFrame, through: int) -> DataFrame:
+    """``new`` write-offs and all up to the month ``through``, which ``state`` holds per branch as that month's."""
+    known = state.where(F.col("month_key") == through).select(
+        "branch_city", F.col("month_key").alias("kpi_month"), F.col("writeoff_to_date").alias("write_off_balance_principal")
+    )
+    return new.where(F.col("kpi_month") > through).unionByName(known)
+
+
 def write_offs(months: DataFrame) -> DataFrame:
     """The written-off amounts of `loan_months`, each in its own month."""
     return months.where("written_off").select("branch_city", "kpi_month", "write_off_balance_principal")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standings.functions import amount_total, first_day, next_month, plus, quoted, ratio
+from standings.functions import amount_total, first_day, month_of, next_month, plus, quoted, ratio
 from standings.sources.schemas import LINE_MAP
 
 # Layout of the analysis code and the code of the head-office pool.
@@ -60,6 +61,40 @@ def account_totals(
     )
 
 
+def account_months(
+    ledger: DataFrame,
+    scope: str = SCOPE,
+    code_start: int = CODE_START,
+    code_length: int = CODE_LENGTH,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """All postings added up by month, branch code and account: sums that later runs can add to.
+
+    ``keys`` are further columns to keep apart.
+    """
+    code = F.substring("analysis_code", code_start, code_length)
+    return (
+        ledger.select(
+            *keys,
+            month_of(F.col("transaction_date")).alias("month_key"),
+            F.when(F.col("analysis_code").startswith(scope), code).alias("branch_code"),
+            F.trim("account_code").alias("account_code"),
+            "amount",
+        )
+        .groupBy(*keys, "month_key", "branch_code", "account_code")
+        .agg(F.expr(amount_total("amount")).alias("amount"))
+    )
+
+
+def totals_of_months(months: DataFrame, begin: int, end: int) -> DataFrame:
+    """`account_totals` of a period from the rows of `account_months`, of any number of parts."""
+    return (
+        months.where(F.col("month_key").between(begin, end))
+        .groupBy("branch_code", "account_code")
+        .agg(F.expr(amount_total("amount")).alias("amount"))
+    )
+
+
 def _line_sums(lines, extra: str = "true") -> list[Column]:
     return [
         F.expr(amount_total(f"case when {line.condition()} and {extra} then amount else 0 end")).alias(

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from standings.plans.report import RankingInputs, RankingRun
 from standings.sources.schemas import FUNDING
-from standings.sources.sinks import delete_folder, replace_partitions, switch_folder
-from standings.sources.staging import Workspace
+from standings.sources.snapshots import CatalogSnapshots, SnapshotSet
+from standings.sources.staging import Workspace, inputs_key
+
+# Names of the inputs, in the order of `RankingInputs`.
+INPUTS = ("sales_wide", "loan_tape", "gl", "province_dim", "funding_cost_branch")
 
 # Tables that keep their history: a run replaces the months it computed.
-BY_MONTH = {"staff_averages": "averages", "staff_scorecard": "scorecard"}
+BY_MONTH = {"staff_averages": "averages", "staff_scorecard": "scorecard", "writeoff_state": "carried_writeoff"}
 
 # Tables a run replaces as a whole.
 WHOLE = {
@@ -35,51 +36,34 @@ WHOLE = {
 }
 
 
-def publish(run: RankingRun, target: str, catalog: bool = False) -> None:
+def publish(run: RankingRun, target: str, catalog: bool = False) -> int:
     """Load the tables of ``run`` under ``target``; a second run of a month changes nothing.
 
-    ``target`` is a folder, or with ``catalog`` a database. Every table is computed and written to a
-    run folder first. Only then is each put in its place, a rename or, for the tables kept by
-    month and for a database, a copy. A failure before that leaves the published tables as they were;
-    one between two switches leaves each table whole, old or new, and a rerun completes them. The
-    months that the run stands for are emptied if it has no rows for them.
+    ``target`` is a folder, or with ``catalog`` a database. All tables are written beside the published
+    ones, then one commit shows them: readers (`published`, or the views of the database) see the whole old
+    report or the whole new one, and a failure at any point leaves the old one. The months that the
+    run stands for are emptied if it has no rows for them. Returns the version.
     """
     spark = run.inputs.sales.sparkSession
     workspace = run.workspace or Workspace(spark)
     try:
-        tables = {name: getattr(run, attribute) for name, attribute in {**WHOLE, **BY_MONTH}.items()}
-        staged = f"{target.rstrip('/')}/_run-{uuid.uuid4().hex}" if not catalog else workspace.path
-        try:
-            for name, df in tables.items():
-                df.write.parquet(f"{staged}/{name}")
-            for name, df in tables.items():
-                new = spark.read.schema(df.schema).parquet(f"{staged}/{name}")
-                if name in BY_MONTH:
-                    months = {run.end, *[r[0] for r in new.select("month_key").distinct().collect()]}
-                    if catalog:
-                        replace_months_of_table(new, f"{target}.{name}", months)
-                    else:
-                        replace_partitions(new, f"{target}/{name}", months=months)
-                elif catalog:
-                    new.write.mode("overwrite").saveAsTable(f"{target}.{name}")
-                else:
-                    switch_folder(spark, f"{staged}/{name}", f"{target}/{name}")
-        finally:
-            delete_folder(spark, staged)
-    finally:
-        workspace.clear()
-
-
-def replace_months_of_table(new: DataFrame, table: str, months: set[int]) -> None:
-    """The rows of ``months`` in a partitioned catalog table become those of ``new``."""
-    spark = new.sparkSession
-    if not spark.catalog.tableExists(table):
-        new.write.partitionBy("month_key").saveAsTable(table)
-        return
-    kept = [c for c in spark.table(table).columns]
-    for month in months:
-        spark.sql(f"alter table {table} drop if exists partition (month_key = {int(month)})")
-    new.select(*kept).write.mode("append").insertInto(table)
+        whole = {name: getattr(run, attribute) for name, attribute in WHOLE.items()}
+        by_month = {name: getattr(run, attribute) for name, attribute in BY_MONTH.items()}
+        version = _set(spark, target, catalog).commit(whole, by_month, {run.end})
+    except BaseException:
+        workspace.failed()
+        raise
+    workspace.clear()
+    return version
+
+
+def published(spark: SparkSession, target: str, name: str, catalog: bool = False) -> DataFrame:
+    """A table of the last published set."""
+    return _set(spark, target, catalog).read(name)
+
+
+def _set(spark: SparkSession, target: str, catalog: bool) -> SnapshotSet | CatalogSnapshots:
+    return CatalogSnapshots(spark, target) if catalog else SnapshotSet(spark, target)
 
 
 def read_inputs(spark: SparkSession, source: str, catalog: bool = False, **more) -> RankingInputs:
@@ -88,14 +72,12 @@ def read_inputs(spark: SparkSession, source: str, catalog: bool = False, **more)
     def table(name: str) -> DataFrame:
         return spark.table(f"{source}.{name}") if catalog else spark.read.parquet(f"{source}/{name}")
 
-    return RankingInputs(
-        sales=table("sales_wide"),
-        loans=table("loan_tape"),
-        ledger=table("gl"),
-        provinces=table("province_dim"),
-        funding=table("funding_cost_branch"),
-        **more,
-    )
+    return RankingInputs(*[table(name) for name in INPUTS], **more)
+
+
+def run_key(spark: SparkSession, source: str, *settings) -> str:
+    """What the tables of a run over the folder ``source`` depend on."""
+    return inputs_key(spark, [f"{source}/{name}" for name in INPUTS], *settings)
 
 
 def no_funding(spark: SparkSession) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -16,9 +17,11 @@ from standings.operators.balances import (
     adjusted_period_mean,
     adjusted_share,
     branch_balances,
+    carried_write_offs,
     cumulative_by_period_window,
     grouped_total,
     loan_months,
+    merged_months,
     period_mean,
     write_offs,
 )
@@ -30,6 +33,7 @@ from standings.operators.ledger import (
     gl_rollup,
     pool_row,
     proportional_cost,
+    totals_of_months,
 )
 from standings.operators.period import month_spine, report_period
 from standings.operators.ranking import RankSpec, composite_rank, rank_distributed, rank_windowed
@@ -66,7 +70,11 @@ class LineBook:
 
 @dataclass(frozen=True)
 class RankingInputs:
-    """Input tables, matched by column name against ``standings.sources.schemas``."""
+    """Input tables, matched by column name against ``standings.sources.schemas``.
+
+    ``account_months`` and ``loan_sums``, rows of the operators of these names, stand in for the ledger
+    and the tape, which are then not read.
+    """
 
     sales: DataFrame
     loans: DataFrame
@@ -75,6 +83,8 @@ class RankingInputs:
     funding: DataFrame
     lines: LineBook = field(default_factory=LineBook)
     aliases: dict[str, str] = field(default_factory=lambda: dict(real.PROVINCE_ALIASES))
+    account_months: DataFrame | None = None
+    loan_sums: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -90,6 +100,10 @@ class Options:
     ``nulls``             place of missing metrics in ascending staff ranks
     ``collation``         compare names under this collation
     ``history``           earlier scorecards, ranked within their own month beside this one
+    ``writeoff_state``    published write-offs to date: tape months up to the latest that ended before
+                          this report's first are not read again. Without it, or where it was written under
+                          other options, they are; that is also how it is rebuilt after old months were
+                          restated
     """
 
     months: int = 5
@@ -102,6 +116,11 @@ class Options:
     excluded_channels: tuple[int, ...] = EXCLUDED_CHANNELS
     collation: str | None = None
     history: DataFrame | None = None
+    writeoff_state: DataFrame | None = None
+
+    def writeoff_settings(self) -> str:
+        """What a write-off to date depends on beside the tape."""
+        return f"channels={sorted(self.excluded_channels)} names={self.collation or 'bytes'}"
 
 
 # Output columns of the final report, in order.
@@ -164,8 +183,8 @@ class RankingRun:
         self.end = report_month
         self.begin = begin_month or year_start(report_month)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self.workspace.keep(df, name) if self.workspace else df
+    def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self.workspace.staged(name, build) if self.workspace else build()
 
     # Inputs ------------------------------------------------------------------------------
 
@@ -184,13 +203,14 @@ class RankingRun:
     def averages(self) -> DataFrame:
         """Staff averages for every month of the sheet."""
         columns = {m: month_columns(m, self.options.months) for m in ("ltn", "psdn", "appin", "approved")}
-        df = mean_of_present(self.sales, columns["ltn"], "ltn_avg")
-        df = mean_of_present(df, columns["psdn"], "psdn_avg")
-        df = ratio_of_sums(df, columns["approved"], columns["appin"], "approval_rate_avg")
-        means = df.select(
-            "month_key", "province", "staff_code", "ltn_avg", "psdn_avg", "approval_rate_avg"
-        )
-        return self._keep(means, "averages")
+
+        def means():
+            df = mean_of_present(self.sales, columns["ltn"], "ltn_avg")
+            df = mean_of_present(df, columns["psdn"], "psdn_avg")
+            df = ratio_of_sums(df, columns["approved"], columns["appin"], "approval_rate_avg")
+            return df.select("month_key", "province", "staff_code", "ltn_avg", "psdn_avg", "approval_rate_avg")
+
+        return self._staged("averages", means)
 
     @cached_property
     def headcount(self) -> DataFrame:
@@ -212,17 +232,45 @@ class RankingRun:
 
     @cached_property
     def loan_months(self) -> DataFrame:
-        """The loan tape, read once."""
-        tape = conform(self.inputs.loans, LOAN_TAPE, self.options.collation)
-        months = loan_months(tape, self.begin, self.end, self.options.excluded_channels)
-        return self._keep(months, "loan_months")
+        """The loan tape, read once, from the month after the carried write-offs on."""
+
+        def months():
+            if self.inputs.loan_sums is not None:
+                return merged_months(self.inputs.loan_sums, self.begin, self.end)
+            tape = conform(self.inputs.loans, LOAN_TAPE, self.options.collation)
+            return loan_months(tape, self.begin, self.end, self.options.excluded_channels, self.carried_through)
+
+        return self._staged("loan_months", months)
+
+    @cached_property
+    def _writeoff_state(self) -> DataFrame | None:
+        """The published write-offs to date that were added up as this run would."""
+        state = self.options.writeoff_state
+        if state is None or self.options.from_begin or self.inputs.loan_sums is not None:
+            return None
+        same = state.where(F.col("settings") == self.options.writeoff_settings())
+        name = F.col("branch_city")
+        if self.options.collation:
+            name = F.collate(name, self.options.collation)
+        return same.select("month_key", name.alias("branch_city"), "writeoff_to_date")
+
+    @cached_property
+    def carried_through(self) -> int | None:
+        """The last month before the spine whose write-offs to date are known."""
+        if self._writeoff_state is None:
+            return None
+        before = self._writeoff_state.where(F.col("month_key") < self.spine_begin)
+        return before.agg(F.max("month_key")).first()[0]
 
     @cached_property
     def writeoff(self) -> DataFrame:
         begin = self.begin if self.options.from_begin else None
         months = month_list(self.spine_begin, self.end)
+        moved = write_offs(self.loan_months)
+        if self.carried_through is not None:
+            moved = carried_write_offs(moved, self._writeoff_state, self.carried_through)
         return cumulative_by_period_window(
-            write_offs(self.loan_months),
+            moved,
             ["branch_city"],
             "kpi_month",
             "write_off_balance_principal",
@@ -231,6 +279,12 @@ class RankingRun:
             begin,
         )
 
+    @cached_property
+    def carried_writeoff(self) -> DataFrame:
+        """The write-offs to date of the report month, for later runs to go on from."""
+        settings = "partial" if self.options.from_begin else self.options.writeoff_settings()
+        return self.writeoff.where(F.col("month_key") == self.end).withColumn("settings", F.lit(settings))
+
     @cached_property
     def balances(self) -> DataFrame:
         return branch_balances(self.loan_months, self.begin, self.end)
@@ -264,14 +318,17 @@ class RankingRun:
     @cached_property
     def drivers(self) -> DataFrame:
         """What the pools are spread by: one row per branch, from the three tables above."""
-        before = self.mean_balances_before_writeoff.selectExpr(
-            "branch_city", "avg_balance_2_5 as avg_balance_2_5_before_writeoff"
-        )
-        rows = self.mean_balances.drop("month_key").unionByName(before, allowMissingColumns=True)
-        rows = rows.unionByName(self.volume.drop("month_key"), allowMissingColumns=True)
-        names = [c for c in rows.columns if c != "branch_city"]
-        merged = rows.groupBy("branch_city").agg(*[F.max(c).alias(c) for c in names])
-        return self._keep(merged, "drivers")
+
+        def merged():
+            before = self.mean_balances_before_writeoff.selectExpr(
+                "branch_city", "avg_balance_2_5 as avg_balance_2_5_before_writeoff"
+            )
+            rows = self.mean_balances.drop("month_key").unionByName(before, allowMissingColumns=True)
+            rows = rows.unionByName(self.volume.drop("month_key"), allowMissingColumns=True)
+            names = [c for c in rows.columns if c != "branch_city"]
+            return rows.groupBy("branch_city").agg(*[F.max(c).alias(c) for c in names])
+
+        return self._staged("drivers", merged)
 
     @cached_property
     def npl(self) -> DataFrame:
@@ -302,11 +359,17 @@ class RankingRun:
     @cached_property
     def ledger_lines(self) -> DataFrame:
         """The ledger, read once: every line by branch code, the pool and the rest among them."""
-        ledger = conform(self.inputs.ledger, LEDGER)
-        totals = account_totals(ledger, self.begin, self.end)
         lines = self.lines
         company = lines.funding_costs + lines.funding_income + lines.card_income
-        return self._keep(gl_rollup(totals, lines.branch_lines, company_lines=company), "ledger_lines")
+
+        def rollup():
+            if self.inputs.account_months is not None:
+                totals = totals_of_months(self.inputs.account_months, self.begin, self.end)
+            else:
+                totals = account_totals(conform(self.inputs.ledger, LEDGER), self.begin, self.end)
+            return gl_rollup(totals, lines.branch_lines, company_lines=company)
+
+        return self._staged("ledger_lines", rollup)
 
     @cached_property
     def pool(self) -> Column:
@@ -387,17 +450,20 @@ class RankingRun:
             **{line.name: "avg_balance" for line in self.lines.other},
             "provision": "avg_balance_2_5_before_writeoff",
         }
-        names = self.provinces.selectExpr("dd as branch_code", "province as branch_city")
-        direct = self._slice(self.lines.card + self.lines.other + self.lines.provision)
-        shared = allocate_pool(
-            direct.join(names, "branch_code", "left"),
-            self.pool,
-            self.drivers,
-            "branch_city",
-            spread_by,
-            require_pool=self.options.require_pool,
-        )
-        return self._keep(shared, "allocated")
+
+        def shared():
+            names = self.provinces.selectExpr("dd as branch_code", "province as branch_city")
+            direct = self._slice(self.lines.card + self.lines.other + self.lines.provision)
+            return allocate_pool(
+                direct.join(names, "branch_code", "left"),
+                self.pool,
+                self.drivers,
+                "branch_city",
+                spread_by,
+                require_pool=self.options.require_pool,
+            )
+
+        return self._staged("allocated", shared)
 
     @cached_property
     def card(self) -> DataFrame:
@@ -465,21 +531,28 @@ class RankingRun:
     @cached_property
     def staff_ranks(self) -> DataFrame:
         """Staff of the report month, and of any history given, ranked within their month."""
-        rows = self.scorecard
-        if self.options.history is not None:
-            past = self.options.history.where(F.col("month_key") != self.end)
-            rows = rows.unionByName(past.select(*rows.columns))
+
+        def scored():
+            rows = self.scorecard
+            if self.options.history is not None:
+                past = self.options.history.where(F.col("month_key") != self.end)
+                rows = rows.unionByName(past.select(*rows.columns))
+            return rows
+
         return rank_distributed(
-            self._keep(rows, "scored"), staff_rank_specs(self.options.nulls), ["month_key"], self.workspace
+            self._staged("scored", scored), staff_rank_specs(self.options.nulls), ["month_key"], self.workspace
         )
 
     @cached_property
     def report(self) -> DataFrame:
         """The final report: staff and branch ranks side by side and the ranks of their sums."""
-        branches = self.branch_ranks.withColumnRenamed("branch_city", "province")
-        joined = self.staff_ranks.join(branches, "province", "left")
+
+        def joined():
+            branches = self.branch_ranks.withColumnRenamed("branch_city", "province")
+            return self.staff_ranks.join(branches, "province", "left")
+
         ranked = composite_rank(
-            self._keep(joined, "joined"),
+            self._staged("joined", joined),
             {
                 "rank_business": STAFF_RANKS,
                 "rank_financial": BRANCH_RANKS,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -56,8 +58,8 @@ def sales_schema(months: int = 5) -> StructType:
     return _schema(month_key=INT, province=TEXT, staff_code=TEXT, **cells)
 
 
-def conform(df: DataFrame, schema: StructType, collation: str | None = None) -> DataFrame:
-    """Select the columns of ``schema`` by name and cast them; fail when one is missing.
+def conform(df: DataFrame, schema: StructType, collation: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Select the columns of ``schema`` by name and cast them, and those of ``keep``; fail when one is missing.
 
     ``collation`` (``"UNICODE_CI_AI"``, say) makes province and branch names compare that way
     in the joins and groupings that follow. The default compares bytes. Names are trimmed.
@@ -74,4 +76,4 @@ def conform(df: DataFrame, schema: StructType, collation: str | None = None) ->
             if collation:
                 col = F.collate(col, collation)
         picked.append(col.alias(field.name))
-    return df.select(*picked)
+    return df.select(*keep, *picked)

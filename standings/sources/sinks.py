@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from standings.sources.files import delete_folder
+
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Truncate-and-load."""
@@ -39,18 +41,3 @@ def replace_partitions(
             if month not in filled:
                 delete_folder(df.sparkSession, f"{path}/{column}={month}")
 
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if it is there, in whatever file system it lies."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def switch_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path``."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(at(path).getParent())
-    files.delete(at(path), True)
-    if not files.rename(at(new), at(path)):
-        raise OSError(f"{new} could not be moved to {path}")

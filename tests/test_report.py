@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from standings import Options, RankingInputs, RankingRun, ranking_report
-from standings.plans.publish import BY_MONTH, WHOLE, no_funding, publish, read_inputs
+from standings.plans.publish import BY_MONTH, WHOLE, no_funding, publish, published, read_inputs
 from standings.operators.ranking import rank_windowed
 from standings.plans.report import REPORT, STAFF_RANKS, staff_rank_specs
 from standings.sources import FUNDING, LEDGER, LOAN_TAPE, PROVINCES, Workspace, sales_schema
@@ -163,11 +163,11 @@ def test_publish_is_idempotent_and_keeps_other_months(spark, tmp_path):
     sales = [staff("North", "n1", 10), staff("North", "n1", 99, 202204)]
     for _ in range(2):
         publish(RankingRun(make(spark, sales=sales), workspace=Workspace(spark)), target)
-    read = {name: spark.read.parquet(f"{target}/{name}") for name in [*WHOLE, *BY_MONTH]}
+    read = {name: published(spark, target, name) for name in [*WHOLE, *BY_MONTH]}
     assert read["staff_averages"].count() == 2
     assert read["staff_scorecard"].count() == read["ranking_report"].count() == 1
     publish(RankingRun(make(spark, sales=sales), 202204, workspace=Workspace(spark)), target)
-    kept = spark.read.parquet(f"{target}/staff_scorecard").select("month_key").collect()
+    kept = published(spark, target, "staff_scorecard").select("month_key").collect()
     assert sorted(r[0] for r in kept) == [202204, 202205]
 
 
@@ -175,9 +175,9 @@ def test_publish_ranks_published_history(spark, tmp_path):
     target, inputs = str(tmp_path / "out"), make(spark)
     publish(RankingRun(inputs, workspace=Workspace(spark)), target)
     later = make(spark, sales=[staff("North", "n1", 1, 202206), staff("North", "n2", 2, 202206)])
-    history = spark.read.parquet(f"{target}/staff_scorecard")
+    history = published(spark, target, "staff_scorecard")
     publish(RankingRun(later, options=Options(history=history), workspace=Workspace(spark)), target)
-    report = spark.read.parquet(f"{target}/ranking_report")
+    report = published(spark, target, "ranking_report")
     assert {r[0] for r in report.select("month_key").collect()} == {202205, 202206}
 
 
@@ -190,7 +190,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     for name, df in names.items():
         df.write.parquet(f"{source}/{name}")
     main([source, target, "--report-month", "202205"])
-    assert spark.read.parquet(f"{target}/ranking_report").count() == 3
+    assert published(spark, target, "ranking_report").count() == 3
     assert read_inputs(spark, source).sales.count() == 3
 
 
@@ -217,15 +217,15 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
 def test_a_failing_run_leaves_published_tables_as_they_were(spark, tmp_path, monkeypatch):
     target = str(tmp_path / "out")
     publish(RankingRun(make(spark), workspace=Workspace(spark)), target)
-    before = {name: sorted(map(str, spark.read.parquet(f"{target}/{name}").collect())) for name in [*WHOLE, *BY_MONTH]}
+    before = {name: sorted(map(str, published(spark, target, name).collect())) for name in [*WHOLE, *BY_MONTH]}
     run = RankingRun(make(spark, sales=[staff("North", "zz", 1)]), workspace=Workspace(spark))
     broken = run.volume.withColumn("volume", F.raise_error(F.lit("broken")).cast("double"))
     monkeypatch.setattr(run, "volume", broken)
     with pytest.raises(Exception, match="broken"):
         publish(run, target)
-    after = {name: sorted(map(str, spark.read.parquet(f"{target}/{name}").collect())) for name in [*WHOLE, *BY_MONTH]}
+    after = {name: sorted(map(str, published(spark, target, name).collect())) for name in [*WHOLE, *BY_MONTH]}
     assert after == before
-    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_run")]
+    assert len(list((tmp_path / "out" / "data").iterdir())) == 1
     from pathlib import Path
 
     assert not Path(run.workspace.path).exists()
