@@ -78,11 +78,13 @@ def exact_duplicates(
         ),
         "rows",
     )
-    groups = (
+    # A table of its own, so that both sides of the join are plain exchanges and a hot group can be split.
+    groups = stage.keep(
         rows.where("_alike")
         .groupBy(F.col("text_hash").alias("_hash"))
         .agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct("_id", "_rid")).alias("_last"))
-        .where("_n > 1")
+        .where("_n > 1"),
+        "groups",
     )
     grouped = (
         rows.where("_alike")
