@@ -183,6 +183,7 @@ class GivenInputs:
     """`RankingInputs` over the given tables, each input opened when it is first used."""
 
     lines, aliases = LINES, ALIASES
+    account_months = loan_sums = None
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._given = spark, sf_dir
