@@ -186,6 +186,18 @@ class RankingRun:
     def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self.workspace.staged(name, build) if self.workspace else build()
 
+    def _sheet(self, df: DataFrame) -> DataFrame:
+        """A table with some rows for each branch, as one partition.
+
+        What is joined and added up of such tables then needs no exchange, and so no job of its own. They
+        have as many rows as the company has branches, accounts lines and months, not as it has data.
+        """
+        return df.coalesce(1) if self.workspace else df
+
+    def _beside(self, df: DataFrame) -> DataFrame:
+        """A sheet to be joined to another: merged where both lie, as a broadcast would be one more job."""
+        return df.hint("merge") if self.workspace else df
+
     # Inputs ------------------------------------------------------------------------------
 
     @cached_property
@@ -195,7 +207,7 @@ class RankingRun:
 
     @cached_property
     def provinces(self) -> DataFrame:
-        return conform(self.inputs.provinces, PROVINCES, self.options.collation)
+        return self._sheet(conform(self.inputs.provinces, PROVINCES, self.options.collation))
 
     # Sales sheet -------------------------------------------------------------------------
 
@@ -214,10 +226,14 @@ class RankingRun:
 
     @cached_property
     def headcount(self) -> DataFrame:
-        staff = self.averages
-        if not self.options.all_months_heads:
-            staff = staff.where(F.col("month_key") == self.end)
-        return headcount_share(staff, total=False)
+
+        def heads():
+            staff = self.averages
+            if not self.options.all_months_heads:
+                staff = staff.where(F.col("month_key") == self.end)
+            return headcount_share(staff, total=False)
+
+        return self._sheet(self._staged("headcount", heads))
 
     # Loan tape ---------------------------------------------------------------------------
 
@@ -240,7 +256,7 @@ class RankingRun:
             tape = conform(self.inputs.loans, LOAN_TAPE, self.options.collation)
             return loan_months(tape, self.begin, self.end, self.options.excluded_channels, self.carried_through)
 
-        return self._staged("loan_months", months)
+        return self._sheet(self._staged("loan_months", months))
 
     @cached_property
     def _writeoff_state(self) -> DataFrame | None:
@@ -300,7 +316,7 @@ class RankingRun:
         """Mean monthly balances with the write-off to date added back."""
         means = adjusted_period_mean(
             self.balances,
-            self.writeoff,
+            self._beside(self.writeoff),
             ["month_key", "branch_city"],
             "writeoff_to_date",
             ["branch_city"],
@@ -328,14 +344,14 @@ class RankingRun:
             names = [c for c in rows.columns if c != "branch_city"]
             return rows.groupBy("branch_city").agg(*[F.max(c).alias(c) for c in names])
 
-        return self._staged("drivers", merged)
+        return self._sheet(self._staged("drivers", merged))
 
     @cached_property
     def npl(self) -> DataFrame:
         """Non-performing share of the report month, write-offs added back."""
         return adjusted_share(
             self.balances.where(F.col("month_key") == self.end),
-            self.writeoff,
+            self._beside(self.writeoff),
             ["month_key", "branch_city"],
             "writeoff_to_date",
             "balance_3_5",
@@ -369,7 +385,7 @@ class RankingRun:
                 totals = account_totals(conform(self.inputs.ledger, LEDGER), self.begin, self.end)
             return gl_rollup(totals, lines.branch_lines, company_lines=company)
 
-        return self._staged("ledger_lines", rollup)
+        return self._sheet(self._staged("ledger_lines", rollup))
 
     @cached_property
     def pool(self) -> Column:
@@ -417,11 +433,11 @@ class RankingRun:
         """Operating cost per branch, the head-office pool spread by headcount."""
         names = [line.name for line in self.lines.opex]
         branches = self.provinces.where(F.col("dd") != POOL)
-        base = branches.join(self.opex_direct, F.col("dd") == F.col("branch_code"), "left")
+        base = branches.join(self._beside(self.opex_direct), F.col("dd") == F.col("branch_code"), "left")
         shared = allocate_pool(
             base.select("dd", "province", *names),
             self.pool,
-            self.headcount,
+            self._beside(self.headcount),
             "province",
             dict.fromkeys(names, "heads"),
             null_policy=self.options.opex_null_policy,
@@ -455,15 +471,15 @@ class RankingRun:
             names = self.provinces.selectExpr("dd as branch_code", "province as branch_city")
             direct = self._slice(self.lines.card + self.lines.other + self.lines.provision)
             return allocate_pool(
-                direct.join(names, "branch_code", "left"),
+                direct.join(self._beside(names), "branch_code", "left"),
                 self.pool,
-                self.drivers,
+                self._beside(self.drivers),
                 "branch_city",
                 spread_by,
                 require_pool=self.options.require_pool,
             )
 
-        return self._staged("allocated", shared)
+        return self._sheet(self._staged("allocated", shared))
 
     @cached_property
     def card(self) -> DataFrame:
@@ -495,16 +511,19 @@ class RankingRun:
         card = plus([line.name for line in self.lines.card])
         other = plus([line.name for line in self.lines.other])
         fund = "cast(" + plus([f.name for f in FUNDING if f.name != "branch_city"]) + " as double)"
-        funding = conform(self.inputs.funding, FUNDING, self.options.collation)
+        funding = self._sheet(conform(self.inputs.funding, FUNDING, self.options.collation))
         scored = ratio_scorecard(
             self.provinces.where(F.col("dd") != POOL),
             [
-                (self.opex.select("dd", "opex"), "dd"),
-                (by_province(self.card, card=card), "province"),
-                (by_province(funding, fund=fund), "province"),
-                (by_province(self.other, other=other, other_revenue="business_revenue"), "province"),
-                (by_province(self.provision, provision="provision"), "province"),
-                (self.headcount, "province"),
+                (self._beside(frame), key)
+                for frame, key in (
+                    (self.opex.select("dd", "opex"), "dd"),
+                    (by_province(self.card, card=card), "province"),
+                    (by_province(funding, fund=fund), "province"),
+                    (by_province(self.other, other=other, other_revenue="business_revenue"), "province"),
+                    (by_province(self.provision, provision="provision"), "province"),
+                    (self.headcount, "province"),
+                )
             ],
         )
         return scored

@@ -77,7 +77,7 @@ def jobs_of(spark, query, sf_dir=SF_DIR):
     return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
 
-@pytest.mark.parametrize("name, most", [("financial_ratios", 50), ("ranking_report", 100)])
+@pytest.mark.parametrize("name, most", [("financial_ratios", 40), ("ranking_report", 80)])
 def test_jobs_stay_few(spark, name, most):
     """AQE runs every exchange as a job of its own; what is read more than once is staged."""
     assert jobs_of(spark, entry.QUERIES[name]) <= most
