@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
 from standings.operators.allocation import KEEP_DIRECT, ZERO_ALL
 from standings.plans.incremental import with_kept_sums
-from standings.plans.publish import publish, read_inputs, run_key
+from standings.plans.publish import publish, published, read_inputs, run_key
 from standings.plans.report import Options, RankingRun
 from standings.sources import ResumableWorkspace, Workspace
+from standings.sources.names import FORMS
 from standings.sources.snapshots import CatalogSnapshots, SnapshotSet
 
 
@@ -29,6 +31,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--opex-null-policy", choices=[ZERO_ALL, KEEP_DIRECT], default=ZERO_ALL)
     parser.add_argument("--nulls", choices=["first", "last"], help="place of missing metrics in ascending ranks")
     parser.add_argument("--collation", help="compare names under this collation")
+    parser.add_argument("--normal-form", choices=FORMS, help="bring names to this Unicode normal form")
+    parser.add_argument("--lenient", action="store_true", help="set rows aside that cannot be cast, in the table rejected_rows")
+    parser.add_argument("--audit", action="store_true", help="publish nothing when an allocation loses money")
     parser.add_argument("--history", help="earlier scorecards to rank beside the current one: Parquet, a table, or a published folder")
     parser.add_argument("--carry-writeoff", action="store_true", help="go on from the write-offs to date published at TARGET")
     parser.add_argument("--state", help="folder of kept sums: only changed months of ledger and tape are read")
@@ -53,11 +58,15 @@ def main(argv: list[str] | None = None) -> None:
         opex_null_policy=args.opex_null_policy,
         nulls=args.nulls,
         collation=args.collation,
+        normal_form=args.normal_form,
+        lenient=args.lenient,
         history=history,
         writeoff_state=state,
     )
     if args.catalog and (args.state or args.resume):
         parser.error("--state and --resume know inputs by their files: SOURCE must be a folder")
+    if args.state and args.lenient:
+        parser.error("--state reads files in their schema and cannot set rows aside")
     inputs = read_inputs(spark, args.source, args.catalog)
     if args.state:
         inputs = with_kept_sums(spark, inputs, args.source, args.state, options)
@@ -67,7 +76,10 @@ def main(argv: list[str] | None = None) -> None:
         seen = [SnapshotSet(spark, args.history).version() if args.history else 0, earlier.version() if args.carry_writeoff else 0]
         workspace = ResumableWorkspace(spark, run_key(spark, args.source, asked, seen))
     run = RankingRun(inputs, args.report_month, args.begin_month, options, workspace)
-    publish(run, args.target, args.catalog_target)
+    publish(run, args.target, args.catalog_target, args.audit)
+    if args.lenient:
+        counts = published(spark, args.target, "rejected_rows", args.catalog_target).groupBy("input").count()
+        print(json.dumps({"rejected": {r["input"]: r["count"] for r in counts.collect()}}))
 
 
 if __name__ == "__main__":

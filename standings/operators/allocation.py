@@ -54,3 +54,43 @@ def allocate_pool(
 
     kept = [c for c in base.columns if c not in lines]
     return joined.selectExpr(*kept, *[allocated(line, driver) for line, driver in lines.items()])
+
+
+def allocation_audit(
+    direct: DataFrame, pool: DataFrame, drivers: DataFrame, allocated: DataFrame, on: str, lines: dict[str, str]
+) -> DataFrame:
+    """What became of each line's money: (line, direct, pool, allocated, difference, unmatched).
+
+    ``direct`` and ``allocated`` are the two sides of an allocation over the rows kept, ``pool`` its pool row, if
+    any. ``difference`` is what went missing or was made; ``unmatched`` names those that have a share of the
+    line's driver but no row to get it. All tables have some rows for each branch.
+    """
+
+    def by_line(df, name):
+        sums = df.agg(*[F.expr(exact_total(f"cast({line} as double)")).alias(line) for line in lines])
+        return sums.unpivot([], list(lines), "line", name)
+
+    kept = direct.select(on).distinct()
+    columns = list(dict.fromkeys(lines.values()))
+    left_out = drivers.join(kept, on, "left_anti").select(on, *[F.col(c).cast("double").alias(c) for c in columns])
+    unmatched = (
+        left_out.unpivot([on], columns, "driver", "share")
+        .where("share <> 0")
+        .groupBy("driver")
+        .agg(F.array_sort(F.collect_list(on)).alias("unmatched"))
+    )
+    driver = F.create_map(*[F.lit(x) for pair in lines.items() for x in pair])[F.col("line")]
+    joined = by_line(direct, "direct").join(by_line(allocated, "allocated"), "line").join(by_line(pool, "pool"), "line")
+    parts = [f"coalesce({c}, 0)" for c in ("allocated", "direct", "pool")]
+    return (
+        joined.withColumn("driver", driver)
+        .join(unmatched, "driver", "left")
+        .selectExpr(
+            "line",
+            "direct",
+            "pool",
+            "allocated",
+            rounded(f"{parts[0]} - {parts[1]} - {parts[2]}") + " as difference",
+            "coalesce(unmatched, cast(array() as array<string>)) as unmatched",
+        )
+    )

@@ -36,19 +36,26 @@ WHOLE = {
 }
 
 
-def publish(run: RankingRun, target: str, catalog: bool = False) -> int:
+def publish(run: RankingRun, target: str, catalog: bool = False, audit: bool = False) -> int:
     """Load the tables of ``run`` under ``target``; a second run of a month changes nothing.
 
     ``target`` is a folder, or with ``catalog`` a database. All tables are written beside the published
     ones, then one commit shows them: readers (`published`, or the views of the database) see the whole old
     report or the whole new one, and a failure at any point leaves the old one. The months that the
-    run stands for are emptied if it has no rows for them. Returns the version.
+    run stands for are emptied if it has no rows for them. With ``audit`` nothing is published when an
+    allocation loses money, and ``allocation_audit`` shows what became of it. A lenient run publishes the
+    ``rejected_rows`` as well, for one more pass over its inputs. Returns the version.
     """
     spark = run.inputs.sales.sparkSession
     workspace = run.workspace or Workspace(spark)
     try:
         whole = {name: getattr(run, attribute) for name, attribute in WHOLE.items()}
         by_month = {name: getattr(run, attribute) for name, attribute in BY_MONTH.items()}
+        if audit:
+            run.refuse_lost_money()
+            whole["allocation_audit"] = run.audit
+        if run.options.lenient:
+            whole["rejected_rows"] = run.rejected
         version = _set(spark, target, catalog).commit(whole, by_month, {run.end})
     except BaseException:
         workspace.failed()

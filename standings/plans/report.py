@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from standings.functions import month_list, plus, rounded, year_start
-from standings.operators.allocation import ZERO_ALL, allocate_pool, headcount_share
+from standings.operators.allocation import ZERO_ALL, allocate_pool, allocation_audit, headcount_share
 from standings.operators.balances import (
     BALANCES,
     EXCLUDED_CHANNELS,
@@ -49,8 +50,15 @@ from standings.sources.schemas import (
     month_columns,
     sales_schema,
 )
+from standings.sources.names import normal_name, with_normal_names
+from standings.sources.quarantine import fitting_rows, rejected_rows
 from standings.sources.staging import Workspace
 
+
+class LostMoney(ValueError):
+    """An allocation handed out more or less than its pool."""
+
+
 @dataclass(frozen=True)
 class LineBook:
     """The ledger lines of the report. The default holds the real account codes."""
@@ -99,6 +107,9 @@ class Options:
     ``cir_offset``        pushes negative cost-income ratios behind the positive ones
     ``nulls``             place of missing metrics in ascending staff ranks
     ``collation``         compare names under this collation
+    ``normal_form``       bring names to this Unicode normal form (``"NFC"``) before they are compared
+    ``lenient``           leave out rows with values that cannot be cast (`RankingRun.rejected` has them);
+                          by default the first such value ends the run
     ``history``           earlier scorecards, ranked within their own month beside this one
     ``writeoff_state``    published write-offs to date: tape months up to the latest that ended before
                           this report's first are not read again. Without it, or where it was written under
@@ -115,12 +126,15 @@ class Options:
     nulls: str | None = None
     excluded_channels: tuple[int, ...] = EXCLUDED_CHANNELS
     collation: str | None = None
+    normal_form: str | None = None
+    lenient: bool = False
     history: DataFrame | None = None
     writeoff_state: DataFrame | None = None
 
     def writeoff_settings(self) -> str:
         """What a write-off to date depends on beside the tape."""
-        return f"channels={sorted(self.excluded_channels)} names={self.collation or 'bytes'}"
+        names = f"{self.collation or 'bytes'}/{self.normal_form or 'as given'}"
+        return f"channels={sorted(self.excluded_channels)} names={names} lenient={self.lenient}"
 
 
 # Output columns of the final report, in order.
@@ -200,14 +214,37 @@ class RankingRun:
 
     # Inputs ------------------------------------------------------------------------------
 
+    def _read(self, df: DataFrame, schema: StructType, name: str | None = None) -> DataFrame:
+        """An input in its schema, its column ``name`` ready to be compared."""
+        lenient = self.options.lenient
+        if lenient:
+            df = fitting_rows(df, schema)
+        if name and self.options.normal_form:
+            df = with_normal_names(conform(df, schema, lenient=lenient), name, self.options.normal_form)
+        return conform(df, schema, self.options.collation, lenient=lenient)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """Rows of the inputs that cannot be cast, with the reasons: (input, reasons, row)."""
+        given = self.inputs
+        parts = [("sales", given.sales, sales_schema(self.options.months)), ("provinces", given.provinces, PROVINCES), ("funding", given.funding, FUNDING)]
+        if given.account_months is None:
+            parts.append(("ledger", given.ledger, LEDGER))
+        if given.loan_sums is None:
+            parts.append(("loans", given.loans, LOAN_TAPE))
+        return reduce(DataFrame.unionByName, [rejected_rows(df, schema, name) for name, df, schema in parts])
+
     @cached_property
     def sales(self) -> DataFrame:
-        sheet = conform(self.inputs.sales, sales_schema(self.options.months), self.options.collation)
-        return normalize_values(sheet, "province", self.inputs.aliases)
+        form, aliases = self.options.normal_form, self.inputs.aliases
+        if form:
+            aliases = {normal_name(k, form): normal_name(v, form) for k, v in aliases.items()}
+        sheet = self._read(self.inputs.sales, sales_schema(self.options.months), "province")
+        return normalize_values(sheet, "province", aliases)
 
     @cached_property
     def provinces(self) -> DataFrame:
-        return self._sheet(conform(self.inputs.provinces, PROVINCES, self.options.collation))
+        return self._sheet(self._read(self.inputs.provinces, PROVINCES, "province"))
 
     # Sales sheet -------------------------------------------------------------------------
 
@@ -251,10 +288,19 @@ class RankingRun:
         """The loan tape, read once, from the month after the carried write-offs on."""
 
         def months():
-            if self.inputs.loan_sums is not None:
-                return merged_months(self.inputs.loan_sums, self.begin, self.end)
-            tape = conform(self.inputs.loans, LOAN_TAPE, self.options.collation)
-            return loan_months(tape, self.begin, self.end, self.options.excluded_channels, self.carried_through)
+            parts = self.inputs.loan_sums
+            if parts is None:
+                tape = self._read(self.inputs.loans, LOAN_TAPE)
+                parts = loan_months(tape, self.begin, self.end, self.options.excluded_channels, self.carried_through)
+                if not self.options.normal_form:
+                    return parts
+            if self.options.normal_form:
+                # Added up first, so that there are few names, and once more under the names' normal form.
+                bare = parts.withColumn("branch_city", F.col("branch_city").cast("string"))
+                parts = with_normal_names(bare, "branch_city", self.options.normal_form)
+                if self.options.collation:
+                    parts = parts.withColumn("branch_city", F.collate("branch_city", self.options.collation))
+            return merged_months(parts, self.begin, self.end)
 
         return self._sheet(self._staged("loan_months", months))
 
@@ -382,7 +428,7 @@ class RankingRun:
             if self.inputs.account_months is not None:
                 totals = totals_of_months(self.inputs.account_months, self.begin, self.end)
             else:
-                totals = account_totals(conform(self.inputs.ledger, LEDGER), self.begin, self.end)
+                totals = account_totals(self._read(self.inputs.ledger, LEDGER), self.begin, self.end)
             return gl_rollup(totals, lines.branch_lines, company_lines=company)
 
         return self._sheet(self._staged("ledger_lines", rollup))
@@ -432,10 +478,8 @@ class RankingRun:
     def opex(self) -> DataFrame:
         """Operating cost per branch, the head-office pool spread by headcount."""
         names = [line.name for line in self.lines.opex]
-        branches = self.provinces.where(F.col("dd") != POOL)
-        base = branches.join(self._beside(self.opex_direct), F.col("dd") == F.col("branch_code"), "left")
         shared = allocate_pool(
-            base.select("dd", "province", *names),
+            self._opex_direct_rows,
             self.pool,
             self._beside(self.headcount),
             "province",
@@ -450,14 +494,9 @@ class RankingRun:
             F.expr(rounded(plus(names))).alias("opex"),
         )
 
-    @cached_property
-    def allocated(self) -> DataFrame:
-        """Card revenue, other cost and provisions per branch code, pools spread over branches.
-
-        Interest and late fees follow the balances they are earned on, insurance the volume,
-        other cost the whole balance, provisions the groups 2-5 before write-off.
-        """
-        spread_by = {
+    @property
+    def _spread_by(self) -> dict[str, str]:
+        return {
             "in_term_interest": "avg_balance_1",
             "overdue_interest": "avg_balance_2",
             "insurance_fee": "volume",
@@ -467,15 +506,53 @@ class RankingRun:
             "provision": "avg_balance_2_5_before_writeoff",
         }
 
+    @cached_property
+    def _allocated_direct(self) -> DataFrame:
+        names = self.provinces.selectExpr("dd as branch_code", "province as branch_city")
+        direct = self._slice(self.lines.card + self.lines.other + self.lines.provision)
+        return direct.join(self._beside(names), "branch_code", "left")
+
+    @cached_property
+    def _opex_direct_rows(self) -> DataFrame:
+        names = [line.name for line in self.lines.opex]
+        branches = self.provinces.where(F.col("dd") != POOL)
+        base = branches.join(self._beside(self.opex_direct), F.col("dd") == F.col("branch_code"), "left")
+        return base.select("dd", "province", *names)
+
+    @cached_property
+    def audit(self) -> DataFrame:
+        """What became of the money of every line, from tables that are staged already."""
+        shared, opex = self._spread_by, {line.name: "heads" for line in self.lines.opex}
+        pool = self.ledger_lines.where(F.col("branch_code") == POOL)
+        direct = self._allocated_direct
+        if self.options.require_pool:
+            direct = direct.where(self.pool.isNotNull())
+        return allocation_audit(direct, pool, self.drivers, self.allocated, "branch_city", shared).unionByName(
+            allocation_audit(self._opex_direct_rows, pool, self.headcount, self.opex.withColumnRenamed("branch_city", "province"), "province", opex)
+        )
+
+    def refuse_lost_money(self, tolerance: float = 0.005) -> None:
+        """Raise `LostMoney`, naming lines and unmatched branches, if an allocation does not keep its money."""
+        lost = [r for r in self.audit.orderBy("line").collect() if abs(r["difference"]) > tolerance]
+        if lost:
+            told = [f"{r['line']}: {r['difference']:+.2f}" + (f", no row for {', '.join(r['unmatched'])}" if r["unmatched"] else "") for r in lost]
+            raise LostMoney("; ".join(told))
+
+    @cached_property
+    def allocated(self) -> DataFrame:
+        """Card revenue, other cost and provisions per branch code, pools spread over branches.
+
+        Interest and late fees follow the balances they are earned on, insurance the volume,
+        other cost the whole balance, provisions the groups 2-5 before write-off.
+        """
+
         def shared():
-            names = self.provinces.selectExpr("dd as branch_code", "province as branch_city")
-            direct = self._slice(self.lines.card + self.lines.other + self.lines.provision)
             return allocate_pool(
-                direct.join(self._beside(names), "branch_code", "left"),
+                self._allocated_direct,
                 self.pool,
                 self._beside(self.drivers),
                 "branch_city",
-                spread_by,
+                self._spread_by,
                 require_pool=self.options.require_pool,
             )
 
@@ -511,7 +588,7 @@ class RankingRun:
         card = plus([line.name for line in self.lines.card])
         other = plus([line.name for line in self.lines.other])
         fund = "cast(" + plus([f.name for f in FUNDING if f.name != "branch_city"]) + " as double)"
-        funding = self._sheet(conform(self.inputs.funding, FUNDING, self.options.collation))
+        funding = self._sheet(self._read(self.inputs.funding, FUNDING, "branch_city"))
         scored = ratio_scorecard(
             self.provinces.where(F.col("dd") != POOL),
             [

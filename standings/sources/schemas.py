@@ -58,22 +58,28 @@ def sales_schema(months: int = 5) -> StructType:
     return _schema(month_key=INT, province=TEXT, staff_code=TEXT, **cells)
 
 
-def conform(df: DataFrame, schema: StructType, collation: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+def conform(df: DataFrame, schema: StructType, collation: str | None = None, keep: Sequence[str] = (), lenient: bool = False) -> DataFrame:
     """Select the columns of ``schema`` by name and cast them, and those of ``keep``; fail when one is missing.
 
     ``collation`` (``"UNICODE_CI_AI"``, say) makes province and branch names compare that way
-    in the joins and groupings that follow. The default compares bytes. Names are trimmed.
+    in the joins and groupings that follow. The default compares bytes. Names are trimmed. ``lenient``
+    makes NULL of what cannot be cast, for rows that `fitting_rows` has let through.
     """
-    present = {c.lower() for c in df.columns}
-    missing = [f.name for f in schema if f.name.lower() not in present]
-    if missing:
-        raise ValueError(f"missing columns {missing}; found {df.columns}")
+    checked_names(df, schema)
     picked = []
     for field in schema:
-        col = F.col(field.name).cast(field.dataType)
+        col = F.col(field.name)
+        col = col.try_cast(field.dataType) if lenient else col.cast(field.dataType)
         if field.name in NAMES:
             col = F.trim(col)
             if collation:
                 col = F.collate(col, collation)
         picked.append(col.alias(field.name))
     return df.select(*keep, *picked)
+
+
+def checked_names(df: DataFrame, schema: StructType) -> None:
+    present = {c.lower() for c in df.columns}
+    missing = [f.name for f in schema if f.name.lower() not in present]
+    if missing:
+        raise ValueError(f"missing columns {missing}; found {df.columns}")
