@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -19,8 +20,10 @@ import fixtures as fx
 from standings import operators as op
 from standings.functions import amount_total, month_list
 from standings.operators.balances import branch_balances, write_offs
+from standings.operators.ledger import totals_of_months
 from standings.operators.ranking import rank_windowed
 from standings.sources import LEDGER, LOAN_TAPE
+from standings.sources.partials import PartialSums
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 
@@ -50,6 +53,12 @@ def make(spark: SparkSession, folder: str, copies: int) -> None:
     staff.write.parquet(f"{folder}/staff")
 
 
+def kept_sums(spark: SparkSession, folder: str, state: str):
+    """The ledger's totals from sums kept by file."""
+    months = PartialSums(spark, f"{folder}/gl", state, LEDGER).refresh(lambda df, keys: op.account_months(df, keys=keys))
+    return totals_of_months(months, fx.BEGIN, fx.END)
+
+
 def main() -> None:
     folder, copies = sys.argv[1], int(sys.argv[2]) if len(sys.argv) > 2 else 40
     spark = (
@@ -76,6 +85,8 @@ def main() -> None:
     months = op.loan_months(tape, fx.BEGIN, fx.END)
     args = (write_offs(months), ["branch_city"], "kpi_month", "write_off_balance_principal")
     specs = [op.RankSpec("skewed", "a", descending=True), op.RankSpec("spread", "b")]
+    four = [*specs, op.RankSpec("skewed", "c"), op.RankSpec("spread", "d", descending=True)]
+    state = tempfile.mkdtemp(prefix="state-", dir=folder)
     cases = {
         "ledger_rollup": lambda: op.gl_rollup(totals, lines),
         "ledger_rollup_one_sum_per_line_and_posting": lambda: per_posting.groupBy("branch_code").agg(
@@ -86,6 +97,9 @@ def main() -> None:
         ),
         "ledger_rollup_one_scan_per_line": lambda: [op.gl_rollup(totals, [line]) for line in lines],
         "loan_months": lambda: months,
+        "loan_months_after_carried_write_offs": lambda: op.loan_months(tape, fx.BEGIN, fx.END, after=200012),
+        "kept_sums_first_run": lambda: kept_sums(spark, folder, state),
+        "kept_sums_unchanged": lambda: kept_sums(spark, folder, state),
         "balances": lambda: branch_balances(months, fx.BEGIN, fx.END),
         "writeoff_range_join": lambda: op.cumulative_by_period(
             *args, op.month_spine(spark, fx.BEGIN, fx.END), "wo"
@@ -94,6 +108,7 @@ def main() -> None:
             *args, month_list(fx.BEGIN, fx.END), "wo"
         ),
         "rank_distributed": lambda: op.rank_distributed(staff, specs, ["month_key"]),
+        "four_ranks_distributed": lambda: op.rank_distributed(staff, four, ["month_key"]),
         "rank_in_one_task": lambda: rank_windowed(staff, specs, ["month_key"]),
     }
     rows = {"ledger": ledger.count(), "tape": tape.count(), "staff": staff.count()}

@@ -89,7 +89,8 @@ def rank_distributed(
         "_row", "_all", F.coalesce("_spec_hot", "_spec").alias("_column"), F.coalesce("_hot_rank", "_rank").alias("_rank")
     )
     each = [F.max(F.when(F.col("_column") == i, F.col("_rank"))).alias(s.out) for i, s in enumerate(specs)]
-    gathered = found.groupBy("_row").agg(F.first("_all", ignorenulls=True).alias("_all"), *each)
+    # Dealt out first: a first aggregation before the exchange would sort all rows and join none.
+    gathered = found.repartition("_row").groupBy("_row").agg(F.first("_all", ignorenulls=True).alias("_all"), *each)
     return gathered.select("_all.*", *[s.out for s in specs])
 
 
