@@ -17,8 +17,9 @@ UNIT = "_unit"
 
 def _unit(location: Column) -> Column:
     """What is added up by itself: a file's folder if the table is partitioned, else the file."""
-    folder = F.regexp_extract(location, "^(.*)/[^/]*$", 1)
-    return F.when(F.regexp_extract(folder, "[^/]*$", 0).contains("="), folder).otherwise(location)
+    file = F.substring_index(location, "/", -1)
+    folder = F.left(location, F.length(location) - F.length(file) - 1)
+    return F.when(F.substring_index(folder, "/", -1).contains("="), folder).otherwise(location)
 
 
 class PartialSums:
