@@ -60,7 +60,7 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
 
 def _write_chunks(rules: IdFileRules):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(rules.tokenizer, spaces=True)
+        encoder = TextEncoder(rules.tokenizer, spaces=True, stay=True)
         press = zstandard.ZstdCompressor(level=rules.level)
         shard, chunk, start = TaskContext.get().partitionId(), 0, 0
         names, tokens, held = [], [], 0

@@ -15,12 +15,14 @@ WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.pa
 ODD = [
     "", None, " a", "a ", "  a", "a  b", "a   b", " ", "  ", "a\n b", "a \n\n b", "\n", "\n\nx", "x  y", "x  y",
     "a \n", " 's 't", "<|endoftext|> x", "İstanbul Σας", "é́ a", "日本 語", "a\tb\r\nc", "don't I'll", " \n ",
+    "<|endoftext|>", "x <|endoftext|> y", "a<|endoftext|>b <|startoftext|> c", "<|ENDOFTEXT|> <|endoftext", "x \x01 y",
+    "\x01 a", "a \x01\x01", "\x01", "a. b, c; d.. e.; .f , . ..", "it's. we'll, x's!", "é. e\u0301. ß# 日. 語, ñ.\u0301 x", "5. 6, a5. a_. _,",
+    "a.\nb. c,\n d.", "a . b", "don't. 't. 's, '", "ﬁ. Ⅷ. ǅ, ʰ. a\u00a0. b.\u00a0c", "x=\u0338 y.\u0338",
 ]
 
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -33,6 +35,19 @@ def test_encoder_equals_the_library(documents, path, spaces):
         assert flat[starts[i] : starts[i + 1]].tolist() == ids(text), repr(text)[:80]
 
 
+@pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
+def test_encoder_equals_the_library_on_made_up_texts(path, spaces):
+    ids, parts = library(path), ["a", "É", "'s", "don't", " ", " ", "\n", ".", ",", "#%", "\x01", "9", "日", "\u0301", "_", "<|endoftext|>"]
+
+    @settings(max_examples=150, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(parts), max_size=12).map("".join), min_size=1, max_size=8))
+    def equal(texts):
+        flat, starts = TextEncoder(path, spaces).encode(texts)
+        assert [flat[s:e].tolist() for s, e in zip(starts, starts[1:])] == [ids(t) for t in texts]
+
+    equal()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 300), min_size=1, max_size=60), st.sampled_from([16, 64, 100]))
 def test_blocks_are_gapless_and_unpadded(lengths, capacity):
