@@ -8,6 +8,7 @@ Everything is DataFrame expressions; positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,10 +43,47 @@ class SecretRules:
     mask: str = "[SECRET]"
 
 
+# Running values are taken over slices of this many elements, and over their totals.
+FAN = 64
+# Code points in a part of a text that is cut at spans.
+CUT = 256
+
+
 def no_spans() -> Column:
     return F.expr(f"cast(array() as {SPANS})")
 
 
+def running(values: Column, merge: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """For each of the numbers, all before it merged, 0 for the first.
+
+    A fold that appends to an array copies it for every element, so only short slices are folded:
+    first their totals are run over, then each slice goes on from the total before it.
+    """
+
+    def fold(part: Column, begin: Column) -> Column:
+        def step(seen: Column, x: Column) -> Column:
+            return F.struct(
+                merge(seen["at"], x).alias("at"), F.concat(seen["out"], F.array(seen["at"])).alias("out")
+            )
+
+        none = F.struct(begin.alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        return F.aggregate(part, none, step, lambda seen: seen["out"])
+
+    def sliced(own: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / FAN).cast("int"))
+        return F.transform(at, lambda k: F.slice(own, k * FAN + 1, F.lit(FAN)))
+
+    def joined(slices: Column) -> Column:
+        totals = F.transform(slices, lambda part: F.aggregate(part, F.lit(0), merge))
+        return F.flatten(F.zip_with(slices, running(totals, merge, levels - 1), fold))
+
+    if levels == 1:
+        return fold(values, F.lit(0))
+    return let(
+        values, lambda own: F.when(F.size(own) > FAN, let(sliced(own), joined)).otherwise(fold(own, F.lit(0)))
+    )
+
+
 def match_spans(text: Column, pattern: str, group: int = 0, least: int = 0, below: int | None = None) -> Column:
     """(s, e) of the matches whose ``group`` has ``least`` characters or more, and under ``below``.
 
@@ -61,13 +99,16 @@ def match_spans(text: Column, pattern: str, group: int = 0, least: int = 0, belo
             lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("own")),
         )
 
-        def step(seen: Column, x: Column) -> Column:
-            start = seen["at"] + x["gap"]
-            span = F.struct(start.alias("s"), (start + x["own"]).alias("e"))
-            return F.struct((start + x["own"]).alias("at"), F.concat(seen["out"], F.array(span)).alias("out"))
+        def spanned(lengths: Column) -> Column:
+            before = running(F.transform(lengths, lambda x: x["gap"] + x["own"]), lambda at, n: at + n)
 
-        none = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
-        spans = F.aggregate(lengths, none, step, lambda seen: seen["out"])
+            def span(at: Column, x: Column) -> Column:
+                start = at + x["gap"]
+                return F.struct(start.alias("s"), (start + x["own"]).alias("e"))
+
+            return F.zip_with(before, lengths, span)
+
+        spans = let(lengths, spanned)
         if not group:
             return spans
         sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
@@ -193,18 +234,32 @@ def listed_spans(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column, mask: str) -> Column:
-    """The text with every span, overlapping ones as one, replaced by ``mask``."""
+    """The text with every span, overlapping ones as one, replaced by ``mask``.
+
+    ``spans`` are in order. The text is cut into parts of ``CUT`` code points once, so a piece of it
+    is taken from the parts that it touches and not from the beginning.
+    """
 
-    def step(seen: Column, x: Column) -> Column:
-        new = x["s"] >= seen["at"]
-        kept = F.concat(seen["out"], F.substring(text, seen["at"] + 1, x["s"] - seen["at"]), F.lit(mask))
-        return F.struct(
-            F.greatest(seen["at"], x["e"]).alias("at"), F.when(new, kept).otherwise(seen["out"]).alias("out")
+    def filled(parts: Column, ordered: Column) -> Column:
+        def piece(begin: Column, end: Column) -> Column:
+            first = F.floor(begin / CUT).cast("int")
+            touched = F.slice(parts, first + 1, F.floor(end / CUT).cast("int") - first + 1)
+            return F.substring(F.array_join(touched, ""), begin - first * CUT + 1, end - begin)
+
+        # What earlier spans reach; a span that begins before it goes on with the mask of these.
+        reached = running(F.transform(ordered, lambda x: x["e"]), lambda at, end: F.greatest(at, end))
+        pieces = F.zip_with(
+            reached,
+            ordered,
+            lambda at, x: F.when(x["s"] >= at, F.concat(piece(at, x["s"]), F.lit(mask))).otherwise(F.lit("")),
         )
+        last = F.array_max(F.transform(ordered, lambda x: x["e"]))
+        rest = let(last, lambda end: F.substring(text, end + 1, F.length(text)))
+        return F.concat(F.array_join(pieces, ""), rest)
 
-    none = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        spans, none, step, lambda seen: F.concat(seen["out"], F.substring(text, seen["at"] + 1, F.length(text)))
+    parts = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CUT), F.lit(0))
+    return F.when(F.size(spans) == 0, text).otherwise(
+        let(parts, lambda cut: let(spans, lambda ordered: filled(cut, ordered)))
     )
 
 

@@ -129,3 +129,22 @@ def test_parts_within_reach_meet_wherever_they_lie(spark):
     found = rows.join(linked_parts(rows.drop("far"), rules), ["_k1", "_k2"], "left")
     wrong = found.where(f"coalesce(size(linked), 0) != if(far <= {reach}, 2, 0)")
     assert wrong.count() == 0
+
+
+def test_any_number_of_matches_in_one_text(spark):
+    """Positions and masks of 0, 1 and many matches, beyond the slices and parts in which they are taken."""
+    made = [
+        "", "plain", "é" * 700 + " token=abcdefgh12", "token=abcdefgh12 ", "token=abcdefgh12;" * 64, "😀 token=abcdefgh12\n" * 65,
+        "日 " + ("deadbeef" * 4 + " ") * 4097 + "end", ("x" * 255 + " token=abcdefgh12 ") * 300, ("AKIA" + "Z" * 16 + "\n") * 100_000,
+    ]
+    docs = frame(spark, made)
+    for r in spans_of(docs).collect():
+        assert r.base == base_spans(made[r.doc_id])
+    for r in mask_secrets(docs).collect():
+        expected, at = [], 0
+        spans = sorted(tuple(map(int, x.split(":")[1:])) for x in base_spans(made[r.doc_id]).split(",") if x)
+        for s, e in spans:
+            if s >= at:
+                expected += [made[r.doc_id][at:s], "[SECRET]"]
+            at = max(at, e)
+        assert r.text == "".join(expected) + made[r.doc_id][at:]
