@@ -44,7 +44,7 @@ class SecretRules:
 
 
 # Running values are taken over slices of this many elements, and over their totals.
-FAN = 64
+FAN = 256
 # Code points in a part of a text that is cut at spans.
 CUT = 256
 
@@ -53,11 +53,11 @@ def no_spans() -> Column:
     return F.expr(f"cast(array() as {SPANS})")
 
 
-def running(values: Column, merge: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
     """For each of the numbers, all before it merged, 0 for the first.
 
-    A fold that appends to an array copies it for every element, so only short slices are folded:
-    first their totals are run over, then each slice goes on from the total before it.
+    A fold that appends to an array copies it for every element, so only slices are folded: first
+    their totals are run over, then each slice goes on from the total before it.
     """
 
     def fold(part: Column, begin: Column) -> Column:
@@ -70,18 +70,14 @@ def running(values: Column, merge: Callable[[Column, Column], Column], levels: i
         return F.aggregate(part, none, step, lambda seen: seen["out"])
 
     def sliced(own: Column) -> Column:
-        at = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / FAN).cast("int"))
-        return F.transform(at, lambda k: F.slice(own, k * FAN + 1, F.lit(FAN)))
+        last = F.greatest(F.lit(0), F.floor((F.size(own) - 1) / FAN).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(own, k * FAN + 1, F.lit(FAN)))
 
     def joined(slices: Column) -> Column:
         totals = F.transform(slices, lambda part: F.aggregate(part, F.lit(0), merge))
-        return F.flatten(F.zip_with(slices, running(totals, merge, levels - 1), fold))
+        return F.flatten(F.zip_with(slices, fold(totals, F.lit(0)), fold))
 
-    if levels == 1:
-        return fold(values, F.lit(0))
-    return let(
-        values, lambda own: F.when(F.size(own) > FAN, let(sliced(own), joined)).otherwise(fold(own, F.lit(0)))
-    )
+    return let(let(values, sliced), joined)
 
 
 def match_spans(text: Column, pattern: str, group: int = 0, least: int = 0, below: int | None = None) -> Column:

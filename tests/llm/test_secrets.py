@@ -134,7 +134,7 @@ def test_parts_within_reach_meet_wherever_they_lie(spark):
 def test_any_number_of_matches_in_one_text(spark):
     """Positions and masks of 0, 1 and many matches, beyond the slices and parts in which they are taken."""
     made = [
-        "", "plain", "é" * 700 + " token=abcdefgh12", "token=abcdefgh12 ", "token=abcdefgh12;" * 64, "😀 token=abcdefgh12\n" * 65,
+        "", "plain", "é" * 700 + " token=abcdefgh12", "token=abcdefgh12 ", "token=abcdefgh12;" * 256, "😀 token=abcdefgh12\n" * 257,
         "日 " + ("deadbeef" * 4 + " ") * 4097 + "end", ("x" * 255 + " token=abcdefgh12 ") * 300, ("AKIA" + "Z" * 16 + "\n") * 100_000,
     ]
     docs = frame(spark, made)
