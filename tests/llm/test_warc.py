@@ -1,11 +1,11 @@
 import base64
 import hashlib
+import random
 
-import pandas as pd
 import pytest
 
 from standings.llm.common import Stage
-from standings.llm.warc import MAGIC, WarcRules, _chain, read_warc, write_warc
+from standings.llm.warc import MAGIC, WarcRules, follow_chains, read_warc, write_warc
 
 INNER = MAGIC + "WARC-Type: response\r\nWARC-Record-ID: <urn:page:777>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
 PAGES = [
@@ -72,28 +72,73 @@ def test_odd_pages(spark):
     response = "response"
     assert found == [
         ("1", response, "None"), ("1", response, "None"), ("2", "revisit", "1"), ("3", response, "None"),
-        ("None", response, "None"), ("None", response, "None"),
+        ("None", response, "None"), ("None", "revisit", "3"),
     ]
     empty = f"{Stage(spark).path}/none"
     write_warc(pages.limit(0), empty)
     assert read_warc(spark, empty).count() == 0
 
 
-def chain_of(parts, size=None):
-    """Parts: (bytes after the magic, declared length or 0)."""
-    frame = pd.DataFrame(parts, columns=["bytes", "length"])
-    frame["file"], frame["block"], frame["row"] = "f", 0, range(len(frame))
-    frame["file_size"] = size or frame["bytes"].sum() + len(MAGIC) * (len(frame) - 1)
-    return _chain(frame.sample(frac=1, random_state=1))
+def chains(spark, files):
+    """Records as lists of rows, by file and offset. ``files``: name to (parts, file size or None, parts in a block);
+    parts: (bytes after the magic, declared length or 0)."""
+    rows = []
+    for name, (parts, size, each) in files.items():
+        total = sum(n for n, _ in parts) + len(MAGIC) * (len(parts) - 1)
+        rows += [(name, i // each * 7, size or total, i, n, length) for i, (n, length) in enumerate(parts)]
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(rows, "file string, block bigint, file_size bigint, row bigint, bytes bigint, length bigint")
+    found = {name: {} for name in files}
+    for r in sorted(follow_chains(frame, Stage(spark), "t").collect(), key=lambda r: r.part):
+        found[r.file].setdefault(r.offset, []).append((r.row, r.split))
+    for own in found.values():
+        assert all(split == (len(rows) > 1) for rows in own.values() for _, split in rows)
+    return {name: [[i for i, _ in own[k]] for k in sorted(own)] for name, own in found.items()}
 
 
-def test_chain_by_brute_force():
-    m = len(MAGIC)
-    parts = [(0, 0), (50, 50 + m), (10, 90 + 2 * m), (80, 80 + m), (40, 40 + m), (30, 31 + m), (20, 20 + m)]
-    found = chain_of(parts)
+def followed(parts, size=None):
+    """The same by walking from the start of the file."""
+    m, at, offsets = len(MAGIC), -len(MAGIC), []
+    for n, _ in parts:
+        offsets.append(at)
+        at += n + m
+    end, here, out = size or at, 0, []
+    while here in offsets and parts[offsets.index(here)][1] > 0:
+        following = here + parts[offsets.index(here)][1]
+        if following != end and following not in offsets:
+            break
+        out.append([i for i, o in enumerate(offsets) if here <= o < following])
+        here = following
+    return out
+
+
+def test_chains_by_brute_force(spark):
+    m, dice = len(MAGIC), random.Random(4)
+    broken = [(0, 0), (50, 50 + m), (10, 90 + 2 * m), (80, 80 + m), (40, 40 + m), (30, 31 + m), (20, 20 + m)]
+    files = {f"broken-{each}": (broken, None, each) for each in (1, 2, 3, 7)}
+    files |= {"nothing": ([(0, 0)], None, 9), "no-start": ([(5, 0), (50, 50 + m)], None, 1)}
+    files |= {f"long-{each}": ([(0, 0)] + [(10, 10 + m)] * 300, None, each) for each in (1, 7, 1000)}
+    files["cut-at-magic"] = ([(0, 0), (10, 10 + m)], 10 + 2 * m, 1)
+    for k in range(40):
+        sizes = [dice.choice((0, 3, 8)) for _ in range(30)]
+        parts = [(0, 0)]
+        for i, n in enumerate(sizes):
+            covered = dice.choice((1, 1, 1, 2, 5, 12))
+            length = sum(x + m for x in sizes[i : i + covered])
+            parts.append((n, dice.choice((length,) * 12 + (0, length + 1))))
+        files[f"random-{k}"] = (parts, None, dice.choice((1, 2, 4, 50)))
+    found = chains(spark, files)
     # The fifth declares a length that ends inside the sixth: what follows it is not reached.
-    assert found.groupby("offset", sort=True)["row"].apply(list).tolist() == [[1], [2, 3], [4]]
-    assert chain_of([(0, 0)]).empty and chain_of([(5, 0), (50, 50 + m)]).empty
-    assert len(chain_of([(0, 0)] + [(10, 10 + m)] * 1000)) == 1000
-    with pytest.raises(ValueError):
-        chain_of(parts, size=7)
+    assert found["broken-1"] == [[1], [2, 3], [4]] and len(found["long-1"]) == 300
+    assert found == {name: followed(parts, size) for name, (parts, size, _) in files.items()}
+    assert any(len(own) > 5 for name, own in found.items() if name.startswith("random"))
+    with pytest.raises(Exception, match="do not make up the file"):
+        chains(spark, {"short": (broken, 7, 3)})
+
+
+def test_headers(spark):
+    path = f"{Stage(spark).path}/headers"
+    write_warc(spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], SCHEMA), path)
+    text = "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    assert text.count("\r\nWARC-Date: 20") == 2 and text.count("Z\r\n") >= 2
+    assert text.count("WARC-Profile: ") == 1 and text.count("WARC-Type: revisit") == 1
