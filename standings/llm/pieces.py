@@ -42,7 +42,7 @@ LAST = (1 << 24) - 1
 
 @dataclass(frozen=True)
 class PieceModel:
-    """Under 65,536 pieces. The pieces of a model file: id, rank by score (best first) and text; bytes stand for the rest."""
+    """At most 65,536 pieces, which `load` checks. The pieces of a model file: id, rank by score (best first) and text; bytes stand for the rest."""
 
     table: list[tuple[int, int, str]]
     first_byte: int
@@ -53,6 +53,8 @@ class PieceModel:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
+        if model.get_piece_size() > 1 << 16:
+            raise ValueError(f"{path} has {model.get_piece_size()} pieces; ids travel as two bytes")
         plain = [
             i
             for i in range(model.get_piece_size())
