@@ -1,9 +1,9 @@
 """I-Match fingerprints: hashes of the terms in an inverse-document-frequency band.
 
-A term's document frequency is counted over all documents in hashed slots, so the table of
-frequencies has a fixed size whatever the vocabulary. The lexicon is the band of slots whose
-idf is neither that of words everyone uses nor that of a chance string. A document's terms in the
-lexicon, distinct and sorted, are dealt to random subsets of the lexicon, and each subset's terms
+A term's document frequency is counted over all documents, by its 64-bit hash. The lexicon is the
+band of terms whose idf is neither that of words everyone uses nor that of a chance string. It is
+kept as a bitmap of fixed size, whatever the vocabulary: a bit is set where a term of the band
+falls. A document's terms in the lexicon, distinct and sorted, are dealt to random subsets of the lexicon, and each subset's terms
 are hashed. A subset keeps its hash until an edit touches one of its few terms.
 """
 
@@ -19,16 +19,21 @@ from standings.llm.common import Stage, let, listed, whole, words
 
 @dataclass(frozen=True)
 class IMatchRules:
-    """``2 ** slot_bits`` frequency slots, the band in nats, and how terms meet subsets.
+    """A bitmap of ``2 ** slot_bits``, the band in nats, and how terms meet subsets.
+
+    A term of the band is in ``least_docs`` documents at least, which is the upper edge while
+    ``most_idf`` asks for less. A term outside the band that shares its bit with one inside counts
+    as inside.
 
     The lexicon is cut into ``2 ** level`` random subsets and the first ``subsets`` are hashed.
     The level follows the number of terms, so that a subset holds about ``terms_each`` of them.
     With ``cover`` the terms of all other subsets are hashed together as one more.
     """
 
-    slot_bits: int = 18
+    slot_bits: int = 22
     least_idf: float = 2.0
     most_idf: float = 12.0
+    least_docs: int = 2
     subsets: int = 16
     terms_each: int = 2
     cover: bool = False
@@ -46,15 +51,14 @@ def slot_of(term: Column, rules: IMatchRules) -> Column:
 def lexicon(texts: DataFrame, rules: IMatchRules) -> list[int]:
     """The band as a bitmap of ``2 ** slot_bits`` bits in 64-bit words: fixed in size.
 
-    Frequencies cover all texts; a task shuffles one row for each slot at most.
+    Frequencies cover all texts, each text's terms once; a task shuffles one row for each of its
+    different terms at most. Repeated rows count as often as they occur; without texts no bit is set.
     """
     n = F.lit(texts.count()).cast("double")
-    slots = texts.select(
-        F.explode(F.array_distinct(F.transform(term_hashes(F.col("text")), lambda t: slot_of(t, rules)))).alias("slot")
-    )
-    idf = F.ln(n / F.count(F.lit(1)))
-    band = slots.groupBy("slot").agg(idf.alias("idf")).where(F.col("idf").between(rules.least_idf, rules.most_idf))
-    packed = band.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+    counts = texts.select(F.explode(term_hashes(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    band = counts.where((F.col("docs") >= rules.least_docs) & F.ln(n / F.col("docs")).between(rules.least_idf, rules.most_idf))
+    slots = band.select(slot_of(F.col("term"), rules).alias("slot"))
+    packed = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")
     )
     words_ = dict(packed.collect())
@@ -66,7 +70,8 @@ def fingerprint(text: Column, bitmap: list[int], rules: IMatchRules) -> Column:
 
     A subset without terms has an empty hash. With ``rules.cover`` the last hash of a level is that
     of the terms in none of the others, so every term chosen is in the fingerprint. A text without terms in the band uses all its
-    terms; a text without words has the fingerprint ``-``.
+    terms; a text without words, null or empty, has the fingerprint ``-``. Equal texts have equal
+    fingerprints, in repeated rows too.
     """
     table = listed(bitmap)
 

@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -28,11 +29,11 @@ def plain_print(text, bitmap, rules):
     level = max((rules.subsets - 1).bit_length(), math.floor(math.log2(max(len(kept) / rules.terms_each, 1))))
     out = []
     for at in (level, level + 1):
-        subsets = [[] for _ in range(rules.subsets)]
+        subsets = [[] for _ in range(rules.subsets + rules.cover)]
         for t in sorted(kept, key=signed):
             k = xxhash.xxh64_intdigest(t.to_bytes(8, "little"), 42) % (1 << at)
-            if k < rules.subsets:
-                subsets[k].append(t)
+            if k < rules.subsets or rules.cover:
+                subsets[min(k, rules.subsets)].append(t)
         hashes = []
         for own in subsets:
             h = 42
@@ -43,23 +44,47 @@ def plain_print(text, bitmap, rules):
     return "|".join(out)
 
 
-def test_lexicon_and_prints_match_brute_force(spark, documents):
-    rules = IMatchRules(slot_bits=12, least_idf=1.0, most_idf=4.0)
-    rows = documents.collect()
+def plain_lexicon(rows, rules):
     frequency = Counter()
     for r in rows:
-        frequency.update({t >> 52 for t in terms(r.text)})
-    bitmap = [0] * 64
-    for slot, n in frequency.items():
-        if 1.0 <= math.log(len(rows) / n) <= 4.0:
+        frequency.update(terms(r.text))
+    bitmap = [0] * (1 << (rules.slot_bits - 6))
+    for t, n in frequency.items():
+        if n >= rules.least_docs and rules.least_idf <= math.log(len(rows) / n) <= rules.most_idf:
+            slot = t >> (64 - rules.slot_bits)
             bitmap[slot >> 6] |= 1 << (slot & 63)
+    return bitmap, frequency
+
+
+@pytest.mark.parametrize("rules", [IMatchRules(slot_bits=12, least_idf=1.0, most_idf=4.0), IMatchRules(cover=True)])
+def test_lexicon_and_prints_match_brute_force(spark, documents, rules):
+    """Also with the rules of the query."""
+    rows = documents.collect()
+    bitmap, _ = plain_lexicon(rows, rules)
     found = lexicon(documents, rules)
-    assert [x & ((1 << 64) - 1) for x in found] == bitmap
+    assert [x & ((1 << 64) - 1) for x in found] == bitmap and any(bitmap)
     prints = documents.select("text", fingerprint(F.col("text"), found, rules).alias("p")).collect()
     for r in prints:
         assert r.p == plain_print(r.text, bitmap, rules)
 
 
+def test_both_edges_of_the_band_act(spark):
+    """Under the query's rules common words go and so do nearly all terms of one document only."""
+    rules = IMatchRules(cover=True)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("text").collect()
+    bitmap, frequency = plain_lexicon(rows, rules)
+    assert [x & ((1 << 64) - 1) for x in lexicon(docs, rules)] == bitmap
+
+    def share(own):
+        slots = [t >> (64 - rules.slot_bits) for t in own]
+        return sum(bitmap[x >> 6] >> (x & 63) & 1 for x in slots) / len(slots)
+
+    assert share([t for t, n in frequency.items() if n == 1]) < 0.02
+    assert share([t for t, n in frequency.items() if n > len(rows) / 7]) < 0.02
+    assert share([t for t, n in frequency.items() if 2 <= n < len(rows) / 8]) == 1
+
+
 def test_near_and_far(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rules, stage = IMatchRules(), Stage(spark)
