@@ -5,14 +5,18 @@ from pyspark.sql import functions as F
 
 from standings.llm.common import Stage
 from standings.llm.langid import (
+    UNIT,
     LanguageModels,
     LanguageRules,
     SortedHashes,
+    SpreadModels,
     char_table,
+    counted,
     fold,
     gram_blocks,
     identify,
     keep_identified,
+    listed_models,
     streams,
     train,
 )
@@ -151,3 +155,49 @@ def test_the_mass_of_bounded_grams_goes_to_the_lower_order(spark):
         letters = [*sorted(set("abracd ")), "\uffff"]
         codes = np.array([int("".join(f"{ord(c):04x}" for c in context + x), 16) for x in letters], np.uint64)
         assert np.exp(models.score(codes).astype(float)).sum(axis=0) == pytest.approx(np.ones(2), abs=1e-4)
+
+
+def answers(docs, labelled, **rules):
+    found = identify(docs, labelled, LanguageRules(calibration_share=4, **rules))
+    rows = found.select("_row.doc_id", "_row.text", "lang_pred", "score", "cross_entropy", "accepted").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_grams_beyond_the_entries_count_as_much(spark):
+    # Common words are the same in both languages; only words that occur once or twice tell them apart.
+    rare = {"a": "jazz quiz fjord", "b": "whelk nymph gypsum"}
+    rows = [(10 * i + k, "common words of both " * 20 + (rare[x] if i % 8 < 2 else ""), x) for i in range(40) for k, x in enumerate("ab")]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    texts = ["jazz quiz", "whelk nymph", "common quiz", "nymph of gypsum", "words unheard of: \u00fcber \U0001d518", "", None, "12", "jazz quiz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    whole = answers(docs, labelled)
+    assert [r[2] for r in whole[:4]] == ["a", "b", "a", "b"]
+    for entries in (0, 8, 40):
+        found = answers(docs, labelled, max_entries=entries)
+        assert [(r[0], r[2], r[5]) for r in found] == [(r[0], r[2], r[5]) for r in whole]
+        for ours, theirs in zip(found, whole):
+            assert ours[3] == pytest.approx(theirs[3], abs=1e-4) and ours[4] == pytest.approx(theirs[4], abs=1e-4)
+        assert found[0][2:] == found[8][2:]
+
+
+def test_spread_models_hold_every_gram(spark, documents):
+    rules, stage = LanguageRules(max_entries=500), Stage(spark)
+    labelled = documents.where("lang is not null").limit(60)
+    counts = counted(labelled, rules, stage)
+    spread, listed = SpreadModels(counts, rules, stage), listed_models(counts, LanguageRules())
+    assert 0 < len(spread.frequent[0]) <= 2000 // len(spread.languages) < spread.grams[4].count()
+    probe = np.unique(np.concatenate([grams(t.text) for t in labelled.limit(5).collect()] + [grams("qqzx vjwx \u00fc\u65e5 the")]))
+    codes = spark.createDataFrame(pd.DataFrame({"code": probe.view(np.int64)}))
+    found = {r.code: r.units for r in spread.scores(codes).collect()}
+    assert len(found) == len(probe)
+    exact = np.array([found[c] for c in probe.view(np.int64).tolist()]) / UNIT
+    assert exact == pytest.approx(listed.score(probe), abs=1e-5)
+
+
+def test_odd_rows_with_spread_models(spark, odd_docs, no_docs, clashing_docs, documents):
+    rules = LanguageRules(max_entries=100)
+    whole = identify(odd_docs, documents).select("_row", "lang_pred", "accepted")
+    found = identify(odd_docs, documents, rules).select("_row", "lang_pred", "accepted")
+    assert found.exceptAll(whole).count() == whole.exceptAll(found).count() == 0
+    assert identify(no_docs, documents, rules).count() == 0
+    assert keep_identified(clashing_docs, documents, rules).columns == clashing_docs.columns
