@@ -1,15 +1,17 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 White space becomes ``▁`` and a text is cut before every run of it: no piece crosses such a cut.
-Each different word is encoded once. Its substrings up to the longest piece are exploded and
-joined to the piece table on equality; the edges found are grouped by word, and a higher-order
+Nor does one cross two neighbouring characters that no piece of the model holds side by side, so
+words are cut there again, into segments. Each different segment is encoded once. Its substrings up to the longest piece are exploded and
+joined to the piece table on equality; the edges found are grouped by segment, and a higher-order
 ``aggregate`` folds them into a segmentation. The model at hand is a BPE model, whose result is
 not the path of best total score: the fold goes through the edges from the best score down and
 joins the two neighbours that an edge spans, as the model's merges do. The state is a bitmap of
 the cuts still open.
 
-Documents travel as blocks: a dictionary of words and a code for each word of the text. The
-dictionary goes out by word and comes back as ids; text is never shuffled.
+Documents travel as blocks: a code for each word of the text, codes of segments for each different
+word, and a dictionary of segments, which goes out by segment and comes back as ids; text is never
+shuffled.
 """
 
 from __future__ import annotations
@@ -29,14 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standings.llm.common import tidy
+from standings.llm.common import give_back, tidy
 
 SPACE = "▁"
-# Longest word whose cuts fit the bitmap, words in a block, and rows given to Spark at a time.
-BITMAP_CHARS, BLOCK_WORDS, ROWS_AT_ONCE = 60, 4_000_000, 50_000
+# Longest segment whose cuts fit the bitmap, words and characters in a block, and rows given to Spark at a time.
+BITMAP_CHARS, BLOCK_WORDS, BLOCK_CHARS, ROWS_AT_ONCE = 60, 4_000_000, 32_000_000, 50_000
 BLOCKS = "block bigint, pos int, word string, payload binary"
 ENCODED = "doc_id bigint, ids binary"
-# A place is a block's number and, in its lowest 24 bits, a word's; the last one is that of the codes.
+# A place is a block's number and, in its lowest 24 bits, a segment's; the last one is that of the codes.
 LAST = (1 << 24) - 1
 
 
@@ -68,6 +70,17 @@ class PieceModel:
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.table, "id int, rank int, piece string")
 
+    def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each character, 0 if no piece joins it to another, and which numbers stand side by side in a piece."""
+        pairs = {p[i : i + 2] for _, _, p in self.table for i in range(len(p) - 1)}
+        number = np.zeros(0x110000, np.uint16)
+        chars = sorted(set("".join(pairs)))
+        number[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        beside = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for a, b in pairs:
+            beside[number[ord(a)], number[ord(b)]] = True
+        return number, beside
+
     def piece_bytes(self) -> dict[int, bytes]:
         known = {i: p.encode() for i, _, p in self.table}
         return known | {self.first_byte + b: bytes([b]) for b in range(256)}
@@ -76,7 +89,7 @@ class PieceModel:
 def merge_word(word: str, pieces: dict[str, tuple[int, int]], first_byte: int) -> list[int]:
     """One word's ids by the merges themselves: best rank first, then leftmost.
 
-    For words that the bitmap cannot hold, or that begin with three spaces or more, whose pieces
+    For segments that the bitmap cannot hold, or that begin with three spaces or more, whose pieces
     share one score. ``pieces`` gives (rank, id).
     """
     n = len(word)
@@ -113,21 +126,20 @@ def merge_word(word: str, pieces: dict[str, tuple[int, int]], first_byte: int) -
 def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     """(word, ids) for the distinct rows of ``words`` (word, key), key a number of the word's own.
 
-    ``word`` lacks the ``▁`` that it begins with, and is not odd (`is_odd`). If rows are dealt out by
+    ``word`` is a segment, not empty, and not odd (`are_odd`). If rows are dealt out by
     word, grouping needs no shuffle. The piece table is as small as the model's vocabulary and is
     broadcast.
     """
     table = F.broadcast(model.frame(words.sparkSession))
-    starts = words.select("key", "word", F.explode(F.expr("sequence(0L, length(word))")).alias("s"))
-    reach = F.expr(f"sequence(1L, least({model.longest}, length(word) + 1 - s))")
+    starts = words.select("key", "word", F.explode(F.expr("sequence(0L, length(word) - 1L)")).alias("s"))
+    reach = F.expr(f"sequence(1L, least({model.longest}, length(word) - s))")
     spans = starts.select("key", "word", "s", F.explode(reach).alias("size"))
-    text = f"concat('{SPACE}', word)"
     # An edge is one number: rank, start and end (six bits each), id plus one, 0 for a lone character.
     edge = F.expr(
         "shiftleft(cast(coalesce(rank, 0) as bigint), 32) | shiftleft(s, 26) | shiftleft(s + size, 20) | (coalesce(id, -1) + 1)"
     )
     edges = (
-        spans.join(table, F.expr(f"substring({text}, cast(s + 1 as int), cast(size as int))") == F.col("piece"), "left")
+        spans.join(table, F.expr("substring(word, cast(s + 1 as int), cast(size as int))") == F.col("piece"), "left")
         .where("id is not null or size = 1")
         .select("key", "word", edge.alias("edge"))
     )
@@ -135,7 +147,7 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     start, end = "cast(shiftright(x, 26) & 63 as int)", "cast(shiftright(x, 20) & 63 as int)"
     inner = f"(shiftleft(1L, {end} - {start} - 1) - 1)"
     # The cuts are bound as a lambda's variable: a column could be pulled into the inner lambdas.
-    open_cuts = f"""aggregate(edges, shiftleft(1L, length(word) + 2) - 1, (open, x) ->
+    open_cuts = f"""aggregate(edges, shiftleft(1L, length(word) + 1) - 1, (open, x) ->
         case when {end} - {start} > 1
               and (shiftright(open, {start}) & 1) = 1 and (shiftright(open, {end}) & 1) = 1
               and bit_count(shiftright(open, {start} + 1) & {inner}) = 1
@@ -145,7 +157,7 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
         filter(edges, x -> (shiftright(open, {start}) & (shiftleft(1L, {end} - {start} + 1) - 1))
                            = shiftleft(1L, {end} - {start}) + 1),
         x -> shiftleft(shiftright(x, 26) & 63, 20) | (x & 1048575))))[0]"""
-    letter = f"substring({text}, cast(shiftright(x, 20) as int) + 1, 1)"
+    letter = "substring(word, cast(shiftright(x, 20) as int) + 1, 1)"
     spelled = f"""transform(sequence(1, octet_length({letter})), k -> {model.first_byte}
         + cast(conv(substring(hex(encode({letter}, 'UTF-8')), 2 * k - 1, 2), 16, 10) as int))"""
     ids = f"""flatten(transform({path}, x ->
@@ -153,49 +165,102 @@ def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
     return lattice.select("word", F.expr(ids).alias("ids"))
 
 
-def is_odd(word: str) -> bool:
-    """Words that the bitmap cannot hold, and runs of spaces, whose pieces share one score."""
-    return len(word) > BITMAP_CHARS or word.startswith(SPACE * 3)
+def are_odd(segments: pa.Array) -> np.ndarray:
+    """Whether the bitmap cannot hold a segment, or it begins with a run of spaces, whose pieces share one score."""
+    wide = pc.or_(pc.greater(pc.utf8_length(segments), BITMAP_CHARS), pc.starts_with(segments, SPACE * 3))
+    return wide.to_numpy(zero_copy_only=False)
+
+
+def cut_words(words: pa.Array, neighbours: tuple[np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    """The segments of all words, one after the other, and how many each word has."""
+    text = "".join(words.to_pylist())
+    chars = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    number, beside = neighbours
+    numbers = number[chars]
+    last = np.append(~beside[numbers[:-1], numbers[1:]], True)
+    ends = np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False))
+    last[ends - 1] = True
+    width = 1 + (chars >= 0x80).astype(np.int8) + (chars >= 0x800) + (chars >= 0x10000)
+    offsets = np.append(0, np.cumsum(width, dtype=np.int64)[last])
+    segments = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(text.encode()))
+    return segments, np.diff(np.append(0, np.cumsum(last)[ends - 1]))
 
 
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
+def cut_single(texts: pa.Array) -> pa.Array:
+    """The words of texts, less the ``▁`` that each begins with; only one space stands between two words."""
+    return pc.split_pattern(texts, " ").cast(pa.large_list(pa.large_string()))
+
+
+def cut_runs(texts: pa.Array) -> pa.Array:
+    """As `cut_single`, for any text: a word begins with its run of spaces; an empty text has none."""
+    marked = [SPACE + t.replace(" ", SPACE) if t else t for t in texts.to_pylist()]
+    return pa.array([[w[1:] for w in WORD.findall(t)] for t in marked], pa.large_list(pa.large_string()))
+
+
+def unified(parts: list[pa.DictionaryArray]) -> tuple[pa.Array, np.ndarray]:
+    """One dictionary for all parts, and the codes of all."""
+    same = pa.chunked_array(parts).unify_dictionaries()
+    return same.chunk(0).dictionary, np.concatenate([x.indices.to_numpy(zero_copy_only=False) for x in same.chunks])
+
+
+def to_planes(codes: np.ndarray) -> bytes:
+    """Planes of bytes compress better than whole codes."""
+    return np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
+
+
 def _make_blocks(model: PieceModel):
-    """Blocks of documents: a row with their codes, then a row for each word of the dictionary.
+    """Blocks of documents: a row with their codes, then a row for each segment of the dictionary.
 
-    Odd words are rare: their ids are made here and stay with the codes.
+    Odd segments are rare: their ids are made here and stay with the codes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _blocks_of(batches, {p: (rank, i) for i, rank, p in model.table}, model.first_byte)
+        yield from _blocks_of(batches, {p: (rank, i) for i, rank, p in model.table}, model.first_byte, model.neighbours())
+        give_back()
 
     return run
 
 
-def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) -> Iterator[pa.RecordBatch]:
+def _blocks_of(
+    batches, pieces: dict[str, tuple[int, int]], first_byte: int, neighbours: tuple[np.ndarray, np.ndarray]
+) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3)
     block = TaskContext.get().partitionId() << 20
     lead, none_between = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
-    names, lists, held = [], [], 0
+    names, lists, held, chars = [], [], 0, 0
     schema = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("word", pa.string()), ("payload", pa.binary())])
 
     def close():
         nonlocal block
-        counts = np.concatenate([pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in lists])
-        flat = pa.chunked_array([pc.list_flatten(x) for x in lists]).combine_chunks().dictionary_encode()
-        words, codes = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False).astype("<i4")
-        # Planes of bytes compress better than whole codes.
-        planes = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()
-        wide = pc.or_(pc.greater(pc.utf8_length(words), BITMAP_CHARS), pc.starts_with(words, SPACE * 3))
-        odd = np.flatnonzero(wide.to_numpy(zero_copy_only=False))
-        plain = np.flatnonzero(~wide.to_numpy(zero_copy_only=False)).astype(np.int32)
-        odd_ids = [np.array(merge_word(w, pieces, first_byte), "<u2").tobytes() for w in words.take(odd).to_pylist()]
+        counts = np.concatenate([n for n, _ in lists])
+        words, codes = unified([x for _, x in lists])
+        lists.clear()
+        words, codes = pc.binary_join_element_wise(lead, words, none_between), to_planes(codes)
+        parts, many = [], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), ROWS_AT_ONCE):
+            cut, n = cut_words(words.slice(at, ROWS_AT_ONCE), neighbours)
+            parts.append(cut.dictionary_encode())
+            many.append(n)
+        del words
+        segments, spelled = unified(parts or [pa.array([], pa.large_string()).dictionary_encode()])
+        many, spelled = to_planes(np.concatenate(many)), to_planes(spelled)
+        del parts
+        give_back()
+        wide = are_odd(segments)
+        odd, plain = np.flatnonzero(wide), np.flatnonzero(~wide).astype(np.int32)
+        odd_ids = [np.array(merge_word(w, pieces, first_byte), "<u2").tobytes() for w in segments.take(odd).to_pylist()]
         check = 0
         for at in range(0, len(plain), ROWS_AT_ONCE):
-            own = words.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
-            check += sum(zlib.crc32(w[1:].encode()) & 0xFF for w in own)
-        head = names[:], counts.astype(np.int64), planes, odd, odd_ids, len(plain), check
+            own = segments.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
+            check += sum(zlib.crc32(w.encode()) & 0xFF for w in own)
+        head = names[:], counts.astype(np.int64), codes, many, spelled, odd, odd_ids, len(plain), check
         payload = press.compress(pickle.dumps(head))
         yield pa.RecordBatch.from_pydict({"block": [block], "pos": [-1], "word": [None], "payload": [payload]}, schema=schema)
         for at in range(0, len(plain), ROWS_AT_ONCE):
@@ -204,67 +269,72 @@ def _blocks_of(batches, pieces: dict[str, tuple[int, int]], first_byte: int) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(n, block)), pa.array(place),
-                    pc.utf8_slice_codeunits(words.take(place), 1).cast(pa.string()), pa.nulls(n, pa.binary()),
+                    segments.take(place).cast(pa.string()), pa.nulls(n, pa.binary()),
                 ],
                 schema=schema,
             )
         block += 1
         names.clear()
-        lists.clear()
 
     for batch in tidy(batches):
         for at in range(0, len(batch), 1_000):
             part = batch.slice(at, 1_000)
             text = pc.fill_null(part.column("text"), "").cast(pa.large_string())
-            # Every word of the escaped text starts with its run of spaces.
-            marked = pc.if_else(
-                pc.equal(text, ""), text, pc.binary_join_element_wise(lead, pc.replace_substring(text, " ", SPACE), none_between)
-            )
-            cut = pc.replace_substring_regex(marked, f"([^{SPACE}])({SPACE})", "\\1\0\\2")
-            if pc.any(pc.match_substring(text, "\0")).as_py():
-                words = pa.array([WORD.findall(t) for t in marked.to_pylist()], pa.large_list(pa.large_string()))
-            else:
-                words = pc.split_pattern(cut, "\0").cast(pa.large_list(pa.large_string()))
-                empty = pc.equal(marked, "")
-                if pc.any(empty).as_py():
-                    words = pa.array([[] if e else w for w, e in zip(words.to_pylist(), empty.to_pylist())], words.type)
-            names.extend(part.column("doc_id").to_pylist())
-            lists.append(words)
-            held += len(pc.list_flatten(words))
-            if held >= BLOCK_WORDS:
+            chars += pc.sum(pc.utf8_length(text)).as_py()
+            runs = pc.or_(pc.match_substring(text, "  "), pc.starts_with(text, " "))
+            runs = pc.or_(runs, pc.or_(pc.match_substring(text, SPACE), pc.equal(text, "")))
+            for mask, cut in ((pc.invert(runs), cut_single), (runs, cut_runs)):
+                own = text.filter(mask)
+                if len(own):
+                    names.extend(part.column("doc_id").filter(mask).to_pylist())
+                    own = cut(own)
+                    # Parts are held as dictionaries and codes, which take less than their words.
+                    lists.append((pc.list_value_length(own).to_numpy(zero_copy_only=False), own.values.dictionary_encode()))
+                    held += len(own.values)
+            if held >= BLOCK_WORDS or chars >= BLOCK_CHARS:
                 yield from close()
-                held = 0
+                held, chars = 0, 0
+        batch = part = text = runs = mask = own = None
     if names:
         yield from close()
 
 
+def gathered(table: np.ndarray, start: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``table`` that ``codes`` stand for, one after the other, and their bounds."""
+    many = size[codes]
+    bounds = np.concatenate(([0], np.cumsum(many)))
+    place = np.repeat((start[codes] - bounds[:-1]).astype(np.int32), many)
+    place += np.arange(bounds[-1], dtype=np.int32)
+    return table[place], bounds
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of block and place: a block's codes, then the ids of its dictionary.
 
-    The last byte of a word's payload is of its checksum: the words must be those that the codes
-    stand for.
+    The last byte of a segment's payload is of its checksum: the segments must be those that the
+    codes stand for.
     """
     expand = zstandard.ZstdDecompressor()
     block, head, places, payloads = None, None, [], []
 
     def close():
-        names, counts, planes, odd, odd_ids, n_plain, check = pickle.loads(expand.decompress(head))
+        names, counts, codes, many, spelled, odd, odd_ids, n_plain, check = pickle.loads(expand.decompress(head))
         found = sum(p[-1] for p in payloads)
         if len(payloads) != n_plain or found != check:
             raise ValueError(f"the words of block {block} are not those that its codes stand for")
         every = odd_ids + [p[:-1] for p in payloads]
         order = np.argsort(np.concatenate([np.asarray(odd, np.int64), *places]))
         sizes = np.array([len(i) for i in every], np.int64)[order] // 2
-        table = np.frombuffer(b"".join([every[k] for k in order.tolist()]), "<u2").astype("<u4")
-        start = np.cumsum(sizes) - sizes
-        codes = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
+        table = np.frombuffer(b"".join([every[k] for k in order.tolist()]), "<u2")
+        # From the ids of segments to those of words.
+        table, bounds = gathered(table, np.cumsum(sizes) - sizes, sizes, from_planes(spelled))
+        bounds = bounds[np.concatenate(([0], np.cumsum(from_planes(many))))]
+        start, sizes, codes = bounds[:-1], np.diff(bounds), from_planes(codes)
         ends = np.concatenate(([0], np.cumsum(counts)))
         for at in range(0, len(names), 500):
             stop = min(at + 500, len(names))
-            own = codes[ends[at] : ends[stop]]
-            many = sizes[own]
-            until = np.concatenate(([0], np.cumsum(many)))
-            out = table[np.repeat(start[own] - until[:-1], many) + np.arange(until[-1])]
+            out, until = gathered(table, start, sizes, codes[ends[at] : ends[stop]])
+            out = out.astype("<u4")
             edge = until[ends[at : stop + 1] - ends[at]]
             texts = [out[a:b].tobytes() for a, b in zip(edge, edge[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -286,19 +356,21 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             payloads += batch.column("payload").slice(a, b - a).to_pylist()
     if head is not None:
         yield from close()
+    places, payloads = [], []
+    give_back()
 
 
 def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     """(doc_id, ids) for each row: the library's ids, as little-endian 32-bit numbers.
 
     Null and empty texts have none. Repeated rows are encoded alike. Other columns are not read.
-    Two shuffles: dictionary words by word, once for both the lattice and the way back; ids with the
-    blocks' codes by block. A frequent word is one row of each block's dictionary.
+    Two shuffles: segments by their text, once for both the lattice and the way back; ids with the
+    blocks' codes by block. A frequent segment is one row of each block's dictionary.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = texts.mapInArrow(_make_blocks(model), BLOCKS)
     place = F.shiftleft("block", 24).bitwiseOR(F.col("pos").cast("bigint"))
-    # A word's rows grow about twentyfold in the lattice, so it gets smaller partitions than others.
+    # A segment's rows grow about twentyfold in the lattice, so it gets smaller partitions than others.
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = blocks.where("pos >= 0 and word is not null").select("word", place.alias("place")).repartition(parts, "word")
     words = entries.groupBy("word").agg(F.min("place").alias("key"))
@@ -324,11 +396,16 @@ def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     known = model.piece_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = [known.get(i, b"") for i in range(max(known) + 1)]
+        size = np.array([len(p) for p in pieces], np.int64)
+        table, start = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
         for batch in tidy(batches):
             texts = []
-            for ids in batch.column("ids").to_pylist():
-                raw = b"".join([known[i] for i in np.frombuffer(ids, "<i4").tolist()])
-                texts.append(raw.decode("utf-8", "replace").replace(SPACE, " ")[1:])
+            for at in range(0, len(batch), 500):
+                own = batch.column("ids").slice(at, 500).to_pylist()
+                raw, bounds = gathered(table, start, size, np.frombuffer(b"".join(own), "<i4"))
+                raw, edge = raw.tobytes(), bounds[np.cumsum([0] + [len(ids) // 4 for ids in own])].tolist()
+                texts += [raw[a:b].decode("utf-8", "replace").replace(SPACE, " ")[1:] for a, b in zip(edge, edge[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
             )

@@ -1,9 +1,11 @@
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 
-from standings.llm.pieces import PieceModel, decode, encode, merge_word
+from standings.llm import pieces
+from standings.llm.pieces import PieceModel, cut_words, decode, encode, merge_word
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -42,3 +44,32 @@ def test_merges_alone(model):
     pieces = {p: (rank, i) for i, rank, p in model.table}
     for word in ("internationalization", "aaaaaaaaaaaaaaaaaaaaa", "Straßenbahn", "q😀q", "     x", "12345678901"):
         assert merge_word("▁" + word.replace(" ", "▁"), pieces, model.first_byte) == library.encode(word)
+
+
+def test_words_are_cut_where_no_piece_crosses(model):
+    words = ["▁the", "▁end.\nThe,", "▁▁▁▁x", "▁", "▁日本\0é😀###"]
+    segments, many = cut_words(pa.array(words, pa.large_string()), model.neighbours())
+    cut = [segments.to_pylist()[e - n : e] for e, n in zip(np.cumsum(many), many)]
+    assert ["".join(c) for c in cut] == words and all(map(all, cut))
+    assert cut[0] == ["▁the"] and cut[1] == ["▁end", ".", "\n", "The", ","] and cut[3] == ["▁"]
+    inside = {p[i : i + 2] for _, _, p in model.table for i in range(len(p) - 1)}
+    assert not any(a[-1] + b[0] in inside for c in cut for a, b in zip(c, c[1:]))
+
+
+def test_words_of_one_stem_share_its_segment(spark, model, monkeypatch):
+    # Marks and line ends make a word of its own each, but no segment of its own.
+    docs = spark.createDataFrame([(i, "strange" + "." * (i % 9) + "\n" * (i % 7) + "stranger") for i in range(63)], "doc_id bigint, text string")
+    asked = []
+    words_of = pieces.encode_words
+    monkeypatch.setattr(pieces, "encode_words", lambda words, model: asked.append(words) or words_of(words, model))
+    check(docs, model)
+    assert 0 < asked[0].count() < 30
+
+
+def test_blocks_close_by_characters(spark, model, documents, monkeypatch):
+    monkeypatch.setattr("standings.llm.pieces.BLOCK_CHARS", 3000)
+    check(documents.select("doc_id", "text").limit(12), model)
+
+
+def test_a_block_without_a_word(spark, model):
+    check(spark.createDataFrame([(1, ""), (2, None), (None, "")], "doc_id bigint, text string").coalesce(1), model)
