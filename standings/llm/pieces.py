@@ -36,8 +36,10 @@ from standings.llm.common import give_back, tidy
 SPACE = "▁"
 # Longest segment whose cuts fit the bitmap, words and characters in a block, and rows given to Spark at a time.
 BITMAP_CHARS, BLOCK_WORDS, BLOCK_CHARS, ROWS_AT_ONCE = 60, 4_000_000, 32_000_000, 50_000
-BLOCKS = "block bigint, pos int, word string, payload binary"
-ENCODED = "doc_id bigint, ids binary"
+# Documents that leave a Python worker at a time.
+DOCS_AT_ONCE = 500
+SEGMENTS, HEADS = "block bigint, pos int, word string", "block bigint, payload binary"
+ENCODED, DECODED = "doc_id bigint, ids binary", "doc_id bigint, ids binary, text string"
 # A place is a block's number and, in its lowest 24 bits, a segment's; the last one is that of the codes.
 LAST = (1 << 24) - 1
 
@@ -201,80 +203,83 @@ def cut_runs(texts: pa.Array) -> pa.Array:
 
 
 def unified(parts: list[pa.DictionaryArray]) -> tuple[pa.Array, np.ndarray]:
-    """One dictionary for all parts, and the codes of all."""
+    """One dictionary for all parts, and the codes of all; the list is emptied, so that its parts can go."""
     same = pa.chunked_array(parts).unify_dictionaries()
+    parts.clear()
     return same.chunk(0).dictionary, np.concatenate([x.indices.to_numpy(zero_copy_only=False) for x in same.chunks])
 
 
-def to_planes(codes: np.ndarray) -> bytes:
+def to_planes(codes: np.ndarray) -> np.ndarray:
     """Planes of bytes compress better than whole codes."""
-    return np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return np.ascontiguousarray(codes.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4).T).reshape(-1)
 
 
 def from_planes(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
 
 
-def _make_blocks(model: PieceModel):
-    """Blocks of documents: a row with their codes, then a row for each segment of the dictionary.
+def _make_blocks(model: PieceModel, heads: bool):
+    """Blocks of documents: a row with a block's codes (`HEADS`) or one for each segment of its dictionary (`SEGMENTS`).
 
     Odd segments are rare: their ids are made here and stay with the codes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _blocks_of(batches, {p: (rank, i) for i, rank, p in model.table}, model.first_byte, model.neighbours())
+        yield from _blocks_of(batches, model, heads)
         give_back()
 
     return run
 
 
-def _blocks_of(
-    batches, pieces: dict[str, tuple[int, int]], first_byte: int, neighbours: tuple[np.ndarray, np.ndarray]
-) -> Iterator[pa.RecordBatch]:
+def _blocks_of(batches: Iterator[pa.RecordBatch], model: PieceModel, heads: bool) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3)
+    pieces = {p: (rank, i) for i, rank, p in model.table} if heads else {}
+    neighbours = model.neighbours()
     block = TaskContext.get().partitionId() << 20
     lead, none_between = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
-    names, lists, held, chars = [], [], 0, 0
-    schema = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("word", pa.string()), ("payload", pa.binary())])
+    names, counts, lists, held, chars = [], [], [], 0, 0
+
+    def coded(values: pa.Array) -> pa.DictionaryArray:
+        """The values' dictionary and codes; without codes where only dictionaries go out."""
+        own = values.dictionary_encode()
+        return own if heads else pa.DictionaryArray.from_arrays(pa.array([], pa.int32()), own.dictionary)
 
     def close():
         nonlocal block
-        counts = np.concatenate([n for n, _ in lists])
-        words, codes = unified([x for _, x in lists])
-        lists.clear()
-        words, codes = pc.binary_join_element_wise(lead, words, none_between), to_planes(codes)
+        words, codes = unified(lists)
+        codes = press.compress(to_planes(codes))
+        words = pc.binary_join_element_wise(lead, words, none_between)
         parts, many = [], [np.zeros(0, np.int64)]
         for at in range(0, len(words), ROWS_AT_ONCE):
             cut, n = cut_words(words.slice(at, ROWS_AT_ONCE), neighbours)
-            parts.append(cut.dictionary_encode())
+            parts.append(coded(cut))
             many.append(n)
         del words
-        segments, spelled = unified(parts or [pa.array([], pa.large_string()).dictionary_encode()])
-        many, spelled = to_planes(np.concatenate(many)), to_planes(spelled)
-        del parts
+        segments, spelled = unified(parts or [coded(pa.array([], pa.large_string()))])
+        spelled = press.compress(to_planes(spelled))
         give_back()
         wide = are_odd(segments)
         odd, plain = np.flatnonzero(wide), np.flatnonzero(~wide).astype(np.int32)
-        odd_ids = [np.array(merge_word(w, pieces, first_byte), "<u2").tobytes() for w in segments.take(odd).to_pylist()]
-        check = 0
-        for at in range(0, len(plain), ROWS_AT_ONCE):
-            own = segments.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
-            check += sum(zlib.crc32(w.encode()) & 0xFF for w in own)
-        head = names[:], counts.astype(np.int64), codes, many, spelled, odd, odd_ids, len(plain), check
-        payload = press.compress(pickle.dumps(head))
-        yield pa.RecordBatch.from_pydict({"block": [block], "pos": [-1], "word": [None], "payload": [payload]}, schema=schema)
-        for at in range(0, len(plain), ROWS_AT_ONCE):
-            place = plain[at : at + ROWS_AT_ONCE]
-            n = len(place)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, block)), pa.array(place),
-                    segments.take(place).cast(pa.string()), pa.nulls(n, pa.binary()),
-                ],
-                schema=schema,
-            )
+        if heads:
+            odd_ids = [np.array(merge_word(w, pieces, model.first_byte), "<u2").tobytes() for w in segments.take(odd).to_pylist()]
+            check = 0
+            for at in range(0, len(plain), ROWS_AT_ONCE):
+                own = segments.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
+                check += sum(zlib.crc32(w.encode()) & 0xFF for w in own)
+            many = press.compress(to_planes(np.concatenate(many)))
+            # Each array is compressed alone, so that no worker holds all of them unpacked.
+            payload = pickle.dumps((names, np.concatenate(counts), codes, many, spelled, odd, odd_ids, len(plain), check))
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([payload], pa.binary())], ["block", "payload"])
+        else:
+            for at in range(0, len(plain), ROWS_AT_ONCE):
+                place = plain[at : at + ROWS_AT_ONCE]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(place), block)), pa.array(place), segments.take(place).cast(pa.string())],
+                    ["block", "pos", "word"],
+                )
         block += 1
         names.clear()
+        counts.clear()
 
     for batch in tidy(batches):
         for at in range(0, len(batch), 1_000):
@@ -289,8 +294,10 @@ def _blocks_of(
                     names.extend(part.column("doc_id").filter(mask).to_pylist())
                     own = cut(own)
                     # Parts are held as dictionaries and codes, which take less than their words.
-                    lists.append((pc.list_value_length(own).to_numpy(zero_copy_only=False), own.values.dictionary_encode()))
+                    counts.append(pc.list_value_length(own).to_numpy(zero_copy_only=False))
+                    lists.append(coded(own.values))
                     held += len(own.values)
+            own = text = None
             if held >= BLOCK_WORDS or chars >= BLOCK_CHARS:
                 yield from close()
                 held, chars = 0, 0
@@ -308,32 +315,56 @@ def gathered(table: np.ndarray, start: np.ndarray, size: np.ndarray, codes: np.n
     return table[place], bounds
 
 
+def unpacked_ids(payloads: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """The ids of all segments, one after the other, how many each has, and the sum of the checksums behind them."""
+    payloads = payloads.cast(pa.large_binary())
+    ends = np.frombuffer(payloads.buffers()[1], "<i8")[payloads.offset : payloads.offset + len(payloads) + 1]
+    raw = np.frombuffer(payloads.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    last = ends[1:] - ends[0] - 1
+    return np.delete(raw, last).view("<u2"), (np.diff(ends) // 2).astype(np.int32), int(raw[last].sum(dtype=np.int64))
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of block and place: a block's codes, then the ids of its dictionary.
 
     The last byte of a segment's payload is of its checksum: the segments must be those that the
-    codes stand for.
+    codes stand for. What has come of a block is held as arrays, not as an object for each segment.
     """
     expand = zstandard.ZstdDecompressor()
-    block, head, places, payloads = None, None, [], []
+    block, head, found = None, None, []
+
+    def codes_of(pressed: bytes) -> np.ndarray:
+        return from_planes(expand.decompress(pressed))
 
     def close():
-        names, counts, codes, many, spelled, odd, odd_ids, n_plain, check = pickle.loads(expand.decompress(head))
-        found = sum(p[-1] for p in payloads)
-        if len(payloads) != n_plain or found != check:
+        nonlocal head
+        names, counts, codes, many, spelled, odd, odd_ids, n_plain, check = pickle.loads(head)
+        head = None
+        places, ids, sizes, checks = zip(*found) if found else ((), (), (), ())
+        found.clear()
+        if sum(map(len, places)) != n_plain or sum(checks) != check:
             raise ValueError(f"the words of block {block} are not those that its codes stand for")
-        every = odd_ids + [p[:-1] for p in payloads]
-        order = np.argsort(np.concatenate([np.asarray(odd, np.int64), *places]))
-        sizes = np.array([len(i) for i in every], np.int64)[order] // 2
-        table = np.frombuffer(b"".join([every[k] for k in order.tolist()]), "<u2")
+        order = np.argsort(np.concatenate([np.asarray(odd, np.int32), *places]), kind="stable")
+        sizes = np.concatenate([np.array([len(i) // 2 for i in odd_ids], np.int32), *sizes])
+        start, size = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        table = np.concatenate([np.frombuffer(b"".join(odd_ids), "<u2"), *ids])
+        del places, ids, sizes, order, odd_ids
         # From the ids of segments to those of words.
-        table, bounds = gathered(table, np.cumsum(sizes) - sizes, sizes, from_planes(spelled))
-        bounds = bounds[np.concatenate(([0], np.cumsum(from_planes(many))))]
-        start, sizes, codes = bounds[:-1], np.diff(bounds), from_planes(codes)
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        for at in range(0, len(names), 500):
-            stop = min(at + 500, len(names))
-            out, until = gathered(table, start, sizes, codes[ends[at] : ends[stop]])
+        spelled, parts, bounds = codes_of(spelled), [np.zeros(0, "<u2")], [np.zeros(1, np.int64)]
+        for at in range(0, len(spelled), ROWS_AT_ONCE):
+            out, until = gathered(table, start, size, spelled[at : at + ROWS_AT_ONCE])
+            parts.append(out)
+            bounds.append(until[1:] + bounds[-1][-1])
+        del spelled
+        table, bounds = np.concatenate(parts), np.concatenate(bounds)
+        bounds = bounds[np.concatenate(([0], np.cumsum(codes_of(many))))]
+        start, size = bounds[:-1], np.diff(bounds)
+        del parts, bounds
+        codes, ends = codes_of(codes), np.concatenate(([0], np.cumsum(counts)))
+        give_back()
+        for at in range(0, len(names), DOCS_AT_ONCE):
+            stop = min(at + DOCS_AT_ONCE, len(names))
+            out, until = gathered(table, start, size, codes[ends[at] : ends[stop]])
             out = out.astype("<u4")
             edge = until[ends[at : stop + 1] - ends[at]]
             texts = [out[a:b].tobytes() for a, b in zip(edge, edge[1:])]
@@ -342,21 +373,20 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
     for batch in tidy(batches):
-        pos = batch.column("place").to_numpy()
-        pos = np.where(pos & LAST == LAST, -1, pos & LAST)
-        bounds = sorted({0, len(batch), *np.flatnonzero(pos == -1).tolist()})
+        pos = (batch.column("place").to_numpy() & LAST).astype(np.int32)
+        bounds = sorted({0, len(batch), *np.flatnonzero(pos == LAST).tolist()})
         for a, b in zip(bounds, bounds[1:]):
-            if pos[a] == -1:
+            if pos[a] == LAST:
                 if head is not None:
                     yield from close()
                 block, head = batch.column("place")[a].as_py() >> 24, batch.column("payload")[a].as_py()
-                places, payloads = [], []
                 a += 1
-            places.append(pos[a:b].astype(np.int64))
-            payloads += batch.column("payload").slice(a, b - a).to_pylist()
+            if a < b:
+                ids, sizes, checks = unpacked_ids(batch.column("payload").slice(a, b - a))
+                found.append((pos[a:b], ids, sizes, checks))
+        batch = None
     if head is not None:
         yield from close()
-    places, payloads = [], []
     give_back()
 
 
@@ -368,11 +398,12 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     blocks' codes by block. A frequent segment is one row of each block's dictionary.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = texts.mapInArrow(_make_blocks(model), BLOCKS)
+    # Both go through the texts; neither holds or moves what only the other needs.
+    segments, heads = (texts.mapInArrow(_make_blocks(model, h), kind) for h, kind in ((False, SEGMENTS), (True, HEADS)))
     place = F.shiftleft("block", 24).bitwiseOR(F.col("pos").cast("bigint"))
     # A segment's rows grow about twentyfold in the lattice, so it gets smaller partitions than others.
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = blocks.where("pos >= 0 and word is not null").select("word", place.alias("place")).repartition(parts, "word")
+    entries = segments.where("word is not null").select("word", place.alias("place")).repartition(parts, "word")
     words = entries.groupBy("word").agg(F.min("place").alias("key"))
     low_high = "concat(lpad(hex(i & 255), 2, '0'), lpad(hex(shiftright(i, 8) & 255), 2, '0'))"
     packed = F.expr(
@@ -380,7 +411,7 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     )
     coded = encode_words(words, model).select(F.col("word").alias("w"), packed.alias("payload"))
     back = entries.join(coded, F.col("word") == F.col("w")).select("place", "payload")
-    heads = blocks.where("pos = -1").select(F.shiftleft("block", 24).bitwiseOR(F.lit(LAST)).alias("place"), "payload")
+    heads = heads.select(F.shiftleft("block", 24).bitwiseOR(F.lit(LAST)).alias("place"), "payload")
     # The row with a block's codes comes first of its block.
     first = F.when(F.col("place").bitwiseAND(F.lit(LAST)) == LAST, F.col("place") - LAST - 1).otherwise(F.col("place"))
     return (
@@ -393,21 +424,22 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
 
 def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     """(doc_id, ids, text): pieces joined, ``▁`` a space again, less the space that encoding adds."""
-    known = model.piece_bytes()
+    return encoded.select("doc_id", "ids").mapInArrow(_spell(model.piece_bytes()), DECODED)
+
 
+def _spell(known: dict[int, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = [known.get(i, b"") for i in range(max(known) + 1)]
         size = np.array([len(p) for p in pieces], np.int64)
         table, start = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
         for batch in tidy(batches):
-            texts = []
-            for at in range(0, len(batch), 500):
-                own = batch.column("ids").slice(at, 500).to_pylist()
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
+                own = part.column("ids").to_pylist()
                 raw, bounds = gathered(table, start, size, np.frombuffer(b"".join(own), "<i4"))
                 raw, edge = raw.tobytes(), bounds[np.cumsum([0] + [len(ids) // 4 for ids in own])].tolist()
-                texts += [raw[a:b].decode("utf-8", "replace").replace(SPACE, " ")[1:] for a, b in zip(edge, edge[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
-            )
+                texts = [raw[a:b].decode("utf-8", "replace").replace(SPACE, " ")[1:] for a, b in zip(edge, edge[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            batch = part = own = raw = bounds = texts = None
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, text string")
+    return run

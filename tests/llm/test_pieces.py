@@ -1,3 +1,8 @@
+import random
+import tracemalloc
+import zlib
+from types import SimpleNamespace
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -73,3 +78,73 @@ def test_blocks_close_by_characters(spark, model, documents, monkeypatch):
 
 def test_a_block_without_a_word(spark, model):
     check(spark.createDataFrame([(1, ""), (2, None), (None, "")], "doc_id bigint, text string").coalesce(1), model)
+
+
+def in_process(monkeypatch, model, texts, encoded):
+    """What `_assemble` is given for a task's texts: each block's codes, then its segments, encoded by ``encoded``."""
+    monkeypatch.setattr(pieces, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    heads, segments = (
+        [r for b in pieces._make_blocks(model, h)(iter([docs])) for r in b.to_pylist()] for h in (True, False)
+    )
+    assert all(set(r) == {"block", "payload"} for r in heads) and all(set(r) == {"block", "pos", "word"} for r in segments)
+    rows = [(r["block"] << 24 | pieces.LAST, r["payload"]) for r in heads]
+    for r in segments:
+        check = bytes([zlib.crc32(r["word"].encode()) & 0xFF])
+        rows.append((r["block"] << 24 | r["pos"], np.array(encoded(r["word"]), "<u2").tobytes() + check))
+    rows.sort(key=lambda r: (r[0] >> 24, r[0] & pieces.LAST != pieces.LAST, r[0]))
+    places, payloads = pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())
+    return [
+        pa.RecordBatch.from_arrays([places[a : a + 7_000], payloads[a : a + 7_000]], ["place", "payload"])
+        for a in range(0, len(rows), 7_000)
+    ]
+
+
+def made_up(n, seed):
+    draw = random.Random(seed)
+    return ["".join(draw.choices("etaoinshr", k=9)) for _ in range(n)]
+
+
+def test_codes_and_segments_of_a_block_agree(monkeypatch, model):
+    # Several parts of 1,000 documents, blocks, slices of words, odd segments and texts with and without runs of spaces.
+    monkeypatch.setattr(pieces, "BLOCK_WORDS", 4_000)
+    monkeypatch.setattr(pieces, "ROWS_AT_ONCE", 300)
+    words = made_up(900, 1) + ODD[4:] + ["\n", "a.b", "  x"]
+    draw = random.Random(2)
+    texts = [" ".join(filter(None, draw.choices(words, k=draw.randrange(9)))) for _ in range(2_300)] + [None, *ODD]
+    table = {p: (rank, i) for i, rank, p in model.table}
+    given = in_process(monkeypatch, model, texts, lambda w: merge_word(w, table, model.first_byte))
+    assert len({p >> 24 for b in given for p in b.column("place").to_pylist()}) > 1
+    found = [r for b in pieces._assemble(iter(given)) for r in b.to_pylist()]
+    library = SentencePieceProcessor(model_file=PATH)
+    ids = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in found}
+    assert len(found) == len(texts) and ids == {i: library.encode(t or "") for i, t in enumerate(texts)}
+    short = [given[0].slice(0, 2), given[0].slice(3)]
+    with pytest.raises(ValueError, match="codes stand for"):
+        list(pieces._assemble(iter([*short, *given[1:]])))
+
+
+def test_a_block_is_put_together_without_an_object_for_each_segment(monkeypatch, model):
+    # A segment took 220 bytes while each was a bytes object of its own.
+    words = made_up(120_000, 3)
+    texts = [" ".join(words[at : at + 400]) for at in range(0, len(words), 400)]
+    given = in_process(monkeypatch, model, texts, lambda w: [len(w), 7])
+    segments = sum(map(len, given)) - 1
+    assert segments > 100_000
+    tracemalloc.start()
+    try:
+        ids = sum(len(r.as_py()) for b in pieces._assemble(iter(given)) for r in b.column("ids"))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert ids >= 8 * len(words) and peak < 130 * segments
+
+
+def test_decoded_documents_leave_in_small_batches(model):
+    library = SentencePieceProcessor(model_file=PATH)
+    texts = [f"text {i}, and no more" for i in range(1_700)]
+    ids = [np.array(library.encode(t), "<i4").tobytes() for t in texts]
+    given = pa.RecordBatch.from_arrays([pa.array(range(1_700), pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+    found = list(pieces._spell(model.piece_bytes())(iter([given])))
+    assert [t for b in found for t in b.column("text").to_pylist()] == texts
+    assert max(map(len, found)) <= pieces.DOCS_AT_ONCE
