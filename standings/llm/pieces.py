@@ -202,20 +202,37 @@ def cut_runs(texts: pa.Array) -> pa.Array:
     return pa.array([[w[1:] for w in WORD.findall(t)] for t in marked], pa.large_list(pa.large_string()))
 
 
-def unified(parts: list[pa.DictionaryArray]) -> tuple[pa.Array, np.ndarray]:
-    """One dictionary for all parts, and the codes of all; the list is emptied, so that its parts can go."""
+def unified(parts: list[pa.DictionaryArray]) -> tuple[pa.Array, list[np.ndarray]]:
+    """One dictionary for all parts, and the codes of each; the list is emptied, so that its parts can go."""
     same = pa.chunked_array(parts).unify_dictionaries()
     parts.clear()
-    return same.chunk(0).dictionary, np.concatenate([x.indices.to_numpy(zero_copy_only=False) for x in same.chunks])
+    return same.chunk(0).dictionary, [x.indices.to_numpy(zero_copy_only=False) for x in same.chunks]
 
 
 def to_planes(codes: np.ndarray) -> np.ndarray:
-    """Planes of bytes compress better than whole codes."""
-    return np.ascontiguousarray(codes.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4).T).reshape(-1)
+    """Planes of bytes, highest first, compress better than whole codes (0 or more).
 
-
-def from_planes(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
+    Frequent codes are small, so a byte under zeros only comes apart from the others of its plane.
+    """
+    planes = codes.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4)
+    cut = [planes[:, 3], planes[:, 2]]
+    for k in (1, 0):
+        small = codes < 1 << 8 * (k + 1)
+        cut += [planes[small, k], planes[~small, k]]
+    return np.concatenate(cut)
+
+
+def from_planes(cut: bytes) -> np.ndarray:
+    raw = np.frombuffer(cut, np.uint8)
+    n = len(raw) // 4
+    planes = np.zeros((n, 4), np.uint8)
+    codes = planes.view("<i4").reshape(-1)
+    planes[:, 3], planes[:, 2] = raw[:n], raw[n : 2 * n]
+    for k, at in ((1, 2 * n), (0, 3 * n)):
+        small = codes < 1 << 8 * (k + 1)
+        until = at + np.count_nonzero(small)
+        planes[small, k], planes[~small, k] = raw[at:until], raw[until : at + n]
+    return codes
 
 
 def _make_blocks(model: PieceModel, heads: bool):
@@ -247,7 +264,7 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], model: PieceModel, heads: bool
     def close():
         nonlocal block
         words, codes = unified(lists)
-        codes = press.compress(to_planes(codes))
+        codes = [press.compress(to_planes(c)) for c in codes]
         words = pc.binary_join_element_wise(lead, words, none_between)
         parts, many = [], [np.zeros(0, np.int64)]
         for at in range(0, len(words), ROWS_AT_ONCE):
@@ -256,7 +273,7 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], model: PieceModel, heads: bool
             many.append(n)
         del words
         segments, spelled = unified(parts or [coded(pa.array([], pa.large_string()))])
-        spelled = press.compress(to_planes(spelled))
+        spelled = [press.compress(to_planes(c)) for c in spelled]
         give_back()
         wide = are_odd(segments)
         odd, plain = np.flatnonzero(wide), np.flatnonzero(~wide).astype(np.int32)
@@ -267,8 +284,8 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], model: PieceModel, heads: bool
                 own = segments.take(plain[at : at + ROWS_AT_ONCE]).to_pylist()
                 check += sum(zlib.crc32(w.encode()) & 0xFF for w in own)
             many = press.compress(to_planes(np.concatenate(many)))
-            # Each array is compressed alone, so that no worker holds all of them unpacked.
-            payload = pickle.dumps((names, np.concatenate(counts), codes, many, spelled, odd, odd_ids, len(plain), check))
+            # Each part's codes are compressed alone, so that no worker holds all of them unpacked.
+            payload = pickle.dumps((names, counts, codes, many, spelled, odd, odd_ids, len(plain), check))
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([payload], pa.binary())], ["block", "payload"])
         else:
             for at in range(0, len(plain), ROWS_AT_ONCE):
@@ -350,27 +367,29 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.concatenate([np.frombuffer(b"".join(odd_ids), "<u2"), *ids])
         del places, ids, sizes, order, odd_ids
         # From the ids of segments to those of words.
-        spelled, parts, bounds = codes_of(spelled), [np.zeros(0, "<u2")], [np.zeros(1, np.int64)]
-        for at in range(0, len(spelled), ROWS_AT_ONCE):
-            out, until = gathered(table, start, size, spelled[at : at + ROWS_AT_ONCE])
+        parts, bounds = [], [np.zeros(1, np.int64)]
+        for pressed in spelled:
+            out, until = gathered(table, start, size, codes_of(pressed))
             parts.append(out)
             bounds.append(until[1:] + bounds[-1][-1])
-        del spelled
         table, bounds = np.concatenate(parts), np.concatenate(bounds)
         bounds = bounds[np.concatenate(([0], np.cumsum(codes_of(many))))]
         start, size = bounds[:-1], np.diff(bounds)
         del parts, bounds
-        codes, ends = codes_of(codes), np.concatenate(([0], np.cumsum(counts)))
         give_back()
-        for at in range(0, len(names), DOCS_AT_ONCE):
-            stop = min(at + DOCS_AT_ONCE, len(names))
-            out, until = gathered(table, start, size, codes[ends[at] : ends[stop]])
-            out = out.astype("<u4")
-            edge = until[ends[at : stop + 1] - ends[at]]
-            texts = [out[a:b].tobytes() for a, b in zip(edge, edge[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[at:stop], pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "ids"]
-            )
+        first = 0
+        for n, pressed in zip(counts, codes, strict=True):
+            own, ends = codes_of(pressed), np.concatenate(([0], np.cumsum(n)))
+            for at in range(0, len(n), DOCS_AT_ONCE):
+                stop = min(at + DOCS_AT_ONCE, len(n))
+                out, until = gathered(table, start, size, own[ends[at] : ends[stop]])
+                out = out.astype("<u4")
+                edge = until[ends[at : stop + 1] - ends[at]]
+                texts = [out[a:b].tobytes() for a, b in zip(edge, edge[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[first + at : first + stop], pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "ids"]
+                )
+            first += len(n)
 
     for batch in tidy(batches):
         pos = (batch.column("place").to_numpy() & LAST).astype(np.int32)

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from sentencepiece import SentencePieceProcessor
 
 from standings.llm import pieces
@@ -148,3 +149,14 @@ def test_decoded_documents_leave_in_small_batches(model):
     found = list(pieces._spell(model.piece_bytes())(iter([given])))
     assert [t for b in found for t in b.column("text").to_pylist()] == texts
     assert max(map(len, found)) <= pieces.DOCS_AT_ONCE
+
+
+def test_planes_come_back_and_take_less():
+    draw = np.random.default_rng(4)
+    edges = np.array([0, 1, 255, 256, 257, 65_535, 65_536, 1 << 24, (1 << 31) - 1])
+    frequent = np.minimum(draw.zipf(1.2, 200_000), 400_000)
+    for codes in (edges, edges[:0], frequent, frequent.astype("<i4"), draw.permutation(1 << 17)):
+        assert pieces.from_planes(pieces.to_planes(codes).tobytes()).tolist() == codes.tolist()
+    press = zstandard.ZstdCompressor(level=3).compress
+    whole_planes = np.ascontiguousarray(frequent.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    assert len(press(pieces.to_planes(frequent))) < 0.97 * len(press(whole_planes))
